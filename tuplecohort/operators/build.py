@@ -104,16 +104,15 @@ def _presample_thresholds(rows: DataFrame, by: list[str], k: int, hash: str,
             return F.lit(THETA_MAX)
         return F.lit(int(THETA_MAX * (target / n_est)))
     counts = keyed.groupBy(*by).agg(est.alias("n"))
-    n_groups = counts.count()
-    if n_groups > max_groups:
-        log.warning("presample skipped: %d groups exceed the broadcast bound %d",
-                    n_groups, max_groups)
-        return None
     t0 = F.when(F.col("n") <= target, F.lit(THETA_MAX)).otherwise(
         (F.lit(float(THETA_MAX)) * (F.lit(target) / F.col("n"))).cast("bigint"))
-    local = counts.select(*by, t0.alias("_t0")).collect()  # bounded: <= max_groups rows
-    schema = counts.select(*by, t0.alias("_t0")).schema
-    return rows.sparkSession.createDataFrame(local, schema)
+    thresholds = counts.select(*by, t0.alias("_t0"))
+    # One job; at most max_groups + 1 rows ever reach the driver.
+    local = thresholds.limit(max_groups + 1).collect()
+    if len(local) > max_groups:
+        log.warning("presample skipped: more than %d groups (the broadcast bound)", max_groups)
+        return None
+    return rows.sparkSession.createDataFrame(local, thresholds.schema)
 
 
 def _null_safe_on(left: DataFrame, right: DataFrame, by: list[str]):

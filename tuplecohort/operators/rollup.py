@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import TupleExpr, predicate_on, value_on
 from ..functions.metrics import ColumnOrName, Metric, check_metrics
-from .rows import KEY, group_columns, group_names, prepared
+from .rows import KEY, group_columns, group_names, key_text, prepared
 
 
 def tuple_rollup(df: DataFrame, key: ColumnOrName, metrics: Sequence[Metric],
@@ -28,7 +28,7 @@ def tuple_rollup(df: DataFrame, key: ColumnOrName, metrics: Sequence[Metric],
     agg = rows.groupBy(*by_names, KEY).agg(*sums)
     return agg.select(
         *by_names,
-        F.col(KEY).alias(key_name),
+        key_text(F.col(KEY)).alias(key_name),
         F.array(*[F.col(f"_s{i}") for i in range(len(metrics))]).alias(values_name),
     )
 

@@ -50,7 +50,12 @@ def has_column(df: DataFrame, key: ColumnOrName) -> bool:
 
 def prepared(df: DataFrame, by: list[str], key: ColumnOrName,
              metrics: Sequence[Metric]) -> DataFrame:
-    """``by..., _k STRING (null = no key), _m0.._m{n-1} DOUBLE``."""
+    """``by..., _k (null = no key), _m0.._m{n-1} DOUBLE``.
+
+    ``_k`` keeps the key's own type (integers group faster than their text);
+    :func:`key_text` gives the string form after aggregation, once per key.
+    Floating-point keys are turned into text first so that key identity is
+    always the identity of the text."""
     key_col = as_column(key)
     key_type = df.select(key_col).schema.fields[0].dataType
     ok = rows_with_complete_metrics(metrics)
@@ -58,11 +63,24 @@ def prepared(df: DataFrame, by: list[str], key: ColumnOrName,
     if isinstance(key_type, T.ArrayType):
         # explode_outer keeps rows whose list is empty or null as group markers.
         rows = df.select(*by, F.explode_outer(key_col).alias("_kraw"), ok.alias("_ok"), *vals)
+        elem_type = key_type.elementType
     else:
         rows = df.select(*by, key_col.alias("_kraw"), ok.alias("_ok"), *vals)
-    k = F.col("_kraw").cast("string")
+        elem_type = key_type
+    k = F.col("_kraw")
+    if isinstance(elem_type, (T.FloatType, T.DoubleType, T.DecimalType)):
+        k = k.cast("string")
+        elem_type = T.StringType()
+    if isinstance(elem_type, T.StringType):
+        valid = valid_key(k)
+    else:
+        valid = k.isNotNull()  # the text of a non-string value is never empty
     return rows.select(
         *by,
-        F.when(F.col("_ok") & valid_key(k), k).alias(KEY),
+        F.when(F.col("_ok") & valid, k).alias(KEY),
         *[F.col(f"_m{i}") for i in range(len(metrics))],
     )
+
+
+def key_text(c: Column) -> Column:
+    return c.cast("string")

@@ -528,3 +528,20 @@ def exact_filter_collapse(spark, sf):
     r = collapse_rows(filter_rows(r, "$0 > 500"), "$0 * 2 + $1")
     return r.select(F.col("key").alias("part_key"),
                     F.round(slot(F.col("values"), 0), 2).alias("score"))
+
+
+# --- streaming: per-batch sketches kept current, then merged ----------------------
+
+@query("stream_cohort_sketch", _cohort_sketch_sql(4096))
+def stream_cohort_sketch(spark, sf):
+    from ..streaming.incremental import read_stream_sketches, stream_sketches
+    schema = table(spark, sf, "events").schema
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet") \
+        .parquet(sf.rstrip("/"))
+    path = scratch_path(spark, "stream-weekly-sketches")
+    q = stream_sketches(stream, path, "user_id", VIEW_PURCHASE(), by=WEEK(), k=4096,
+                        trigger={"availableNow": True})
+    q.awaitTermination()
+    merged = read_stream_sketches(spark, path, by="week", k=4096, num_values=2)
+    f = merged.withColumn("cohort", filter_tuples("sketch", COHORT))
+    return f.select("week", *est_cols("cohort"))

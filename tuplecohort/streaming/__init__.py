@@ -1 +1,4 @@
+from .incremental import (compact_sketches, read_stream_sketches, stream_cohort_exact,
+                          stream_sketches)
 
+__all__ = ["compact_sketches", "read_stream_sketches", "stream_cohort_exact", "stream_sketches"]
