@@ -1,7 +1,7 @@
 """Merge stored sketches: union within each group, summing tuples of equal keys.
 
-Plan: every non-null input sketch yields a marker row (its theta) and its
-entries (explode); one aggregate on (group, hash) sums the tuples slot by
+Plan: every non-null input sketch yields, in one ``explode``, a marker row
+(its theta) followed by its entries; one aggregate on (group, hash) sums the tuples slot by
 slot and takes the smallest theta; the bottom-k tail then keeps the ``k``
 smallest hashes below that theta.  A group of empty sketches still yields
 an (empty) sketch.  Widths and hash kinds are checked per row.
@@ -14,6 +14,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.hashing import HASH_KINDS
 from ..functions.metrics import ColumnOrName, check_k
 from .bottomk import finish
 from .rows import group_columns, group_names
@@ -25,10 +26,9 @@ def merge_sketches(df: DataFrame, sketch: str = "sketch",
                    out: str | None = None) -> DataFrame:
     """``by..., out``: one merged sketch per group of ``df``.
 
-    ``k`` defaults to the input sketches' ``k`` when known through
-    ``num_values``/``k`` arguments, else to 4096.  ``num_values`` is the
-    tuple width; when omitted it is read from the first non-null sketch (one
-    small job)."""
+    ``k`` (output size) and ``num_values`` (tuple width) default to those of
+    the first non-null input sketch, read by one small job; pass them to
+    avoid it."""
     out = out or sketch
     df, by_names = group_names(df, group_columns(by))
     s = df.where(F.col(sketch).isNotNull())
@@ -46,20 +46,41 @@ def merge_sketches(df: DataFrame, sketch: str = "sketch",
         sk["num_values"] != F.lit(n),
         F.raise_error(F.concat(F.lit(f"cannot merge sketches: expected num_values={n}, got "),
                                sk["num_values"].cast("string")))).otherwise(sk["theta"])
-    markers = s.select(*by_names, F.lit(None).cast("bigint").alias("h"),
-                       F.lit(None).cast("array<double>").alias("values"),
-                       checked_theta.alias("_t"), sk["hash"].alias("_hash"))
-    entries = s.select(*by_names, F.explode(sk["entries"]).alias("_e"), sk["hash"].alias("_hash")) \
-        .select(*by_names, F.col("_e")["h"].alias("h"), F.col("_e")["values"].alias("values"),
-                F.lit(None).cast("bigint").alias("_t"), "_hash")
-    unioned = markers.unionByName(entries)
+    # Hash kind as a small integer, so every aggregate below stays a hash aggregate.
+    code = hash_code(sk["hash"])
+    # One pass: each sketch yields a marker row (its theta) followed by its entries.
+    marker = F.struct(F.lit(None).cast("bigint").alias("h"),
+                      F.lit(None).cast("array<double>").alias("values"),
+                      checked_theta.alias("_t"), code.alias("_hc"))
+    entries = F.transform(sk["entries"], lambda e: F.struct(
+        e["h"].alias("h"), e["values"].alias("values"),
+        F.lit(None).cast("bigint").alias("_t"), code.alias("_hc")))
+    rows = s.select(*by_names, F.explode(F.concat(F.array(marker), entries)).alias("_x")) \
+        .select(*by_names, "_x.h", "_x.values", "_x._t", "_x._hc")
     sums = [F.sum(F.get(F.col("values"), i)).alias(f"_s{i}") for i in range(n)]
-    agg = unioned.groupBy(*by_names, "h").agg(
-        *sums, F.min("_t").alias("_t"),
-        F.min("_hash").alias("_hmin"), F.max("_hash").alias("_hmax"))
-    hash_kind = F.when(F.col("_hmin") != F.col("_hmax"),
+    agg = rows.groupBy(*by_names, "h").agg(
+        *sums, F.min("_t").alias("_t"), F.min("_hc").alias("_hcmin"), F.max("_hc").alias("_hcmax"))
+    hash_kind = F.when(F.col("_hcmin") != F.col("_hcmax"),
                        F.raise_error(F.lit("cannot merge sketches built with different hash kinds"))
-                       ).otherwise(F.col("_hmin"))
+                       ).otherwise(F.col("_hcmin"))
     values = F.when(F.col("h").isNotNull(), F.array(*[F.col(f"_s{i}") for i in range(n)]))
     tuples = agg.select(*by_names, "h", values.alias("values"), "_t", hash_kind.alias("_hk"))
-    return finish(tuples, by_names, k, n, None, out=out)
+    out_df = finish(tuples, by_names, k, n, None, out="_merged")
+    m = F.col("_merged")
+    return out_df.select(*by_names, F.struct(
+        m["theta"].alias("theta"), m["k"].alias("k"), m["num_values"].alias("num_values"),
+        hash_name(m["hash"].cast("int")).alias("hash"), m["entries"].alias("entries")).alias(out))
+
+
+def hash_code(name):
+    whens = None
+    for i, kind in enumerate(HASH_KINDS):
+        whens = F.when(name == kind, F.lit(i)) if whens is None else whens.when(name == kind, F.lit(i))
+    return whens.otherwise(F.raise_error(F.concat(F.lit("unknown hash kind "), name)))
+
+
+def hash_name(code):
+    whens = None
+    for i, kind in enumerate(HASH_KINDS):
+        whens = F.when(code == i, F.lit(kind)) if whens is None else whens.when(code == i, F.lit(kind))
+    return whens
