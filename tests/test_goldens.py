@@ -86,3 +86,15 @@ def test_callable_expressions(f2_sketch):
     assert est == 1.0
     c = f2_sketch.select(collapse_tuples(F.col("sketch"), lambda v: slot(v, 0) * 10).alias("c"))
     assert sorted(e["values"][0] for e in c.first()["c"]["entries"]) == [10.0, 20.0, 30.0]
+
+
+def test_order_by_estimate_nulls_first_and_top_k(spark):
+    from tuplecohort import order_by_estimate
+    df = spark.createDataFrame([("g1", "a"), ("g1", "b"), ("g2", "c"), ("g3", None)],
+                               "g string, k string")
+    sk = tuple_sketch(df.withColumn("m", F.lit(1.0)), "k", [Metric("m")], by="g")
+    sk = sk.withColumn("sketch", F.when(F.col("g") == "g3", F.lit(None)).otherwise(F.col("sketch")))
+    asc = [r["g"] for r in order_by_estimate(sk, "sketch").collect()]
+    assert asc == ["g3", "g2", "g1"]
+    top = [r["g"] for r in order_by_estimate(sk, "sketch", ascending=False, limit=2).collect()]
+    assert top == ["g3", "g1"]  # nulls first, then the largest estimate

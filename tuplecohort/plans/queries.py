@@ -545,3 +545,41 @@ def stream_cohort_sketch(spark, sf):
     merged = read_stream_sketches(spark, path, by="week", k=4096, num_values=2)
     f = merged.withColumn("cohort", filter_tuples("sketch", COHORT))
     return f.select("week", *est_cols("cohort"))
+
+
+# --- skew: one key and one group each hold a third of all rows ---------------------
+
+_SKEW_SRC = ("(SELECT *, CASE WHEN l_orderkey % 3 = 0 THEN 0 ELSE l_orderkey END AS skew_key, "
+             "CASE WHEN l_orderkey % 3 = 1 THEN 'hot' ELSE l_returnflag END AS skew_group "
+             "FROM lineitem)")
+
+
+def _skewed_lineitem(spark, sf):
+    li = table(spark, sf, "lineitem")
+    return li.withColumn(
+        "skew_key", F.when(F.col("l_orderkey") % 3 == 0, F.lit(0)).otherwise(F.col("l_orderkey"))
+    ).withColumn(
+        "skew_group", F.when(F.col("l_orderkey") % 3 == 1, F.lit("hot"))
+        .otherwise(F.col("l_returnflag")))
+
+
+@query("skewed_key_and_group_sketch", O.with_(
+    O.build("s", _SKEW_SRC, [("skew_group", "skew_group")], "skew_key", _LI_METRICS_SQL, 1024))
+    + O.estimate("s", ["skew_group"], extra=_SLOT_SUMS))
+def skewed_key_and_group_sketch(spark, sf):
+    sk = tuple_sketch(_skewed_lineitem(spark, sf), "skew_key", _li_metrics(), by="skew_group",
+                      k=1024)
+    return sk.select("skew_group", *est_cols(), *_slot_sums())
+
+
+@query("skewed_key_rollup", f"""
+SELECT CAST(skew_key AS VARCHAR) AS key, round(sum(l_quantity), 2) AS q_all,
+       round(sum(CASE WHEN l_discount > 0.05 THEN l_extendedprice ELSE 0.0 END), 2) AS price_disc
+FROM {_SKEW_SRC} t
+WHERE l_quantity IS NOT NULL AND l_extendedprice IS NOT NULL AND skew_key IS NOT NULL
+GROUP BY 1
+""")
+def skewed_key_rollup(spark, sf):
+    r = tuple_rollup(_skewed_lineitem(spark, sf), "skew_key", _li_metrics())
+    return r.select("key", F.round(slot(F.col("values"), 0), 2).alias("q_all"),
+                    F.round(slot(F.col("values"), 1), 2).alias("price_disc"))
