@@ -112,3 +112,16 @@ def test_presample_equals_one_pass(spark):
         b = tuple_sketch(li, "l_orderkey", ms, by=by, k=256, presample=True)
         keys = () if by is None else (by,)
         assert canon(a, by=keys) == canon(b, by=keys)
+
+
+@pytest.mark.parametrize("by", [None, "l_returnflag"])
+def test_two_level_limit_same_result(spark, by):
+    li = spark.read.parquet(f"{SF_MID}/lineitem.parquet")
+    ms = [Metric("l_quantity"), Metric("l_extendedprice", F.col("l_discount") > 0.05)]
+    keys = () if by is None else (by,)
+    one = tuple_sketch(li, "l_orderkey", ms, by=by, k=256, fanout=1)
+    two = tuple_sketch(li, "l_orderkey", ms, by=by, k=256, fanout=3)
+    assert canon(one, by=keys) == canon(two, by=keys)
+    m1 = merge_sketches(two, by=by, k=64, num_values=2, fanout=1)
+    m2 = merge_sketches(two, by=by, k=64, num_values=2, fanout=5)
+    assert canon(m1, by=keys) == canon(m2, by=keys)

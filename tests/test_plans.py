@@ -76,3 +76,15 @@ def test_no_python_udf_anywhere(spark):
         for bad in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas",
                     "CartesianProduct"):
             assert bad not in plan, (name, bad)
+
+
+def test_large_partition_counts_plan_a_two_level_limit(spark):
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "4096")
+        sk = tuple_sketch(_events(spark), "user_id", [Metric("value")], by="event_type", k=1024)
+        plan = explain(sk, "simple")  # plan only; nothing runs with 4096 partitions
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert "pmod(SPARK_PARTITION_ID(), 64)" in plan
+    assert plan.count("WindowGroupLimit") == 4  # partial + final at both levels

@@ -9,10 +9,21 @@ Plan: ``row_number() over (partition by group order by h nulls first) <= k+2``
 becomes a partial group limit before the shuffle and a final one after it, so
 even a group holding every key of the table moves at most ``k + 2`` rows per
 upstream task; the final ``collect_list`` sees at most ``k + 2`` rows per group.
+
+With P upstream partitions the last task of a hot group still reads up to
+``P * (k + 2)`` rows.  For large P a second level splits that: rows are first
+limited per (group, bucket), where bucket = upstream partition id mod F,
+then per group, so no task reads more than about ``max(P / F, F) * (k + 2)``
+rows (F = sqrt(P) by default).  The bottom k+2 of a group is contained in the
+union of the bottom k+2 of its buckets, so the result is the same; the price
+is one more (bounded) exchange, which is why it is only switched on when P
+exceeds ``TREE_MIN_PARTITIONS``.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,10 +32,20 @@ from ..functions.sketch import make_sketch
 from ..session import ensure_group_limit
 
 _CONST_GROUP = "_g"
+TREE_MIN_PARTITIONS = 2048
+
+
+def auto_fanout(spark) -> int:
+    """Buckets for the two-level limit: sqrt(shuffle partitions) when large, else 1."""
+    try:
+        p = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    except ValueError:
+        return 1
+    return int(math.ceil(math.sqrt(p))) if p >= TREE_MIN_PARTITIONS else 1
 
 
 def finish(rows: DataFrame, by: list[str], k: int, num_values, hash_kind,
-           out: str = "sketch") -> DataFrame:
+           out: str = "sketch", fanout: int | None = None) -> DataFrame:
     """``by..., out`` with one sketch per group of ``rows``.
 
     ``hash_kind``: a string, or None to take it from the rows' ``_hk`` column."""
@@ -33,7 +54,14 @@ def finish(rows: DataFrame, by: list[str], k: int, num_values, hash_kind,
     if not part:
         rows = rows.withColumn(_CONST_GROUP, F.lit(0))
         part = [_CONST_GROUP]
-    w = Window.partitionBy(*part).orderBy(F.col("h").asc_nulls_first())
+    fanout = auto_fanout(rows.sparkSession) if fanout is None else fanout
+    order = F.col("h").asc_nulls_first()
+    if fanout > 1:
+        bucketed = rows.withColumn("_b", F.pmod(F.spark_partition_id(), F.lit(fanout)))
+        w1 = Window.partitionBy(*part, "_b").orderBy(order)
+        rows = bucketed.withColumn("_rn1", F.row_number().over(w1)) \
+            .where(F.col("_rn1") <= k + 2).drop("_rn1", "_b")
+    w = Window.partitionBy(*part).orderBy(order)
     limited = rows.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k + 2)
     entry = F.when(F.col("h").isNotNull(), F.struct(F.col("h"), F.col("values")))
     carried = [F.max("_hk").alias("_hk")] if hash_kind is None else []

@@ -45,12 +45,15 @@ def tuple_sketch(df: DataFrame, key: ColumnOrName, metrics: Sequence[Metric],
                  k: int = DEFAULT_K, hash: str = "md5", num_values: int | None = None,
                  presample: bool = False, missing_ok: bool = False,
                  out: str = "sketch",
-                 max_broadcast_groups: int = MAX_BROADCAST_GROUPS) -> DataFrame:
+                 max_broadcast_groups: int = MAX_BROADCAST_GROUPS,
+                 fanout: int | None = None) -> DataFrame:
     """``by..., out`` where ``out`` is a tuple sketch of at most ``k`` keys.
 
     ``metrics``: one :class:`Metric` per tuple slot.  ``missing_ok``: when the
     key column does not exist, return an empty sketch per group instead of
-    raising.  ``hash``: ``"md5"`` (portable) or ``"xxhash64"`` (faster)."""
+    raising.  ``hash``: ``"md5"`` (portable) or ``"xxhash64"`` (faster).
+    ``fanout``: buckets of the two-level group limit (see ``bottomk``); None
+    picks it from ``spark.sql.shuffle.partitions``."""
     metrics = check_metrics(metrics, num_values)
     check_k(k)
     check_hash_kind(hash)
@@ -88,7 +91,7 @@ def tuple_sketch(df: DataFrame, key: ColumnOrName, metrics: Sequence[Metric],
         agg = hashed.groupBy(*by_names, "h").agg(*sums, F.min("_t").alias("_t"))
         tuples = agg.select(*by_names, "h", values.alias("values"), "_t")
 
-    return finish(tuples, by_names, k, n, hash, out=out)
+    return finish(tuples, by_names, k, n, hash, out=out, fanout=fanout)
 
 
 def _presample_thresholds(rows: DataFrame, by: list[str], k: int, hash: str,

@@ -23,7 +23,7 @@ from .rows import group_columns, group_names
 def merge_sketches(df: DataFrame, sketch: str = "sketch",
                    by: Sequence[ColumnOrName] | ColumnOrName | None = None,
                    k: int | None = None, num_values: int | None = None,
-                   out: str | None = None) -> DataFrame:
+                   out: str | None = None, fanout: int | None = None) -> DataFrame:
     """``by..., out``: one merged sketch per group of ``df``.
 
     ``k`` (output size) and ``num_values`` (tuple width) default to those of
@@ -65,7 +65,7 @@ def merge_sketches(df: DataFrame, sketch: str = "sketch",
                        ).otherwise(F.col("_hcmin"))
     values = F.when(F.col("h").isNotNull(), F.array(*[F.col(f"_s{i}") for i in range(n)]))
     tuples = agg.select(*by_names, "h", values.alias("values"), "_t", hash_kind.alias("_hk"))
-    out_df = finish(tuples, by_names, k, n, None, out="_merged")
+    out_df = finish(tuples, by_names, k, n, None, out="_merged", fanout=fanout)
     m = F.col("_merged")
     return out_df.select(*by_names, F.struct(
         m["theta"].alias("theta"), m["k"].alias("k"), m["num_values"].alias("num_values"),
