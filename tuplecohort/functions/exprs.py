@@ -71,16 +71,6 @@ def as_double(c: Column) -> Column:
     return F.coalesce(c.cast("double"), F.lit(0.0))
 
 
-def predicate_column(values: Column, expr: TupleExpr) -> Column:
-    """Boolean Column for a filter over a plain ``values`` array column.
-
-    Strings need the array as SQL text, so they are accepted here only when
-    ``values`` was given by name (see :func:`predicate_on`)."""
-    if callable(expr):
-        return truthy(expr(values))
-    raise TypeError("string expressions need the values column by name; use predicate_on()")
-
-
 def predicate_on(values_name: str, expr: TupleExpr) -> Column:
     """Boolean Column of ``expr`` over the array column named ``values_name``."""
     if callable(expr):

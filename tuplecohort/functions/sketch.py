@@ -171,8 +171,3 @@ def combine_sketches(a: SketchLike, b: SketchLike, k: Optional[int] = None) -> C
         F.raise_error(F.lit("cannot combine sketches built with different hash kinds"))
     ).otherwise(hash_kind)
     return make_sketch(new_theta, k_out, checked_width, checked_hash, entries)
-
-
-def sketch_entries_column(sketch: SketchLike) -> Column:
-    """The entries array (``h``, ``values``) of a sketch."""
-    return _col(sketch)["entries"]

@@ -583,3 +583,17 @@ def skewed_key_rollup(spark, sf):
     r = tuple_rollup(_skewed_lineitem(spark, sf), "skew_key", _li_metrics())
     return r.select("key", F.round(slot(F.col("values"), 0), 2).alias("q_all"),
                     F.round(slot(F.col("values"), 1), 2).alias("price_disc"))
+
+
+# --- daily sketches merged to weeks, filtered after the merge -----------------------
+
+@query("weekly_cohort_from_daily_sketches", O.with_(
+    O.build("d", "events", [(DAY_SQL, "day"), (WEEK_SQL, "week")], "user_id",
+            VIEW_PURCHASE_SQL, 64),
+    O.merge("w", "d", ["week"], 2, 64)) + O.estimate("w", ["week"], COHORT_SQL))
+def weekly_cohort_from_daily_sketches(spark, sf):
+    daily = tuple_sketch(table(spark, sf, "events"), "user_id", VIEW_PURCHASE(), by=DAY(), k=64)
+    daily = daily.withColumn("week", time_bucket("day", "week"))
+    weekly = merge_sketches(daily, "sketch", by="week", k=64, num_values=2)
+    f = weekly.withColumn("cohort", filter_tuples("sketch", COHORT))
+    return f.select("week", *est_cols("cohort"))
