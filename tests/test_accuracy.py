@@ -15,7 +15,7 @@ def test_relative_error(spark, k):
     n_true = li.select(F.countDistinct("l_orderkey")).first()[0]
     salts = 40
     # One sketch per salt: the salt changes every key's hash, like an independent trial.
-    salted = li.crossJoin(spark.range(salts).withColumnRenamed("id", "salt").hint("broadcast")) \
+    salted = li.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))) \
         .withColumn("key", F.concat_ws(":", F.col("salt").cast("string"),
                                        F.col("l_orderkey").cast("string")))
     est = tuple_sketch(salted, "key", [Metric(F.lit(1.0))], by="salt", k=k, hash="xxhash64") \

@@ -72,3 +72,17 @@ def test_stream_cohort_exact_matches_batch(spark, time_ordered_source):
         ev, "user_id", metrics(), "$0 >= 4 && $1 > 0",
         by=time_bucket("ts").alias("week")).collect()}
     assert got == want
+
+
+def test_replayed_batch_is_not_counted_twice(spark):
+    from tuplecohort.streaming import write_batch_sketches
+    ev = spark.read.parquet(f"{SF_MID}/events.parquet")
+    path = scratch_path(spark, "replay")
+    week = time_bucket("ts").alias("week")
+    first, second = ev.where(F.dayofmonth("ts") <= 15), ev.where(F.dayofmonth("ts") > 15)
+    write_batch_sketches(first, 0, path, "user_id", metrics(), by=week, k=64)
+    write_batch_sketches(second, 1, path, "user_id", metrics(), by=week, k=64)
+    write_batch_sketches(second, 1, path, "user_id", metrics(), by=week, k=64)  # replay
+    got = read_stream_sketches(spark, path, by="week", k=64, num_values=2)
+    want = tuple_sketch(ev, "user_id", metrics(), by=time_bucket("ts").alias("week"), k=64)
+    assert canon(got) == canon(want)

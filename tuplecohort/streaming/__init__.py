@@ -1,4 +1,5 @@
 from .incremental import (compact_sketches, read_stream_sketches, stream_cohort_exact,
-                          stream_sketches)
+                          stream_sketches, write_batch_sketches)
 
-__all__ = ["compact_sketches", "read_stream_sketches", "stream_cohort_exact", "stream_sketches"]
+__all__ = ["compact_sketches", "read_stream_sketches", "stream_cohort_exact", "stream_sketches",
+           "write_batch_sketches"]

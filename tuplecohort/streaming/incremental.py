@@ -48,8 +48,7 @@ def stream_sketches(stream: DataFrame, path: str, key: ColumnOrName, metrics: Se
     ckpt = checkpoint_location or scratch_path(spark, "stream-sketches-ckpt")
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        sk = tuple_sketch(batch, key, metrics, by=by, k=k, hash=hash)
-        sk.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{BATCH_COL}={batch_id}")
+        write_batch_sketches(batch, batch_id, path, key, metrics, by=by, k=k, hash=hash)
 
     w = stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", ckpt)
     if trigger:
@@ -57,6 +56,15 @@ def stream_sketches(stream: DataFrame, path: str, key: ColumnOrName, metrics: Se
     return w.start()
 
 
+def write_batch_sketches(batch: DataFrame, batch_id: int, path: str, key: ColumnOrName,
+                         metrics: Sequence[Metric],
+                         by: Sequence[ColumnOrName] | ColumnOrName | None = None,
+                         k: int = DEFAULT_K, hash: str = "md5") -> None:
+    """Sketch one micro-batch into ``path/batch_id=<n>`` (overwrite: replay-safe)."""
+    sk = tuple_sketch(batch, key, metrics, by=by, k=k, hash=hash)
+    sk.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{BATCH_COL}={batch_id}")
+
+
 def read_stream_sketches(spark: SparkSession, path: str, by: Sequence[str] | str | None = None,
                          k: int | None = None, num_values: int | None = None,
                          sketch: str = "sketch") -> DataFrame:
