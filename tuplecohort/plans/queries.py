@@ -293,14 +293,15 @@ def store_roundtrip(spark, sf):
 
 
 @query("combine_two_halves", O.with_(
-    O.build("hb", "events", [("event_type", "event_type"), ("event_id % 2", "half")], "user_id",
+    O.build("hb", "events", [("event_type", "event_type"), ("hour(ts) < 12", "am")], "user_id",
             _DAILY_SQL_METRICS, 64),
     O.merge("c", "hb", ["event_type"], 2, 64)) + O.estimate("c", ["event_type"], extra=_SLOT_SUMS))
 def combine_two_halves(spark, sf):
     ev = table(spark, sf, "events")
-    a = tuple_sketch(ev.where(F.col("event_id") % 2 == 0), "user_id", _daily_metrics(),
+    # Two halves of the whole table (before / after noon), sketched separately.
+    a = tuple_sketch(ev.where(F.hour("ts") < 12), "user_id", _daily_metrics(),
                      by="event_type", k=64, out="a")
-    b = tuple_sketch(ev.where(F.col("event_id") % 2 == 1), "user_id", _daily_metrics(),
+    b = tuple_sketch(ev.where(F.hour("ts") >= 12), "user_id", _daily_metrics(),
                      by="event_type", k=64, out="b")
     both = a.join(b, "event_type", "full_outer")
     c = both.select("event_type", combine_sketches("a", "b", k=64).alias("sketch"))

@@ -48,7 +48,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        d = tempfile.mkdtemp(prefix="tuplecohort-ckpt-")
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster; "
+                               "written intermediates and lineage cuts go there")
+        d = tempfile.mkdtemp(prefix="tuplecohort-ckpt-")  # local sessions (tests) only
         spark.conf.set("spark.checkpoint.dir", d)
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(d)
