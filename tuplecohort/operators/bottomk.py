@@ -31,7 +31,16 @@ from ..functions.hashing import THETA_MAX
 from ..functions.sketch import make_sketch
 from ..session import ensure_group_limit
 
-_CONST_GROUP = "_g"
+# Internal column names (reserved prefix, so user group columns never clash).
+H = "__tc_h"          # 60-bit key hash; null marks a group-marker row
+V = "__tc_values"     # tuple (ARRAY<DOUBLE>)
+T = "__tc_theta"      # incoming theta (markers, or constant per group)
+HK = "__tc_hashkind"  # hash kind code carried per row (merge)
+_CONST_GROUP = "__tc_g"
+_BUCKET = "__tc_b"
+_RN1 = "__tc_rn1"
+_RN = "__tc_rn"
+_E = "__tc_e"
 TREE_MIN_PARTITIONS = 2048
 
 
@@ -46,38 +55,40 @@ def auto_fanout(spark) -> int:
 
 def finish(rows: DataFrame, by: list[str], k: int, num_values, hash_kind,
            out: str = "sketch", fanout: int | None = None) -> DataFrame:
-    """``by..., out`` with one sketch per group of ``rows``.
+    """``by..., out`` with one sketch per group of ``rows`` (columns ``by..., H, V, T``).
 
-    ``hash_kind``: a string, or None to take it from the rows' ``_hk`` column."""
+    ``hash_kind``: a string, a Column over the grouped result, or None to take
+    it from the rows' ``HK`` column."""
     ensure_group_limit(rows.sparkSession, k)
     part = list(by)
     if not part:
         rows = rows.withColumn(_CONST_GROUP, F.lit(0))
         part = [_CONST_GROUP]
     fanout = auto_fanout(rows.sparkSession) if fanout is None else fanout
-    order = F.col("h").asc_nulls_first()
+    order = F.col(H).asc_nulls_first()
     if fanout > 1:
-        bucketed = rows.withColumn("_b", F.pmod(F.spark_partition_id(), F.lit(fanout)))
-        w1 = Window.partitionBy(*part, "_b").orderBy(order)
-        rows = bucketed.withColumn("_rn1", F.row_number().over(w1)) \
-            .where(F.col("_rn1") <= k + 2).drop("_rn1", "_b")
+        bucketed = rows.withColumn(_BUCKET, F.pmod(F.spark_partition_id(), F.lit(fanout)))
+        w1 = Window.partitionBy(*part, _BUCKET).orderBy(order)
+        rows = bucketed.withColumn(_RN1, F.row_number().over(w1)) \
+            .where(F.col(_RN1) <= k + 2).drop(_RN1, _BUCKET)
     w = Window.partitionBy(*part).orderBy(order)
-    limited = rows.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k + 2)
-    entry = F.when(F.col("h").isNotNull(), F.struct(F.col("h"), F.col("values")))
-    carried = [F.max("_hk").alias("_hk")] if hash_kind is None else []
+    limited = rows.withColumn(_RN, F.row_number().over(w)).where(F.col(_RN) <= k + 2)
+    entry = F.when(F.col(H).isNotNull(),
+                   F.struct(F.col(H).alias("h"), F.col(V).alias("values")))
+    carried = [F.max(HK).alias(HK)] if hash_kind is None else []
     grouped = limited.groupBy(*part).agg(
-        F.slice(F.sort_array(F.collect_list(entry)), 1, k + 1).alias("_e"),
-        F.coalesce(F.min("_t"), F.lit(THETA_MAX)).alias("_t"),
+        F.slice(F.sort_array(F.collect_list(entry)), 1, k + 1).alias(_E),
+        F.coalesce(F.min(T), F.lit(THETA_MAX)).alias(T),
         *carried,
     )
-    kept = grouped.select(*part, F.col("_t"), *(["_hk"] if hash_kind is None else []),
-                          F.filter("_e", lambda e: e["h"] < F.col("_t")).alias("_e"))
-    n = F.size("_e")
-    theta = F.when(n > k, F.element_at("_e", k + 1)["h"]).otherwise(F.col("_t"))
+    kept = grouped.select(*part, F.col(T), *([HK] if hash_kind is None else []),
+                          F.filter(_E, lambda e: e["h"] < F.col(T)).alias(_E))
+    n = F.size(_E)
+    theta = F.when(n > k, F.element_at(_E, k + 1)["h"]).otherwise(F.col(T))
     num_values = num_values if not isinstance(num_values, int) else F.lit(num_values)
-    if hash_kind is None:  # carried per row in ``_hk`` (constant per group)
-        hash_kind = F.col("_hk")
+    if hash_kind is None:  # carried per row (constant per group)
+        hash_kind = F.col(HK)
     elif isinstance(hash_kind, str):
         hash_kind = F.lit(hash_kind)
-    sketch = make_sketch(theta, F.lit(k), num_values, hash_kind, F.slice("_e", 1, k))
+    sketch = make_sketch(theta, F.lit(k), num_values, hash_kind, F.slice(_E, 1, k))
     return kept.select(*by, sketch.alias(out))

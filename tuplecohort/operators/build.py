@@ -30,13 +30,14 @@ from pyspark.sql import functions as F
 from ..functions.hashing import THETA_MAX, check_hash_kind, key_hash
 from ..functions.metrics import ColumnOrName, Metric, check_k, check_metrics
 from ..functions.sketch import empty_sketch
-from .bottomk import finish
+from .bottomk import H, T, V, finish
 from .rows import KEY, group_columns, group_names, has_column, prepared
 
 log = logging.getLogger(__name__)
 
 DEFAULT_K = 4096
 PRESAMPLE_SLACK = 4
+_T0 = "__tc_theta0"
 MAX_BROADCAST_GROUPS = 200_000
 
 
@@ -68,8 +69,8 @@ def tuple_sketch(df: DataFrame, key: ColumnOrName, metrics: Sequence[Metric],
         return groups.select(*by_names, empty_sketch(n, k, hash).alias(out))
 
     rows = prepared(df, by_names, key, metrics)
-    sums = [F.sum(f"_m{i}").alias(f"_s{i}") for i in range(n)]
-    values = F.when(F.col("h").isNotNull(), F.array(*[F.col(f"_s{i}") for i in range(n)]))
+    sums = [F.sum(f"__tc_m{i}").alias(f"__tc_s{i}") for i in range(n)]
+    values = F.when(F.col(H).isNotNull(), F.array(*[F.col(f"__tc_s{i}") for i in range(n)]))
 
     theta0 = _presample_thresholds(rows, by_names, k, hash, max_broadcast_groups) \
         if presample else None
@@ -77,19 +78,19 @@ def tuple_sketch(df: DataFrame, key: ColumnOrName, metrics: Sequence[Metric],
     if theta0 is None:
         agg = rows.groupBy(*by_names, KEY).agg(*sums)
         h = F.when(F.col(KEY).isNotNull(), key_hash(F.col(KEY), hash))
-        tuples = agg.select(*by_names, h.alias("h"), *[f"_s{i}" for i in range(n)]) \
-            .select(*by_names, "h", values.alias("values"), F.lit(None).cast("bigint").alias("_t"))
+        tuples = agg.select(*by_names, h.alias(H), *[f"__tc_s{i}" for i in range(n)]) \
+            .select(*by_names, H, values.alias(V), F.lit(None).cast("bigint").alias(T))
     else:
         h = key_hash(F.col(KEY), hash)
         if isinstance(theta0, Column):
-            hashed = rows.withColumn("_t", theta0)
+            hashed = rows.withColumn(T, theta0)
         else:
             hashed = rows.join(F.broadcast(theta0), on=_null_safe_on(rows, theta0, by_names),
-                               how="left").select(rows["*"], theta0["_t0"].alias("_t"))
-            hashed = hashed.withColumn("_t", F.coalesce("_t", F.lit(THETA_MAX)))
-        hashed = hashed.withColumn("h", F.when(F.col(KEY).isNotNull() & (h < F.col("_t")), h))
-        agg = hashed.groupBy(*by_names, "h").agg(*sums, F.min("_t").alias("_t"))
-        tuples = agg.select(*by_names, "h", values.alias("values"), "_t")
+                               how="left").select(rows["*"], theta0[_T0].alias(T))
+            hashed = hashed.withColumn(T, F.coalesce(T, F.lit(THETA_MAX)))
+        hashed = hashed.withColumn(H, F.when(F.col(KEY).isNotNull() & (h < F.col(T)), h))
+        agg = hashed.groupBy(*by_names, H).agg(*sums, F.min(T).alias(T))
+        tuples = agg.select(*by_names, H, values.alias(V), T)
 
     return finish(tuples, by_names, k, n, hash, out=out, fanout=fanout)
 
@@ -97,7 +98,7 @@ def tuple_sketch(df: DataFrame, key: ColumnOrName, metrics: Sequence[Metric],
 def _presample_thresholds(rows: DataFrame, by: list[str], k: int, hash: str,
                           max_groups: int):
     """Per-group ``theta0``: a literal Column when ungrouped, else a small
-    DataFrame ``by..., _t0`` (or None when there are too many groups)."""
+    DataFrame ``by..., __tc_theta0`` (or None when there are too many groups)."""
     keyed = rows.where(F.col(KEY).isNotNull())
     est = F.approx_count_distinct(F.col(KEY), 0.02)
     target = float(PRESAMPLE_SLACK * k)
@@ -106,10 +107,11 @@ def _presample_thresholds(rows: DataFrame, by: list[str], k: int, hash: str,
         if n_est <= target:
             return F.lit(THETA_MAX)
         return F.lit(int(THETA_MAX * (target / n_est)))
-    counts = keyed.groupBy(*by).agg(est.alias("n"))
-    t0 = F.when(F.col("n") <= target, F.lit(THETA_MAX)).otherwise(
-        (F.lit(float(THETA_MAX)) * (F.lit(target) / F.col("n"))).cast("bigint"))
-    thresholds = counts.select(*by, t0.alias("_t0"))
+    counts = keyed.groupBy(*by).agg(est.alias("__tc_n"))
+    n = F.col("__tc_n")
+    t0 = F.when(n <= target, F.lit(THETA_MAX)).otherwise(
+        (F.lit(float(THETA_MAX)) * (F.lit(target) / n)).cast("bigint"))
+    thresholds = counts.select(*by, t0.alias(_T0))
     # One job; at most max_groups + 1 rows ever reach the driver.
     local = thresholds.limit(max_groups + 1).collect()
     if len(local) > max_groups:

@@ -16,9 +16,11 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import HASH_KINDS
 from ..functions.metrics import ColumnOrName, check_k
-from .bottomk import finish
+from .bottomk import H, HK, T, V, finish
 from .rows import group_columns, group_names
 
+_X = "__tc_x"
+
 
 def merge_sketches(df: DataFrame, sketch: str = "sketch",
                    by: Sequence[ColumnOrName] | ColumnOrName | None = None,
@@ -49,24 +51,25 @@ def merge_sketches(df: DataFrame, sketch: str = "sketch",
     # Hash kind as a small integer, so every aggregate below stays a hash aggregate.
     code = hash_code(sk["hash"])
     # One pass: each sketch yields a marker row (its theta) followed by its entries.
-    marker = F.struct(F.lit(None).cast("bigint").alias("h"),
-                      F.lit(None).cast("array<double>").alias("values"),
-                      checked_theta.alias("_t"), code.alias("_hc"))
+    marker = F.struct(F.lit(None).cast("bigint").alias(H),
+                      F.lit(None).cast("array<double>").alias(V),
+                      checked_theta.alias(T), code.alias(HK))
     entries = F.transform(sk["entries"], lambda e: F.struct(
-        e["h"].alias("h"), e["values"].alias("values"),
-        F.lit(None).cast("bigint").alias("_t"), code.alias("_hc")))
-    rows = s.select(*by_names, F.explode(F.concat(F.array(marker), entries)).alias("_x")) \
-        .select(*by_names, "_x.h", "_x.values", "_x._t", "_x._hc")
-    sums = [F.sum(F.get(F.col("values"), i)).alias(f"_s{i}") for i in range(n)]
-    agg = rows.groupBy(*by_names, "h").agg(
-        *sums, F.min("_t").alias("_t"), F.min("_hc").alias("_hcmin"), F.max("_hc").alias("_hcmax"))
-    hash_kind = F.when(F.col("_hcmin") != F.col("_hcmax"),
+        e["h"].alias(H), e["values"].alias(V),
+        F.lit(None).cast("bigint").alias(T), code.alias(HK)))
+    rows = s.select(*by_names, F.explode(F.concat(F.array(marker), entries)).alias(_X)) \
+        .select(*by_names, *[F.col(_X)[c].alias(c) for c in (H, V, T, HK)])
+    sums = [F.sum(F.get(F.col(V), i)).alias(f"__tc_s{i}") for i in range(n)]
+    agg = rows.groupBy(*by_names, H).agg(
+        *sums, F.min(T).alias(T), F.min(HK).alias("__tc_hcmin"), F.max(HK).alias("__tc_hcmax"))
+    hash_kind = F.when(F.col("__tc_hcmin") != F.col("__tc_hcmax"),
                        F.raise_error(F.lit("cannot merge sketches built with different hash kinds"))
-                       ).otherwise(F.col("_hcmin"))
-    values = F.when(F.col("h").isNotNull(), F.array(*[F.col(f"_s{i}") for i in range(n)]))
-    tuples = agg.select(*by_names, "h", values.alias("values"), "_t", hash_kind.alias("_hk"))
-    out_df = finish(tuples, by_names, k, n, None, out="_merged", fanout=fanout)
-    m = F.col("_merged")
+                       ).otherwise(F.col("__tc_hcmin"))
+    values = F.when(F.col(H).isNotNull(), F.array(*[F.col(f"__tc_s{i}") for i in range(n)]))
+    tuples = agg.select(*by_names, H, values.alias(V), T, hash_kind.alias(HK))
+    merged = "__tc_merged"
+    out_df = finish(tuples, by_names, k, n, None, out=merged, fanout=fanout)
+    m = F.col(merged)
     return out_df.select(*by_names, F.struct(
         m["theta"].alias("theta"), m["k"].alias("k"), m["num_values"].alias("num_values"),
         hash_name(m["hash"].cast("int")).alias("hash"), m["entries"].alias("entries")).alias(out))

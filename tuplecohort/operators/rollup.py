@@ -24,12 +24,12 @@ def tuple_rollup(df: DataFrame, key: ColumnOrName, metrics: Sequence[Metric],
     metrics = check_metrics(metrics)
     df, by_names = group_names(df, group_columns(by))
     rows = prepared(df, by_names, key, metrics).where(F.col(KEY).isNotNull())
-    sums = [F.sum(f"_m{i}").alias(f"_s{i}") for i in range(len(metrics))]
+    sums = [F.sum(f"__tc_m{i}").alias(f"__tc_s{i}") for i in range(len(metrics))]
     agg = rows.groupBy(*by_names, KEY).agg(*sums)
     return agg.select(
         *by_names,
         key_text(F.col(KEY)).alias(key_name),
-        F.array(*[F.col(f"_s{i}") for i in range(len(metrics))]).alias(values_name),
+        F.array(*[F.col(f"__tc_s{i}") for i in range(len(metrics))]).alias(values_name),
     )
 
 

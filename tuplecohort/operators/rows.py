@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from ..functions.metrics import (ColumnOrName, Metric, as_column, rows_with_complete_metrics,
                                  valid_key)
 
-KEY = "_k"
+KEY = "__tc_k"
 
 
 def group_columns(by: Sequence[ColumnOrName] | ColumnOrName | None) -> list[ColumnOrName]:
@@ -50,7 +50,7 @@ def has_column(df: DataFrame, key: ColumnOrName) -> bool:
 
 def prepared(df: DataFrame, by: list[str], key: ColumnOrName,
              metrics: Sequence[Metric]) -> DataFrame:
-    """``by..., _k (null = no key), _m0.._m{n-1} DOUBLE``.
+    """``by..., __tc_k (null = no key), __tc_m0.. DOUBLE`` (one per metric).
 
     ``_k`` keeps the key's own type (integers group faster than their text);
     :func:`key_text` gives the string form after aggregation, once per key.
@@ -59,15 +59,15 @@ def prepared(df: DataFrame, by: list[str], key: ColumnOrName,
     key_col = as_column(key)
     key_type = df.select(key_col).schema.fields[0].dataType
     ok = rows_with_complete_metrics(metrics)
-    vals = [m.filtered().alias(f"_m{i}") for i, m in enumerate(metrics)]
+    vals = [m.filtered().alias(f"__tc_m{i}") for i, m in enumerate(metrics)]
     if isinstance(key_type, T.ArrayType):
         # explode_outer keeps rows whose list is empty or null as group markers.
-        rows = df.select(*by, F.explode_outer(key_col).alias("_kraw"), ok.alias("_ok"), *vals)
+        rows = df.select(*by, F.explode_outer(key_col).alias("__tc_kraw"), ok.alias("__tc_ok"), *vals)
         elem_type = key_type.elementType
     else:
-        rows = df.select(*by, key_col.alias("_kraw"), ok.alias("_ok"), *vals)
+        rows = df.select(*by, key_col.alias("__tc_kraw"), ok.alias("__tc_ok"), *vals)
         elem_type = key_type
-    k = F.col("_kraw")
+    k = F.col("__tc_kraw")
     if isinstance(elem_type, (T.FloatType, T.DoubleType, T.DecimalType)):
         k = k.cast("string")
         elem_type = T.StringType()
@@ -77,8 +77,8 @@ def prepared(df: DataFrame, by: list[str], key: ColumnOrName,
         valid = k.isNotNull()  # the text of a non-string value is never empty
     return rows.select(
         *by,
-        F.when(F.col("_ok") & valid, k).alias(KEY),
-        *[F.col(f"_m{i}") for i in range(len(metrics))],
+        F.when(F.col("__tc_ok") & valid, k).alias(KEY),
+        *[F.col(f"__tc_m{i}") for i in range(len(metrics))],
     )
 
 

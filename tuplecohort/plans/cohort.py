@@ -22,6 +22,7 @@ from ..functions.metrics import ColumnOrName, Metric
 from ..functions.sketch import filter_tuples, sketch_estimate, sketch_retained
 from ..operators.build import DEFAULT_K, tuple_sketch
 from ..operators.rollup import tuple_rollup
+from ..operators.rows import group_columns, group_names
 
 
 def time_bucket(ts: ColumnOrName, unit: str = "week") -> Column:
@@ -44,9 +45,10 @@ def cohort_exact(df: DataFrame, key: ColumnOrName, metrics: Sequence[Metric],
                  cond: TupleExpr, by: Sequence[ColumnOrName] | ColumnOrName,
                  name: str = "keys") -> DataFrame:
     """``by..., name BIGINT``: exact number of keys per group whose tuple meets ``cond``."""
-    tuples = tuple_rollup(df, key, metrics, by=by)
-    by_names = [c for c in tuples.columns if c not in ("key", "values")]
-    hit = predicate_on("values", cond)
+    df, by_names = group_names(df, group_columns(by))
+    tuples = tuple_rollup(df, key, metrics, by=by_names, key_name="__tc_key",
+                          values_name="__tc_values")
+    hit = predicate_on("__tc_values", cond)
     return tuples.groupBy(*by_names).agg(F.count_if(hit).alias(name))
 
 
@@ -55,12 +57,14 @@ def cohort_sketch(df: DataFrame, key: ColumnOrName, metrics: Sequence[Metric],
                   k: int = DEFAULT_K, hash: str = "md5", presample: bool = False,
                   name: str = "est_keys") -> DataFrame:
     """``by..., name DOUBLE, retained BIGINT, theta BIGINT``: estimated cohort size per group."""
-    sk = tuple_sketch(df, key, metrics, by=by, k=k, hash=hash, presample=presample)
-    filtered = sk.withColumn("cohort", filter_tuples("sketch", cond))
-    by_names = [c for c in sk.columns if c != "sketch"]
+    df, by_names = group_names(df, group_columns(by))
+    sk = tuple_sketch(df, key, metrics, by=by_names, k=k, hash=hash, presample=presample,
+                      out="__tc_sketch")
+    filtered = sk.withColumn("__tc_cohort", filter_tuples("__tc_sketch", cond))
+    c = F.col("__tc_cohort")
     return filtered.select(
         *by_names,
-        sketch_estimate("cohort").alias(name),
-        sketch_retained("cohort").cast("bigint").alias("retained"),
-        F.col("cohort")["theta"].alias("theta"),
+        sketch_estimate(c).alias(name),
+        sketch_retained(c).cast("bigint").alias("retained"),
+        c["theta"].alias("theta"),
     )
