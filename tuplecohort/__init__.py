@@ -2,7 +2,8 @@
 
 from .functions import (SKETCH_TYPE, THETA_MAX, Metric, collapse_tuples, combine_sketches,
                         empty_sketch, filter_tuples, key_hash, sketch_estimate, sketch_retained,
-                        sketch_slot_sum, slot, theta_fraction, to_spark_sql)
+                        sketch_slot_sum, sketch_valid, slot, theta_fraction,
+                        to_spark_sql)
 from .operators import (collapse_rows, count_keys, filter_rows, merge_sketches,
                         order_by_estimate, sketch_entries, transform_chain, tuple_rollup,
                         tuple_sketch)

@@ -2,9 +2,9 @@ from .exprs import slot, to_spark_sql
 from .hashing import THETA_MAX, key_hash
 from .metrics import Metric
 from .sketch import (SKETCH_TYPE, collapse_tuples, combine_sketches, empty_sketch,
-                     filter_tuples, sketch_estimate, sketch_retained, sketch_slot_sum,
+                     filter_tuples, sketch_estimate, sketch_retained, sketch_slot_sum, sketch_valid,
                      theta_fraction)
 
 __all__ = ["Metric", "slot", "to_spark_sql", "THETA_MAX", "key_hash", "SKETCH_TYPE",
            "collapse_tuples", "combine_sketches", "empty_sketch", "filter_tuples",
-           "sketch_estimate", "sketch_retained", "sketch_slot_sum", "theta_fraction"]
+           "sketch_estimate", "sketch_retained", "sketch_slot_sum", "sketch_valid", "theta_fraction"]

@@ -171,3 +171,21 @@ def combine_sketches(a: SketchLike, b: SketchLike, k: Optional[int] = None) -> C
         F.raise_error(F.lit("cannot combine sketches built with different hash kinds"))
     ).otherwise(hash_kind)
     return make_sketch(new_theta, k_out, checked_width, checked_hash, entries)
+
+
+def sketch_valid(sketch: SketchLike) -> Column:
+    """True when a sketch keeps the format's invariants (null sketches count as valid):
+    0 < theta <= 2^60, at most ``k`` entries, every hash in [0, theta), hashes strictly
+    increasing, every tuple of width ``num_values``, a known hash kind."""
+    from .hashing import HASH_KINDS
+    s = _col(sketch)
+    e = s["entries"]
+    n = F.size(e)
+    sorted_ok = F.when(n > 1, F.forall(
+        F.sequence(F.lit(2), n),
+        lambda i: F.element_at(e, i - 1)["h"] < F.element_at(e, i)["h"])).otherwise(F.lit(True))
+    ok = ((s["theta"] > 0) & (s["theta"] <= F.lit(THETA_MAX)) & (n <= s["k"])
+          & F.forall(e, lambda x: (x["h"] >= 0) & (x["h"] < s["theta"])
+                     & (F.size(x["values"]) == s["num_values"]))
+          & sorted_ok & s["hash"].isin(*HASH_KINDS))
+    return s.isNull() | F.coalesce(ok, F.lit(False))

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.sketch import SKETCH_TYPE
+from ..functions.sketch import SKETCH_TYPE, sketch_valid
 
 
 def _strip(dt: T.DataType) -> T.DataType:
@@ -40,11 +40,16 @@ def check_sketch_column(df: DataFrame, column: str) -> DataFrame:
     return df
 
 
-def as_sketch_column(df: DataFrame, column: str) -> DataFrame:
-    """Ingest a column that already carries sketches: check it and cast to the
-    canonical type (null values pass through)."""
+def as_sketch_column(df: DataFrame, column: str, validate: bool = False) -> DataFrame:
+    """Ingest a column that already carries sketches: check its type and cast to
+    the canonical type (null values pass through).  ``validate`` also checks
+    every value's invariants when the data is read (a bad row raises)."""
     check_sketch_column(df, column)
-    return df.withColumn(column, F.col(column).cast(SKETCH_TYPE))
+    c = F.col(column).cast(SKETCH_TYPE)
+    if validate:
+        c = F.when(sketch_valid(c), c).otherwise(
+            F.raise_error(F.lit(f"column {column!r} holds a value that is not a valid sketch")))
+    return df.withColumn(column, c)
 
 
 def write_sketches(df: DataFrame, path: str, sketch: str = "sketch",
@@ -56,5 +61,6 @@ def write_sketches(df: DataFrame, path: str, sketch: str = "sketch",
     w.parquet(path)
 
 
-def read_sketches(spark: SparkSession, path: str, sketch: str = "sketch") -> DataFrame:
-    return as_sketch_column(spark.read.parquet(path), sketch)
+def read_sketches(spark: SparkSession, path: str, sketch: str = "sketch",
+                  validate: bool = False) -> DataFrame:
+    return as_sketch_column(spark.read.parquet(path), sketch, validate=validate)
