@@ -86,3 +86,17 @@ def test_replayed_batch_is_not_counted_twice(spark):
     got = read_stream_sketches(spark, path, by="week", k=64, num_values=2)
     want = tuple_sketch(ev, "user_id", metrics(), by=time_bucket("ts").alias("week"), k=64)
     assert canon(got) == canon(want)
+
+
+def test_compact_equals_merged_batches(spark):
+    from tuplecohort.streaming import compact_sketches, write_batch_sketches
+    ev = spark.read.parquet(f"{SF_MID}/events.parquet")
+    path = scratch_path(spark, "compact-src")
+    for i, (lo, hi) in enumerate([(1, 10), (11, 20), (21, 31)]):
+        part = ev.where(F.dayofmonth("ts").between(lo, hi))
+        write_batch_sketches(part, i, path, "user_id", metrics(), by=time_bucket("ts").alias("week"),
+                             k=64)
+    compacted = compact_sketches(spark, path, scratch_path(spark, "compact-out"), by="week", k=64,
+                                 num_values=2)
+    want = tuple_sketch(ev, "user_id", metrics(), by=time_bucket("ts").alias("week"), k=64)
+    assert canon(compacted) == canon(want)
