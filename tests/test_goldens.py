@@ -98,3 +98,16 @@ def test_order_by_estimate_nulls_first_and_top_k(spark):
     assert asc == ["g3", "g2", "g1"]
     top = [r["g"] for r in order_by_estimate(sk, "sketch", ascending=False, limit=2).collect()]
     assert top == ["g3", "g1"]  # nulls first, then the largest estimate
+
+
+def test_weekly_cohort_flagship(spark):
+    from conftest import SF_SMALL
+    from tuplecohort import weekly_cohort
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    ms = [Metric(F.lit(1.0), F.col("event_type") == "view"),
+          Metric(F.lit(1.0), F.col("event_type") == "purchase")]
+    exact = [r["keys"] for r in weekly_cohort(ev, "user_id", ms, "$0 >= 4 && $1 > 0", "ts")
+             .orderBy("week").collect()]
+    sk = [r["est_keys"] for r in weekly_cohort(ev, "user_id", ms, "$0 >= 4 && $1 > 0", "ts",
+                                               exact=False).orderBy("week").collect()]
+    assert exact == [5, 7, 4, 4, 0] and sk == [5.0, 7.0, 4.0, 4.0, 0.0]

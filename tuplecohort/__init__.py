@@ -7,7 +7,7 @@ from .functions import (SKETCH_TYPE, THETA_MAX, Metric, collapse_tuples, combine
 from .operators import (collapse_rows, count_keys, filter_rows, merge_sketches,
                         order_by_estimate, sketch_entries, transform_chain, tuple_rollup,
                         tuple_sketch)
-from .plans import cohort_exact, cohort_sketch, time_bucket
+from .plans import cohort_exact, cohort_sketch, time_bucket, weekly_cohort
 from .session import checkpoint_dir, configure, ensure_group_limit, local_session
 from .sources import as_sketch_column, check_sketch_column, read_sketches, write_sketches
 

@@ -2,7 +2,7 @@
 
 Shared by the exact rollup and the sketch build.  A row whose key is null or
 empty, or which has a null in any metric column, keeps its group alive but
-gets a null key (``_k``), so it contributes to no tuple.  Multi-valued keys
+gets a null key (column ``KEY``), so it contributes to no tuple.  Multi-valued keys
 (an ARRAY column) fan out to one row per element; duplicates count twice and
 an empty list contributes nothing.
 """

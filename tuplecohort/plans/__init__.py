@@ -1,3 +1,3 @@
-from .cohort import cohort_exact, cohort_sketch, time_bucket
+from .cohort import cohort_exact, cohort_sketch, time_bucket, weekly_cohort
 
-__all__ = ["cohort_exact", "cohort_sketch", "time_bucket"]
+__all__ = ["cohort_exact", "cohort_sketch", "time_bucket", "weekly_cohort"]

@@ -68,3 +68,14 @@ def cohort_sketch(df: DataFrame, key: ColumnOrName, metrics: Sequence[Metric],
         sketch_retained(c).cast("bigint").alias("retained"),
         c["theta"].alias("theta"),
     )
+
+
+def weekly_cohort(df: DataFrame, key: ColumnOrName, metrics: Sequence[Metric], cond: TupleExpr,
+                  ts: ColumnOrName, exact: bool = True, k: int = DEFAULT_K, hash: str = "md5",
+                  presample: bool = False) -> DataFrame:
+    """The flagship question per ISO week: ``week DATE`` plus ``keys`` (exact) or
+    ``est_keys, retained, theta`` (through a sketch)."""
+    week = time_bucket(ts, "week").alias("week")
+    if exact:
+        return cohort_exact(df, key, metrics, cond, by=week)
+    return cohort_sketch(df, key, metrics, cond, by=week, k=k, hash=hash, presample=presample)
