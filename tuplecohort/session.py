@@ -44,18 +44,26 @@ def configure(spark: SparkSession, k_max: int = 65536) -> SparkSession:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder of the session; a scratch one only if unset."""
-    sc = spark.sparkContext
-    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster; "
-                               "written intermediates and lineage cuts go there")
-        d = tempfile.mkdtemp(prefix="tuplecohort-ckpt-")  # local sessions (tests) only
-        spark.conf.set("spark.checkpoint.dir", d)
-    if sc.getCheckpointDir() is None:
+    """The shared checkpoint folder of the session; a scratch one only for a
+    local session where it is unset (tests)."""
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect sessions have no SparkContext
+        sc = None
+    d = (sc.getCheckpointDir() if sc is not None else None) \
+        or spark.conf.get("spark.checkpoint.dir", None)
+    if d:
+        if sc is not None and sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(d)
+        return (sc.getCheckpointDir() if sc is not None else None) or d
+    master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+    if not master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster; "
+                           "written intermediates and lineage cuts go there")
+    d = tempfile.mkdtemp(prefix="tuplecohort-ckpt-")  # local sessions (tests) only
+    if sc is not None:
         sc.setCheckpointDir(d)
-    return sc.getCheckpointDir() or d
+    return d
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
