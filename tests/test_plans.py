@@ -88,3 +88,17 @@ def test_large_partition_counts_plan_a_two_level_limit(spark):
         spark.conf.set("spark.sql.shuffle.partitions", old)
     assert "pmod(SPARK_PARTITION_ID(), 64)" in plan
     assert plan.count("WindowGroupLimit") == 4  # partial + final at both levels
+
+
+def test_stored_sketches_prune_partitions(spark):
+    import datetime
+    sk = tuple_sketch(_events(spark), "user_id", [Metric("value")],
+                      by=["event_type", F.to_date("ts").alias("day")], k=64)
+    path = scratch_path(spark, "prune-days")
+    write_sketches(sk, path, partition_by=["day"])
+    week = read_sketches(spark, path).where(
+        F.col("day").between(datetime.date(2024, 1, 8), datetime.date(2024, 1, 14)))
+    m = merge_sketches(week, "sketch", by="event_type", k=64, num_values=1)
+    plan = explain(m)
+    scan = [ln for ln in plan.splitlines() if "PartitionFilters" in ln][0]
+    assert "day" in scan and "2024-01-08" in scan
