@@ -100,3 +100,29 @@ def test_compact_equals_merged_batches(spark):
                                  num_values=2)
     want = tuple_sketch(ev, "user_id", metrics(), by=time_bucket("ts").alias("week"), k=64)
     assert canon(compacted) == canon(want)
+
+
+def test_stream_cohort_exact_other_session_zone(spark, time_ordered_source):
+    src, schema = time_ordered_source
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
+        out = stream_cohort_exact(stream, "ts", "user_id", metrics(), "$0 >= 4 && $1 > 0",
+                                  watermark="2 days")
+        name = "cohort_tz_" + str(abs(hash(src)) % 10 ** 8)
+        q = out.writeStream.outputMode("append").format("memory").queryName(name) \
+            .option("checkpointLocation", scratch_path(spark, "stream-ckpt-tz")).start()
+        q.processAllAvailable()
+        spark.createDataFrame([(10 ** 9, datetime.datetime(2024, 3, 1), 1, "click", 1.0, "{}")],
+                              schema).coalesce(1).write.mode("append").parquet(src)
+        q.processAllAvailable()
+        q.stop()
+        got = {r["bucket"]: r["keys"] for r in spark.sql(f"SELECT * FROM {name}").collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    ev = spark.read.parquet(f"{SF_MID}/events.parquet")
+    want = {r["week"]: r["keys"] for r in cohort_exact(
+        ev, "user_id", metrics(), "$0 >= 4 && $1 > 0",
+        by=time_bucket("ts").alias("week")).collect()}
+    assert got == want

@@ -21,6 +21,7 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.exprs import TupleExpr, predicate_on
@@ -83,9 +84,20 @@ def compact_sketches(spark: SparkSession, path: str, out_path: str,
     return read_sketches(spark, out_path)
 
 
-def _event_time(ts: ColumnOrName) -> Column:
+def _event_time(stream: DataFrame, ts: ColumnOrName) -> tuple[Column, str]:
+    """Event time as a TIMESTAMP, plus the zone its wall clock is read in.
+
+    A ``TIMESTAMP_NTZ`` value becomes the instant whose UTC wall clock equals
+    it, so windows (aligned in UTC) follow its calendar under any session
+    time zone."""
     c = F.col(ts) if isinstance(ts, str) else ts
-    return c.cast("timestamp")
+    dt = stream.select(c).schema.fields[0].dataType
+    if isinstance(dt, T.TimestampNTZType):
+        # Field by field, so no daylight-saving rule of any zone is involved.
+        utc = F.make_timestamp(F.year(c), F.month(c), F.dayofmonth(c), F.hour(c), F.minute(c),
+                               F.date_part(F.lit("SECOND"), c), F.lit("UTC"))
+        return utc, "UTC"
+    return c.cast("timestamp"), "session"
 
 
 def stream_cohort_exact(stream: DataFrame, ts: str, key: ColumnOrName,
@@ -95,10 +107,11 @@ def stream_cohort_exact(stream: DataFrame, ts: str, key: ColumnOrName,
     """Streaming ``bucket DATE, name BIGINT``: exact cohort size per window.
 
     The default window is the ISO week (epoch day 0 is a Thursday, hence the
-    4-day offset).  ``TIMESTAMP_NTZ`` event times are read in the session
-    time zone (the watermark needs a ``TIMESTAMP``)."""
+    4-day offset).  Windows are aligned in UTC; a ``TIMESTAMP_NTZ`` event time
+    is bucketed by its own calendar whatever the session time zone."""
     metrics = check_metrics(metrics)
-    s = stream.withColumn("_et", _event_time(ts)).withWatermark("_et", watermark)
+    et, wall_zone = _event_time(stream, ts)
+    s = stream.withColumn("_et", et).withWatermark("_et", watermark)
     key_col = F.col(key) if isinstance(key, str) else key
     ok = F.lit(True)
     for m in metrics:
@@ -111,4 +124,9 @@ def stream_cohort_exact(stream: DataFrame, ts: str, key: ColumnOrName,
     per_key = per_key.withColumn("values", F.array(*[F.col(f"_s{i}")
                                                      for i in range(len(metrics))]))
     counted = per_key.groupBy("_w").agg(F.count_if(predicate_on("values", cond)).alias(name))
-    return counted.select(F.to_date(F.col("_w")["start"]).alias("bucket"), name)
+    start = F.col("_w")["start"]
+    if wall_zone == "UTC":  # the window's UTC calendar date, from epoch seconds
+        bucket = F.date_from_unix_date(F.floor(F.unix_seconds(start) / 86400).cast("int"))
+    else:
+        bucket = F.to_date(start)
+    return counted.select(bucket.alias("bucket"), name)
