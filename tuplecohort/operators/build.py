@@ -35,6 +35,7 @@ from .rows import KEY, group_columns, group_names, has_column, prepared
 
 log = logging.getLogger(__name__)
 
+# Fixed value: default nominal entries (k), as the reference's code uses.
 DEFAULT_K = 4096
 PRESAMPLE_SLACK = 4
 _T0 = "__tc_theta0"
