@@ -17,6 +17,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fixed values of the sketch format.
+DEFAULT_K = 4096  # default nominal entries, as in the reference's code
 THETA_BITS = 60
 THETA_MAX = 1 << THETA_BITS  # "nothing sampled away"
 HASH_KINDS = ("md5", "xxhash64")

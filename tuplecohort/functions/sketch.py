@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .exprs import TupleExpr, as_double, as_double_sql, to_spark_sql, truthy, truthy_sql
-from .hashing import THETA_MAX, check_hash_kind
+from .hashing import DEFAULT_K, THETA_MAX, check_hash_kind
 
 ENTRY_TYPE = T.StructType([
     T.StructField("h", T.LongType()),
@@ -58,7 +58,7 @@ def make_sketch(theta: Column, k: Column, num_values: Column, hash_kind: Column,
     )
 
 
-def empty_sketch(num_values: int, k: int = 4096, hash: str = "md5") -> Column:
+def empty_sketch(num_values: int, k: int = DEFAULT_K, hash: str = "md5") -> Column:
     """A sketch with no entries and theta = 2^60 (the estimate is 0)."""
     check_hash_kind(hash)
     return make_sketch(F.lit(THETA_MAX), F.lit(k), F.lit(num_values), F.lit(hash),
@@ -144,7 +144,7 @@ def combine_sketches(a: SketchLike, b: SketchLike, k: Optional[int] = None) -> C
     theta = F.least(F.coalesce(a["theta"], F.lit(THETA_MAX)),
                     F.coalesce(b["theta"], F.lit(THETA_MAX)))
     k_out = F.lit(k) if k is not None else F.coalesce(F.least(a["k"], b["k"]), a["k"], b["k"],
-                                                      F.lit(4096))
+                                                      F.lit(DEFAULT_K))
     width = F.coalesce(a["num_values"], b["num_values"], F.lit(1))
     hash_kind = F.coalesce(a["hash"], b["hash"], F.lit("md5"))
     empty = F.array().cast(ENTRIES_TYPE)

@@ -27,7 +27,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.hashing import THETA_MAX, check_hash_kind, key_hash
+from ..functions.hashing import DEFAULT_K, THETA_MAX, check_hash_kind, key_hash
 from ..functions.metrics import ColumnOrName, Metric, check_k, check_metrics
 from ..functions.sketch import empty_sketch
 from .bottomk import H, T, V, finish
@@ -35,8 +35,6 @@ from .rows import KEY, group_columns, group_names, has_column, prepared
 
 log = logging.getLogger(__name__)
 
-# Fixed value: default nominal entries (k), as the reference's code uses.
-DEFAULT_K = 4096
 PRESAMPLE_SLACK = 4
 _T0 = "__tc_theta0"
 MAX_BROADCAST_GROUPS = 200_000

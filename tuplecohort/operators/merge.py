@@ -14,7 +14,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.hashing import HASH_KINDS
+from ..functions.hashing import DEFAULT_K, HASH_KINDS
 from ..functions.metrics import ColumnOrName, check_k
 from .bottomk import H, HK, T, V, finish
 from .rows import group_columns, group_names
@@ -40,7 +40,7 @@ def merge_sketches(df: DataFrame, sketch: str = "sketch",
         if num_values is None:
             num_values = first[0]["n"] if first else 1
         if k is None:
-            k = first[0]["k"] if first else 4096
+            k = first[0]["k"] if first else DEFAULT_K
     check_k(k)
     n = num_values
     sk = F.col(sketch)
