@@ -26,7 +26,7 @@ def as_column(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-@dataclass(frozen=True)
+@dataclass(frozen=True, eq=False)
 class Metric:
     """One tuple slot: ``column`` summed over rows where ``where`` holds.
 
