@@ -102,3 +102,11 @@ def test_stored_sketches_prune_partitions(spark):
     plan = explain(m)
     scan = [ln for ln in plan.splitlines() if "PartitionFilters" in ln][0]
     assert "day" in scan and "2024-01-08" in scan
+
+
+def test_exact_rollup_pushes_key_filter_to_parquet(spark):
+    from tuplecohort import tuple_rollup
+    r = tuple_rollup(_events(spark), "user_id", [Metric("value")], by="event_type")
+    plan = explain(r)
+    assert "PushedFilters: [IsNotNull(value), IsNotNull(user_id)]" in plan \
+        or "PushedFilters: [IsNotNull(user_id), IsNotNull(value)]" in plan

@@ -23,7 +23,7 @@ def tuple_rollup(df: DataFrame, key: ColumnOrName, metrics: Sequence[Metric],
     """``by..., key STRING, values ARRAY<DOUBLE>``: exact per-key tuples."""
     metrics = check_metrics(metrics)
     df, by_names = group_names(df, group_columns(by))
-    rows = prepared(df, by_names, key, metrics).where(F.col(KEY).isNotNull())
+    rows = prepared(df, by_names, key, metrics, keep_invalid=False)
     sums = [F.sum(f"__tc_m{i}").alias(f"__tc_s{i}") for i in range(len(metrics))]
     agg = rows.groupBy(*by_names, KEY).agg(*sums)
     return agg.select(

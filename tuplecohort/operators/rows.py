@@ -49,13 +49,15 @@ def has_column(df: DataFrame, key: ColumnOrName) -> bool:
 
 
 def prepared(df: DataFrame, by: list[str], key: ColumnOrName,
-             metrics: Sequence[Metric]) -> DataFrame:
+             metrics: Sequence[Metric], keep_invalid: bool = True) -> DataFrame:
     """``by..., __tc_k (null = no key), __tc_m0.. DOUBLE`` (one per metric).
 
     ``_k`` keeps the key's own type (integers group faster than their text);
     :func:`key_text` gives the string form after aggregation, once per key.
     Floating-point keys are turned into text first so that key identity is
-    always the identity of the text."""
+    always the identity of the text.  ``keep_invalid=False`` drops rows without
+    a usable key instead of keeping them as group markers (the condition then
+    reaches the Parquet scan as a pushed filter)."""
     key_col = as_column(key)
     key_type = df.select(key_col).schema.fields[0].dataType
     ok = rows_with_complete_metrics(metrics)
@@ -75,11 +77,10 @@ def prepared(df: DataFrame, by: list[str], key: ColumnOrName,
         valid = valid_key(k)
     else:
         valid = k.isNotNull()  # the text of a non-string value is never empty
-    return rows.select(
-        *by,
-        F.when(F.col("__tc_ok") & valid, k).alias(KEY),
-        *[F.col(f"__tc_m{i}") for i in range(len(metrics))],
-    )
+    ms = [F.col(f"__tc_m{i}") for i in range(len(metrics))]
+    if not keep_invalid:
+        return rows.where(F.col("__tc_ok") & valid).select(*by, k.alias(KEY), *ms)
+    return rows.select(*by, F.when(F.col("__tc_ok") & valid, k).alias(KEY), *ms)
 
 
 def key_text(c: Column) -> Column:
