@@ -110,3 +110,16 @@ def test_exact_rollup_pushes_key_filter_to_parquet(spark):
     plan = explain(r)
     assert "PushedFilters: [IsNotNull(value), IsNotNull(user_id)]" in plan \
         or "PushedFilters: [IsNotNull(user_id), IsNotNull(value)]" in plan
+
+
+def test_presample_count_pass_reads_only_group_and_key(spark):
+    from tuplecohort.operators.build import _presample_thresholds
+    li = spark.read.parquet(f"{SF_MID}/lineitem.parquet")
+    t = _presample_thresholds(li, ["l_returnflag"], "l_orderkey", 64, 1000)
+    assert t is not None and t.count() == 3
+    # The distinct-count job itself: only the two columns are read.
+    from tuplecohort.operators.rows import KEY, prepared
+    from pyspark.sql import functions as F
+    keyed = prepared(li, ["l_returnflag"], "l_orderkey", [], keep_invalid=False)
+    plan = explain(keyed.groupBy("l_returnflag").agg(F.approx_count_distinct(KEY)))
+    assert "ReadSchema: struct<l_orderkey:bigint,l_returnflag:string>" in plan

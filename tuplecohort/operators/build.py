@@ -71,7 +71,7 @@ def tuple_sketch(df: DataFrame, key: ColumnOrName, metrics: Sequence[Metric],
     sums = [F.sum(f"__tc_m{i}").alias(f"__tc_s{i}") for i in range(n)]
     values = F.when(F.col(H).isNotNull(), F.array(*[F.col(f"__tc_s{i}") for i in range(n)]))
 
-    theta0 = _presample_thresholds(rows, by_names, k, hash, max_broadcast_groups) \
+    theta0 = _presample_thresholds(df, by_names, key, k, max_broadcast_groups) \
         if presample else None
 
     if theta0 is None:
@@ -94,11 +94,15 @@ def tuple_sketch(df: DataFrame, key: ColumnOrName, metrics: Sequence[Metric],
     return finish(tuples, by_names, k, n, hash, out=out, fanout=fanout)
 
 
-def _presample_thresholds(rows: DataFrame, by: list[str], k: int, hash: str,
+def _presample_thresholds(df: DataFrame, by: list[str], key: ColumnOrName, k: int,
                           max_groups: int):
     """Per-group ``theta0``: a literal Column when ungrouped, else a small
-    DataFrame ``by..., __tc_theta0`` (or None when there are too many groups)."""
-    keyed = rows.where(F.col(KEY).isNotNull())
+    DataFrame ``by..., __tc_theta0`` (or None when there are too many groups).
+
+    The distinct count reads only the group and key columns (no metric
+    columns): counting a key whose rows all have a null metric only lowers
+    ``theta0`` slightly, which the slack absorbs."""
+    keyed = prepared(df, by, key, [], keep_invalid=False)
     est = F.approx_count_distinct(F.col(KEY), 0.02)
     target = float(PRESAMPLE_SLACK * k)
     if not by:
@@ -116,7 +120,7 @@ def _presample_thresholds(rows: DataFrame, by: list[str], k: int, hash: str,
     if len(local) > max_groups:
         log.warning("presample skipped: more than %d groups (the broadcast bound)", max_groups)
         return None
-    return rows.sparkSession.createDataFrame(local, thresholds.schema)
+    return df.sparkSession.createDataFrame(local, thresholds.schema)
 
 
 def _null_safe_on(left: DataFrame, right: DataFrame, by: list[str]):
