@@ -57,3 +57,12 @@ def test_group_limit_threshold_only_raised():
     s.conf.set(GROUP_LIMIT_CONF, "1000000")
     ensure_group_limit(s, 4096)
     assert s.conf.get(GROUP_LIMIT_CONF) == "1000000"
+
+
+def test_fanout_follows_the_larger_initial_partition_count():
+    from tuplecohort.operators.bottomk import auto_fanout
+    assert auto_fanout(_Session("local", conf={"spark.sql.shuffle.partitions": "200"})) == 1
+    assert auto_fanout(_Session("local", conf={
+        "spark.sql.shuffle.partitions": "200",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "4096"})) == 64
+    assert auto_fanout(_Session("local", conf={"spark.sql.shuffle.partitions": "20000"})) == 142

@@ -45,11 +45,17 @@ TREE_MIN_PARTITIONS = 2048
 
 
 def auto_fanout(spark) -> int:
-    """Buckets for the two-level limit: sqrt(shuffle partitions) when large, else 1."""
-    try:
-        p = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    except ValueError:
-        return 1
+    """Buckets for the two-level limit: sqrt(shuffle partitions) when large, else 1.
+
+    With AQE the initial partition count may be set separately; the larger
+    of the two is what an exchange starts from."""
+    p = 0
+    for key in ("spark.sql.shuffle.partitions",
+                "spark.sql.adaptive.coalescePartitions.initialPartitionNum"):
+        try:
+            p = max(p, int(spark.conf.get(key, None) or 0))
+        except ValueError:
+            pass
     return int(math.ceil(math.sqrt(p))) if p >= TREE_MIN_PARTITIONS else 1
 
 
