@@ -86,8 +86,17 @@ def test_large_partition_counts_plan_a_two_level_limit(spark):
         plan = explain(sk, "simple")  # plan only; nothing runs with 4096 partitions
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
-    assert "pmod(SPARK_PARTITION_ID(), 64)" in plan
+    import re
+    assert re.search(r"hashpartitioning\(event_type#\d+, __tc_b#\d+, 4096\)", plan)
     assert plan.count("WindowGroupLimit") == 4  # partial + final at both levels
+    formatted = None
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "4096")
+        formatted = explain(tuple_sketch(_events(spark), "user_id", [Metric("value")],
+                                         by="event_type", k=1024))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert "pmod(SPARK_PARTITION_ID(), 64)" in formatted
 
 
 def test_stored_sketches_prune_partitions(spark):

@@ -87,14 +87,15 @@ def finish(rows: DataFrame, by: list[str], k: int, num_values, hash_kind,
         F.coalesce(F.min(T), F.lit(THETA_MAX)).alias(T),
         *carried,
     )
-    kept = grouped.select(*part, F.col(T), *([HK] if hash_kind is None else []),
-                          F.filter(_E, lambda e: e["h"] < F.col(T)).alias(_E))
-    n = F.size(_E)
-    theta = F.when(n > k, F.element_at(_E, k + 1)["h"]).otherwise(F.col(T))
+    # Entries below the group's incoming theta (a suffix of the sorted list is
+    # cut); then the new theta is the (k+1)-th hash when there is one.
+    kept = F.filter(_E, lambda e: e["h"] < F.col(T))
+    n = F.size(kept)
+    theta = F.when(n > k, F.element_at(kept, k + 1)["h"]).otherwise(F.col(T))
     num_values = num_values if not isinstance(num_values, int) else F.lit(num_values)
     if hash_kind is None:  # carried per row (constant per group)
         hash_kind = F.col(HK)
     elif isinstance(hash_kind, str):
         hash_kind = F.lit(hash_kind)
-    sketch = make_sketch(theta, F.lit(k), num_values, hash_kind, F.slice(_E, 1, k))
-    return kept.select(*by, sketch.alias(out))
+    sketch = make_sketch(theta, F.lit(k), num_values, hash_kind, F.slice(kept, 1, k))
+    return grouped.select(*by, sketch.alias(out))

@@ -69,16 +69,17 @@ def tuple_sketch(df: DataFrame, key: ColumnOrName, metrics: Sequence[Metric],
 
     rows = prepared(df, by_names, key, metrics)
     sums = [F.sum(f"__tc_m{i}").alias(f"__tc_s{i}") for i in range(n)]
-    values = F.when(F.col(H).isNotNull(), F.array(*[F.col(f"__tc_s{i}") for i in range(n)]))
+    def values(present):
+        return F.when(present, F.array(*[F.col(f"__tc_s{i}") for i in range(n)]))
 
     theta0 = _presample_thresholds(df, by_names, key, k, max_broadcast_groups) \
         if presample else None
 
     if theta0 is None:
         agg = rows.groupBy(*by_names, KEY).agg(*sums)
-        h = F.when(F.col(KEY).isNotNull(), key_hash(F.col(KEY), hash))
-        tuples = agg.select(*by_names, h.alias(H), *[f"__tc_s{i}" for i in range(n)]) \
-            .select(*by_names, H, values.alias(V), F.lit(None).cast("bigint").alias(T))
+        present = F.col(KEY).isNotNull()
+        tuples = agg.select(*by_names, F.when(present, key_hash(F.col(KEY), hash)).alias(H),
+                            values(present).alias(V), F.lit(None).cast("bigint").alias(T))
     else:
         h = key_hash(F.col(KEY), hash)
         if isinstance(theta0, Column):
@@ -89,7 +90,7 @@ def tuple_sketch(df: DataFrame, key: ColumnOrName, metrics: Sequence[Metric],
             hashed = hashed.withColumn(T, F.coalesce(T, F.lit(THETA_MAX)))
         hashed = hashed.withColumn(H, F.when(F.col(KEY).isNotNull() & (h < F.col(T)), h))
         agg = hashed.groupBy(*by_names, H).agg(*sums, F.min(T).alias(T))
-        tuples = agg.select(*by_names, H, values.alias(V), T)
+        tuples = agg.select(*by_names, H, values(F.col(H).isNotNull()).alias(V), T)
 
     return finish(tuples, by_names, k, n, hash, out=out, fanout=fanout)
 

@@ -30,16 +30,23 @@ def group_columns(by: Sequence[ColumnOrName] | ColumnOrName | None) -> list[Colu
 
 
 def group_names(df: DataFrame, by: Sequence[ColumnOrName]) -> tuple[DataFrame, list[str]]:
-    """Project Column-valued group expressions to named columns (their alias)."""
-    names: list[str] = []
-    for b in by:
-        if isinstance(b, str):
-            names.append(b)
-        else:
-            name = df.select(b).columns[0]
+    """Project Column-valued group expressions to named columns (their alias).
+
+    One projection for all of them; an alias equal to an existing column
+    replaces that column (``withColumn`` semantics)."""
+    exprs = [b for b in by if not isinstance(b, str)]
+    if not exprs:
+        return df, [b for b in by]
+    old = df.columns
+    projected = df.select("*", *exprs)
+    new_names = projected.columns[len(old):]
+    if set(new_names) & set(old) or len(set(new_names)) != len(new_names):
+        for b, name in zip(exprs, new_names):  # rare: an alias shadows a column
             df = df.withColumn(name, b)
-            names.append(name)
-    return df, names
+    else:
+        df = projected
+    it = iter(new_names)
+    return df, [b if isinstance(b, str) else next(it) for b in by]
 
 
 def has_column(df: DataFrame, key: ColumnOrName) -> bool:
@@ -59,17 +66,19 @@ def prepared(df: DataFrame, by: list[str], key: ColumnOrName,
     a usable key instead of keeping them as group markers (the condition then
     reaches the Parquet scan as a pushed filter)."""
     key_col = as_column(key)
-    key_type = df.select(key_col).schema.fields[0].dataType
+    if isinstance(key, str) and key in df.columns:
+        key_type = df.schema[key].dataType  # cached schema, no analysis
+    else:
+        key_type = df.select(key_col).schema.fields[0].dataType
     ok = rows_with_complete_metrics(metrics)
     vals = [m.filtered().alias(f"__tc_m{i}") for i, m in enumerate(metrics)]
     if isinstance(key_type, T.ArrayType):
         # explode_outer keeps rows whose list is empty or null as group markers.
-        rows = df.select(*by, F.explode_outer(key_col).alias("__tc_kraw"), ok.alias("__tc_ok"), *vals)
-        elem_type = key_type.elementType
+        df = df.select(*by, F.explode_outer(key_col).alias("__tc_kraw"), ok.alias("__tc_ok"), *vals)
+        k, ok, elem_type = F.col("__tc_kraw"), F.col("__tc_ok"), key_type.elementType
+        ms = [F.col(f"__tc_m{i}") for i in range(len(metrics))]
     else:
-        rows = df.select(*by, key_col.alias("__tc_kraw"), ok.alias("__tc_ok"), *vals)
-        elem_type = key_type
-    k = F.col("__tc_kraw")
+        k, elem_type, ms = key_col, key_type, vals
     if isinstance(elem_type, (T.FloatType, T.DoubleType, T.DecimalType)):
         k = k.cast("string")
         elem_type = T.StringType()
@@ -77,10 +86,9 @@ def prepared(df: DataFrame, by: list[str], key: ColumnOrName,
         valid = valid_key(k)
     else:
         valid = k.isNotNull()  # the text of a non-string value is never empty
-    ms = [F.col(f"__tc_m{i}") for i in range(len(metrics))]
     if not keep_invalid:
-        return rows.where(F.col("__tc_ok") & valid).select(*by, k.alias(KEY), *ms)
-    return rows.select(*by, F.when(F.col("__tc_ok") & valid, k).alias(KEY), *ms)
+        return df.where(ok & valid).select(*by, k.alias(KEY), *ms)
+    return df.select(*by, F.when(ok & valid, k).alias(KEY), *ms)
 
 
 def key_text(c: Column) -> Column:

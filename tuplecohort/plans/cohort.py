@@ -60,9 +60,8 @@ def cohort_sketch(df: DataFrame, key: ColumnOrName, metrics: Sequence[Metric],
     df, by_names = group_names(df, group_columns(by))
     sk = tuple_sketch(df, key, metrics, by=by_names, k=k, hash=hash, presample=presample,
                       out="__tc_sketch")
-    filtered = sk.withColumn("__tc_cohort", filter_tuples("__tc_sketch", cond))
-    c = F.col("__tc_cohort")
-    return filtered.select(
+    c = filter_tuples("__tc_sketch", cond)
+    return sk.select(
         *by_names,
         sketch_estimate(c).alias(name),
         sketch_retained(c).cast("bigint").alias("retained"),
