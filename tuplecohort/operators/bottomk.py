@@ -63,8 +63,8 @@ def finish(rows: DataFrame, by: list[str], k: int, num_values, hash_kind,
            out: str = "sketch", fanout: int | None = None) -> DataFrame:
     """``by..., out`` with one sketch per group of ``rows`` (columns ``by..., H, V, T``).
 
-    ``hash_kind``: a string, a Column over the grouped result, or None to take
-    it from the rows' ``HK`` column."""
+    ``hash_kind``: a string, or a function mapping the rows' ``HK`` column
+    (aggregated per group) to the hash kind."""
     ensure_group_limit(rows.sparkSession, k)
     part = list(by)
     if not part:
@@ -81,7 +81,7 @@ def finish(rows: DataFrame, by: list[str], k: int, num_values, hash_kind,
     limited = rows.withColumn(_RN, F.row_number().over(w)).where(F.col(_RN) <= k + 2)
     entry = F.when(F.col(H).isNotNull(),
                    F.struct(F.col(H).alias("h"), F.col(V).alias("values")))
-    carried = [F.max(HK).alias(HK)] if hash_kind is None else []
+    carried = [F.max(HK).alias(HK)] if callable(hash_kind) else []
     grouped = limited.groupBy(*part).agg(
         F.slice(F.sort_array(F.collect_list(entry)), 1, k + 1).alias(_E),
         F.coalesce(F.min(T), F.lit(THETA_MAX)).alias(T),
@@ -93,9 +93,9 @@ def finish(rows: DataFrame, by: list[str], k: int, num_values, hash_kind,
     n = F.size(kept)
     theta = F.when(n > k, F.element_at(kept, k + 1)["h"]).otherwise(F.col(T))
     num_values = num_values if not isinstance(num_values, int) else F.lit(num_values)
-    if hash_kind is None:  # carried per row (constant per group)
-        hash_kind = F.col(HK)
-    elif isinstance(hash_kind, str):
+    if callable(hash_kind):  # carried per row (constant per group)
+        hash_kind = hash_kind(F.col(HK))
+    else:
         hash_kind = F.lit(hash_kind)
     sketch = make_sketch(theta, F.lit(k), num_values, hash_kind, F.slice(kept, 1, k))
     return grouped.select(*by, sketch.alias(out))

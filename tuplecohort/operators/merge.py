@@ -67,12 +67,7 @@ def merge_sketches(df: DataFrame, sketch: str = "sketch",
                        ).otherwise(F.col("__tc_hcmin"))
     values = F.when(F.col(H).isNotNull(), F.array(*[F.col(f"__tc_s{i}") for i in range(n)]))
     tuples = agg.select(*by_names, H, values.alias(V), T, hash_kind.alias(HK))
-    merged = "__tc_merged"
-    out_df = finish(tuples, by_names, k, n, None, out=merged, fanout=fanout)
-    m = F.col(merged)
-    return out_df.select(*by_names, F.struct(
-        m["theta"].alias("theta"), m["k"].alias("k"), m["num_values"].alias("num_values"),
-        hash_name(m["hash"].cast("int")).alias("hash"), m["entries"].alias("entries")).alias(out))
+    return finish(tuples, by_names, k, n, hash_name, out=out, fanout=fanout)
 
 
 def hash_code(name):
