@@ -130,3 +130,16 @@ def test_empty_sketch_literal(spark):
     row = spark.range(1).select(empty_sketch(3).alias("e"), sketch_estimate(empty_sketch(3))
                                 .alias("x")).first()
     assert row["e"]["num_values"] == 3 and row["x"] == 0.0
+
+
+def test_n7_group_of_only_null_sketches_gets_an_empty_sketch(spark):
+    sk = _one_sketch(spark, ["a", "b"]).withColumn("g", F.lit("x"))
+    t = sk.schema["sketch"].dataType
+    nul = spark.range(2).select(F.lit("y").alias("g"), F.lit(None).cast(t).alias("sketch"))
+    merged = merge_sketches(sk.select("g", "sketch").unionByName(nul), "sketch", by="g",
+                            num_values=1, k=1024)
+    got = {r["g"]: (r["e"], r["s"]["theta"], r["s"]["hash"], r["s"]["entries"])
+           for r in merged.select("g", sketch_estimate("sketch").alias("e"),
+                                  F.col("sketch").alias("s")).collect()}
+    assert got["x"][0] == 2.0
+    assert got["y"] == (0.0, THETA_MAX, "md5", [])

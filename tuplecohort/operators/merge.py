@@ -3,8 +3,8 @@
 Plan: every non-null input sketch yields, in one ``explode``, a marker row
 (its theta) followed by its entries; one aggregate on (group, hash) sums the tuples slot by
 slot and takes the smallest theta; the bottom-k tail then keeps the ``k``
-smallest hashes below that theta.  A group of empty sketches still yields
-an (empty) sketch.  Widths and hash kinds are checked per row.
+smallest hashes below that theta.  Null sketches are skipped, and a group
+of only empty or null sketches still yields an (empty) sketch.  Widths and hash kinds are checked per row.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import DEFAULT_K, HASH_KINDS
 from ..functions.metrics import ColumnOrName, check_k
+from ..functions.sketch import ENTRIES_TYPE
 from .bottomk import H, HK, T, V, finish
 from .rows import group_columns, group_names
 
@@ -33,9 +34,8 @@ def merge_sketches(df: DataFrame, sketch: str = "sketch",
     avoid it."""
     out = out or sketch
     df, by_names = group_names(df, group_columns(by))
-    s = df.where(F.col(sketch).isNotNull())
     if num_values is None or k is None:
-        first = s.select(F.col(sketch)["num_values"].alias("n"), F.col(sketch)["k"].alias("k")) \
+        first = df.where(F.col(sketch).isNotNull()).select(F.col(sketch)["num_values"].alias("n"), F.col(sketch)["k"].alias("k")) \
             .limit(1).collect()
         if num_values is None:
             num_values = first[0]["n"] if first else 1
@@ -49,15 +49,17 @@ def merge_sketches(df: DataFrame, sketch: str = "sketch",
         F.raise_error(F.concat(F.lit(f"cannot merge sketches: expected num_values={n}, got "),
                                sk["num_values"].cast("string")))).otherwise(sk["theta"])
     # Hash kind as a small integer, so every aggregate below stays a hash aggregate.
-    code = hash_code(sk["hash"])
+    code = F.when(sk.isNotNull(), hash_code(sk["hash"]))
     # One pass: each sketch yields a marker row (its theta) followed by its entries.
+    # A null sketch yields only a marker without theta: it is skipped, but its
+    # group still gets a (possibly empty) sketch.
     marker = F.struct(F.lit(None).cast("bigint").alias(H),
                       F.lit(None).cast("array<double>").alias(V),
                       checked_theta.alias(T), code.alias(HK))
-    entries = F.transform(sk["entries"], lambda e: F.struct(
+    entries = F.transform(F.coalesce(sk["entries"], F.array().cast(ENTRIES_TYPE)), lambda e: F.struct(
         e["h"].alias(H), e["values"].alias(V),
         F.lit(None).cast("bigint").alias(T), code.alias(HK)))
-    rows = s.select(*by_names, F.explode(F.concat(F.array(marker), entries)).alias(_X)) \
+    rows = df.select(*by_names, F.explode(F.concat(F.array(marker), entries)).alias(_X)) \
         .select(*by_names, *[F.col(_X)[c].alias(c) for c in (H, V, T, HK)])
     sums = [F.sum(F.get(F.col(V), i)).alias(f"__tc_s{i}") for i in range(n)]
     agg = rows.groupBy(*by_names, H).agg(
@@ -67,7 +69,8 @@ def merge_sketches(df: DataFrame, sketch: str = "sketch",
                        ).otherwise(F.col("__tc_hcmin"))
     values = F.when(F.col(H).isNotNull(), F.array(*[F.col(f"__tc_s{i}") for i in range(n)]))
     tuples = agg.select(*by_names, H, values.alias(V), T, hash_kind.alias(HK))
-    return finish(tuples, by_names, k, n, hash_name, out=out, fanout=fanout)
+    return finish(tuples, by_names, k, n, lambda c: F.coalesce(hash_name(c), F.lit(HASH_KINDS[0])),
+                  out=out, fanout=fanout)
 
 
 def hash_code(name):
