@@ -143,3 +143,14 @@ def test_n7_group_of_only_null_sketches_gets_an_empty_sketch(spark):
                                   F.col("sketch").alias("s")).collect()}
     assert got["x"][0] == 2.0
     assert got["y"] == (0.0, THETA_MAX, "md5", [])
+
+
+def test_n8_combine_with_one_null_side_is_the_other(spark):
+    sk = _one_sketch(spark, ["a", "b", "c"])
+    t = sk.schema["sketch"].dataType
+    row = sk.select(F.col("sketch").alias("s"),
+                    combine_sketches("sketch", F.lit(None).cast(t)).alias("l"),
+                    combine_sketches(F.lit(None).cast(t), "sketch").alias("r")).first()
+    for side in ("l", "r"):
+        assert row[side]["entries"] == row["s"]["entries"]
+        assert row[side]["theta"] == row["s"]["theta"] and row[side]["hash"] == row["s"]["hash"]
