@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, tokens, vafile, warc
+from . import decontam, langid, mixing, tokens, vafile, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,13 +54,13 @@ def op2_va_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SQL["op2_va_top_k"] = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS vec
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS vec
   FROM embeddings
   WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), s AS (
   SELECT q.vec_id AS query_id, c.vec_id,
-         CAST(list_sum(list_transform(list_zip(q.vec, c.vec), z -> z[1] * z[2])) AS BIGINT) AS score
+         CAST(list_sum(list_transform(list_zip(q.vec, c.vec), lambda z: z[1] * z[2])) AS BIGINT) AS score
   FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.vec) = len(c.vec)
   WHERE q.vec_id % 50 = 0
 ), r AS (
@@ -70,6 +70,15 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
 
 
+@query
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from the folds that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    model = langid.learn(docs.filter(~langid.held_out(F.col("doc_id"))))
+    found = langid.identify(docs, model, ["doc_id"])
+    return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 @query
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of all documents, written as Simple-8b files and read back."""
@@ -79,6 +88,40 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.read_id_files(manifest)
 
 
+@query
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows in all documents."""
+    found = decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items",
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
+_WORDS_SQL = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+SQL["op5_decontaminate"] = f"""
+WITH d AS (SELECT doc_id, {_WORDS_SQL} AS w FROM documents),
+i AS (SELECT item_id, w, least(13, len(w)) AS l FROM (SELECT item_id, {_WORDS_SQL} AS w FROM benchmark) WHERE len(w) > 0),
+win AS (
+  SELECT DISTINCT item_id, l, array_to_string(w[p:p + l - 1], ' ') AS t
+  FROM (SELECT item_id, w, l, unnest(range(1, len(w) - l + 2)) AS p FROM i)
+), dw AS (
+  SELECT doc_id, p, l, array_to_string(w[p:p + l - 1], ' ') AS t
+  FROM (SELECT doc_id, w, l, unnest(range(1, len(w) - l + 2)) AS p FROM d, (SELECT DISTINCT l FROM win) WHERE len(w) >= l)
+), occ AS (SELECT doc_id, p, l, item_id FROM dw JOIN win USING (l, t)),
+hit AS (
+  SELECT doc_id, count(DISTINCT q) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + l)) AS q FROM occ) GROUP BY doc_id
+), it AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS items
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS i FROM occ) GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN it USING (doc_id)
+"""
+
+
 @query
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Copies of every document so that the sources meet their target weights."""
