@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+import sys
+import types
 import uuid
 
 import numpy as np
@@ -56,6 +58,12 @@ def null_safe(a: Column, b: Column) -> Column:
     return a.eqNullSafe(b)
 
 
+def worker_cache() -> dict:
+    """A dict that lives as long as the Python worker process, across its tasks."""
+    name = "tuplecohort_worker_cache"
+    return vars(sys.modules.setdefault(name, types.ModuleType(name)))
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """Finaliser of a 64-bit hash (splitmix64 constants), element-wise."""
     x = x.astype(np.uint64, copy=True)

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import fresh_name, open_folder, shared_folder, stored
+from .common import fresh_name, open_folder, shared_folder, stored, worker_cache
 
 MAGIC = b"S8BIDS01"
 BLOCK = 65536
@@ -210,7 +210,7 @@ def read_id_file(source) -> Iterator[tuple[int | None, np.ndarray]]:
 
 #: Lower-case letters up to U+00FF; each is its own lower case and its own composed form.
 _LETTERS = "abcdefghijklmnopqrstuvwxyz" + "".join(chr(c) for c in range(0xDF, 0x100) if c != 0xF7)
-_WORD = re.compile(f"([{_LETTERS}]+)([.,]?)")
+_WORD = re.compile(f"([{_LETTERS}]+)([.,]?)|[.,]")
 _PLAIN = [*range(33, 127), *range(161, 173), *range(174, 256)]
 #: Byte-level spelling of a byte (as a Latin-1 character): itself if it prints, else the next sign from U+0100.
 _SPELT = {b: 256 + i for i, b in enumerate(sorted(set(range(256)) - set(_PLAIN)))}
@@ -233,14 +233,15 @@ class PartIds(dict):
     def __missing__(self, part: bytes) -> bytes:
         text = part.decode()
         if self.plain and (m := _WORD.fullmatch(text.lower())) and len(text.lower()) == len(text):
-            ids = [t.id for t in self.model.tokenize(self.spelt(m[1]))]
             if m[2]:
-                ids += [t.id for t in self.model.tokenize(m[2])]
+                found = self[part[:-1]] + self[part[-1:]]
+            else:
+                found = np.array([t.id for t in self.model.tokenize(self.spelt(text.lower()))], np.uint32).tobytes()
         else:
-            ids = self.encode(text, add_special_tokens=False).ids
+            found = np.array(self.encode(text, add_special_tokens=False).ids, np.uint32).tobytes()
         if len(self) >= self.keep:
             self.clear()
-        found = self[part] = np.array(ids, np.uint32).tobytes()
+        self[part] = found
         return found
 
 
@@ -295,7 +296,10 @@ def write_id_files(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, n
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 if out is None:
-                    encode = tokenizer_encoder(tokenizer_path)
+                    cache = worker_cache()
+                    if ("encoder", tokenizer_path) not in cache:
+                        cache["encoder", tokenizer_path] = tokenizer_encoder(tokenizer_path)
+                    encode = cache["encoder", tokenizer_path]
                     where, base = open_folder(folder)
                     where.create_dir(base, recursive=True)
                     file = fresh_name(f"part-{part:05d}", ".s8b")
