@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, jaccard, langid, mixing, tokens, vafile, warc
+from . import decontam, jaccard, langid, mixing, repeats, tokens, vafile, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -122,6 +122,13 @@ FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN it USING (doc_id)
 """
 
 
+@query
+def op7_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of all documents under 200-byte strings that occur at another place too."""
+    found = repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("bigint").alias("n_spans"), "kept_sha256")
+
+
 @query
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Copies of every document so that the sources meet their target weights."""
