@@ -326,7 +326,32 @@ def jaccard_components(docs: DataFrame, size: int = SHINGLE, percent: int = PERC
                  .select("f_cid", "first_id", F.coalesce("comp", "f_cid").alias("comp"))
     first = stored(first, "jaccard-first")
     least = first.groupBy(F.col("comp").alias("l_comp")).agg(F.min("first_id").alias("component_id"))
-    of = first.join(least, F.col("comp") == F.col("l_comp"), "inner").select("f_cid", "component_id")
+    of = first.join(least, F.col("comp") == F.col("l_comp"), "inner").select("f_cid", "comp", "component_id")
     out = sets.select("doc_id", "th", "cid", "n").join(of, F.col("cid") == F.col("f_cid"), "left")
     return out.select("doc_id", "th", F.col("n").cast("bigint").alias("n_shingles"),
-                      F.when(F.col("cid").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+                      F.when(F.col("cid").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+                      F.col("comp").alias("component"))
+
+
+def keep_one_of_each(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """The documents without near duplicates, with all their columns.
+
+    Of each component the row with the smallest doc_id stays (then the smallest text
+    hash; of rows equal in both one stays).  Texts with an empty set all stay.
+    """
+    found = stored(jaccard_components(docs, size, percent), "jaccard-found")
+    first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "th")
+    keep = found.filter("component is not null").groupBy("component").agg(F.min(first).alias("k")) \
+                .select(F.col("k.doc_id").alias("k_id"), F.col("k.th").alias("k_th"))
+    rows = found.groupBy(F.col("doc_id").alias("r_id"), F.col("th").alias("r_th")).agg(F.count(F.lit(1)).alias("rows"))
+    keep = keep.join(rows, F.col("k_th").eqNullSafe(F.col("r_th")) & F.col("k_id").eqNullSafe(F.col("r_id")), "inner") \
+               .select("k_id", "k_th", "rows")
+    empty = found.filter("component is null").select("doc_id", "th").distinct().withColumn("rows", F.lit(1).cast("bigint"))
+    keep = stored(keep.union(empty).toDF("k_id", "k_th", "rows"), "jaccard-keep")
+    cols = docs.columns
+    d = docs.select(F.struct(*[F.col(f"`{c}`") for c in cols]).alias("r"), F.col("doc_id").cast("bigint").alias("d_id"),
+                    F.xxhash64("text").alias("d_th"))
+    d = d.join(keep, F.col("d_th").eqNullSafe(F.col("k_th")) & F.col("d_id").eqNullSafe(F.col("k_id")), "inner")
+    again = d.filter("rows > 1").withColumn(
+        "nth", F.row_number().over(Window.partitionBy("d_id", "d_th").orderBy("d_id"))).filter("nth = 1")
+    return d.filter("rows = 1").select("r").unionByName(again.select("r")).select("r.*")

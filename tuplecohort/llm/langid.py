@@ -43,6 +43,8 @@ RIDGE = 1e-3
 PIECE = 1 << 18
 BATCH_DOCS = 64
 UNKNOWN = "und"
+#: A text with a lower score is in none of the learned languages, as far as the pipeline is concerned.
+MIN_SCORE = 0.2
 _LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -189,19 +191,31 @@ def learn(labelled: DataFrame, per_language: int = PER_LANGUAGE, landmarks: int
 
 
 def identify(docs: DataFrame, model: LanguageModel, keep: list[str]) -> DataFrame:
-    """The columns ``keep`` of ``docs`` with lang_pred and score, from the column ``text`` alone."""
-    rows = docs.select(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)], F.col("text").alias("the_text"))
-    schema = rows.drop("the_text").schema.add("lang_pred", "string").add("score", "double")
+    """The columns ``keep`` of ``docs`` with lang_pred and score, from the column ``text`` alone.
+
+    The two new columns come last, also beside kept columns of the same names.
+    """
+    cols = [*keep, *([] if "text" in keep else ["text"])]
+    rows = docs.select(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(cols)])
+    text, kept = cols.index("text"), [f"k{i}" for i in range(len(keep))]
+    schema = rows.select(*kept).schema.add("lang_pred", "string").add("score", "double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = model.predict(b.column(b.num_columns - 1).to_pylist())
+            found = model.predict(b.column(text).to_pylist())
             yield pa.RecordBatch.from_arrays(
-                [*b.columns[:-1], pa.array([x for x, _ in found], pa.string()), pa.array([s for _, s in found], pa.float64())],
-                names=[*b.schema.names[:-1], "lang_pred", "score"])
+                [*b.columns[:len(kept)], pa.array([x for x, _ in found], pa.string()),
+                 pa.array([s for _, s in found], pa.float64())], names=[*kept, "lang_pred", "score"])
+
+    return rows.mapInArrow(run, schema).toDF(*keep, "lang_pred", "score")
+
 
-    return rows.mapInArrow(run, schema).select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)],
-                                               "lang_pred", "score")
+def keep_known(docs: DataFrame, model: LanguageModel, min_score: float = MIN_SCORE) -> DataFrame:
+    """The documents in a learned language with a score of at least ``min_score``, with all their columns."""
+    cols = docs.columns
+    found = identify(docs, model, cols).toDF(*[f"c{i}" for i in range(len(cols))], "found", "value")
+    found = found.filter((F.col("found") != UNKNOWN) & (F.col("value") >= min_score))
+    return found.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(cols)])
 
 
 def held_out(doc_id: Column) -> Column:

@@ -140,7 +140,8 @@ def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose 3-word shingle sets have a Jaccard similarity of 0.9 or more."""
-    return jaccard.jaccard_components(table(spark, sf_dir, "documents")).drop("th")
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents")) \
+        .select("doc_id", "n_shingles", "component_id")
 
 
 SQL["op10_jaccard_join"] = r"""
