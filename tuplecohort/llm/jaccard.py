@@ -6,11 +6,12 @@ the Jaccard similarity of their sets is at least ``PERCENT`` / 100.
 1. Equal sets collapse into one; all that follows is between different sets.
 2. Prefix filter.  With the tokens of all sets in one fixed order, two similar sets
    share a token among the first ``n - ceil(t n) + 1`` of each.  The order puts
-   rare tokens first: tokens of the lowest quarter of the hash range are counted
-   exactly over all documents; those in one set only come first (they link
-   nothing and are never indexed), then the others by count, then the rest of the
-   hash range.  Small sets, of which a quarter is too little, are joined in a class
-   of their own that counts all tokens; sets near its border are in both.
+   rare tokens first: tokens in the lowest part of the hash range (1.6 times the
+   share that a prefix takes, and a little) are counted exactly over all documents;
+   those in one set only come first (they link nothing and are never indexed), then
+   the others by count, then the rest of the hash range.  Small sets, of which such
+   a part is too little, are joined in a class of their own that counts all tokens;
+   sets near its border are in both.
 3. Index-level skipping.  An index list is kept in blocks of sets already known to be
    connected; a block has its range of sizes and of token positions, and a set skips
    a whole block when no set with these could reach the overlap needed.
@@ -51,8 +52,6 @@ SHINGLE = 3
 PERCENT = 90
 #: Sets of at most so many tokens are in the class that counts all tokens.
 SMALL = 64
-#: Counted tokens of the other class: hashes below this.
-COUNTED = 1 << 62
 STAR_ROUNDS = 3
 BLOCK = 128
 _SETS = "doc_id bigint, th bigint, cid bigint, n int, counted int, small array<bigint>, large array<bigint>"
@@ -67,6 +66,11 @@ def _alpha(a: Column, b: Column, percent: int) -> Column:
     return F.ceil((a + b) * F.lit(percent) / F.lit(100 + percent))
 
 
+def counted_below(percent: int) -> int:
+    """Tokens with a smaller hash are counted in the large class: rather more than a prefix takes."""
+    return int(2 ** 62 * min(1.0, 4 * (1.6 * (100 - percent) / 100 + 0.02)))
+
+
 def _digest(tokens: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(tokens.tobytes(), digest_size=8).digest(), "little", signed=True)
 
@@ -81,6 +85,7 @@ def shingle_sets(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("th"), "text")
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64())]
     names = ["doc_id", "th", "cid", "n", "counted", "small", "large"]
+    below = counted_below(percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: set[int] = set()
@@ -96,7 +101,7 @@ def shingle_sets(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -
                         out.append((doc, th, None, 0, 0, None, None))
                         continue
                     cid, small, large = _digest(s), None, None
-                    counted = int(np.searchsorted(s, np.uint64(COUNTED)))
+                    counted = int(np.searchsorted(s, np.uint64(below)))
                     if cid not in known:
                         known.add(cid)
                         if n * percent <= SMALL * 100:
@@ -125,7 +130,7 @@ def prefix_index(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     info = sets.filter("cid is not null").groupBy(F.col("cid").alias("i_cid")).agg(
         F.first("n").alias("n"), F.first("counted").alias("counted"))
     shared = shared.join(info, F.col("cid") == F.col("i_cid"), "inner")
-    late = (F.col("cls") == 1) & ~F.col("token").between(0, COUNTED - 1)
+    late = (F.col("cls") == 1) & ~F.col("token").between(0, counted_below(percent) - 1)
     shared = shared.withColumn("late", late)
     of_set = Window.partitionBy("cls", "cid")
     # Copies of a set may have come from several partitions: dense_rank counts a token once.

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, jaccard, langid, mixing, repeats, tokens, vafile, warc
+from . import decontam, jaccard, langid, mixing, repeats, secret_forest, surrogates, tokens, vafile, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -122,6 +122,14 @@ FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN it USING (doc_id)
 """
 
 
+@query
+def op6_secret_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every candidate secret of all documents with the forest's score."""
+    found = secret_forest.scan(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "word_no", "nth", F.length("finding").alias("length"),
+                        F.sha2("finding", 256).alias("finding_sha256"), F.round("score", 6).alias("score"), "is_secret")
+
+
 @query
 def op7_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of all documents under 200-byte strings that occur at another place too."""
@@ -129,6 +137,13 @@ def op7_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("bigint").alias("n_spans"), "kept_sha256")
 
 
+@query
+def op8_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with personal data replaced by surrogates."""
+    found = surrogates.replace_entities(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "text", "entities")
+
+
 @query
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Copies of every document so that the sources meet their target weights."""
