@@ -53,7 +53,7 @@ def write_va_file(vectors: DataFrame, cells: int = CELLS, block: int = VECTOR_BL
     vectors = stored(vectors, "va-vectors")
     grid = vectors.select("dim", F.array_min("vec").alias("a"), F.array_max("vec").alias("b")) \
                   .groupBy("dim").agg(F.min("a").alias("lo"), F.max("b").alias("hi"))
-    grid = stored(grid.select(F.col("dim").alias("g_dim"), "lo",
+    grid = stored(grid.select(F.col("dim").alias("g_dim"), F.coalesce("lo", F.lit(0)).alias("lo"),
                               F.greatest(F.ceil((F.col("hi") - F.col("lo") + 1) / cells), F.lit(1)).cast("bigint")
                               .alias("step")), "va-grid")
 
