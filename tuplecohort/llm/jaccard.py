@@ -12,14 +12,16 @@ the Jaccard similarity of their sets is at least ``PERCENT`` / 100.
    the others by count, then the rest of the hash range.  Small sets, of which such
    a part is too little, are joined in a class of their own that counts all tokens;
    sets near its border are in both.
-3. Index-level skipping.  An index list is kept in blocks of sets already known to be
-   connected; a block has its range of sizes and of token positions, and a set skips
-   a whole block when no set with these could reach the overlap needed.
-4. Answer-level skipping.  Each list first links its sets to a leader (stars), so
-   most of a group of copies is connected with one comparison a set; later work is
-   only between sets not yet connected.  A set is compared with a block of connected
-   sets by computing its overlap with one of them and deriving the others from
-   the differences between those sets alone.
+3. Index-level skipping.  In a short index list two sets are compared only if their
+   sizes and the positions of the token leave enough room, and if the counted tokens
+   that they share (known for the sets of the index) make it possible.  A long list
+   first links its sets to a leader (stars); lists that hold one component then are
+   skipped whole.  The sets that stay open are put into blocks of bounded size, those
+   already connected together; two blocks skip each other by their ranges of size, or
+   if both are of one component.
+4. Answer-level skipping.  A set is compared with a block by counting its overlap with
+   one of the block's sets and deriving the other overlaps from the differences between
+   these sets alone, and not at all if it is connected to all of them.
 5. Connected components of all verified links.
 
 All links found are exact comparisons of whole sets; a pair is only left out if it
@@ -52,8 +54,12 @@ SHINGLE = 3
 PERCENT = 90
 #: Sets of at most so many tokens are in the class that counts all tokens.
 SMALL = 64
-STAR_ROUNDS = 3
+STAR_ROUNDS = 2
 BLOCK = 128
+#: Longer lists are not turned into pairs.
+SHORT_LIST = 32
+#: A table of so few picked sets may be broadcast.
+BROADCAST_ROWS = 500_000
 _SETS = "doc_id bigint, th bigint, cid bigint, n int, counted int, small array<bigint>, large array<bigint>"
 
 
@@ -115,8 +121,12 @@ def shingle_sets(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -
     return rows.mapInArrow(run, _SETS)
 
 
-def prefix_index(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The index: token (its class in ``cls``), cid, n, pos (tokens before it in the order); lists of one set are out."""
+def prefix_index(sets: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
+    """The index and, for the sets in it, the counted tokens that they share with others.
+
+    Index rows: cls, token, cid, n, pos (tokens before it in the order), length (of the list; lists of one set are
+    out).  Sketch rows: cls, cid, n, m (counted tokens, shared or not), shared (array).
+    """
     rows = None
     for cls, col in ((0, "small"), (1, "large")):
         r = sets.filter(F.col(col).isNotNull()).select(F.lit(cls).cast("byte").alias("cls"), "cid",
@@ -139,21 +149,47 @@ def prefix_index(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     counted = F.when(F.col("cls") == 0, F.col("n")).otherwise(F.col("counted"))
     pos = F.when(F.col("late"), counted).otherwise(counted - F.col("n_shared") + F.col("rank") - 1)
     prefix = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
-    index = shared.withColumn("pos", pos.cast("int")).filter(F.col("late") | (F.col("pos") < prefix)) \
-                  .select("cls", "token", "cid", "n", "pos").distinct()
-    index = stored(index, "jaccard-index")
-    several = index.groupBy(F.col("cls").alias("s_cls"), F.col("token").alias("s_token")).agg(
-        F.min("cid").alias("a"), F.max("cid").alias("b")).filter("a < b").select("s_cls", "s_token")
-    return stored(index.join(several, (F.col("token") == F.col("s_token")) & (F.col("cls") == F.col("s_cls")), "left_semi"),
-                  "jaccard-lists")
-
-
-def whole_sets(docs: DataFrame, sets: DataFrame, index: DataFrame, size: int) -> DataFrame:
-    """cid, tokens (sorted hashes as bytes) of every set in the index, made again from a document that has it."""
-    wanted = index.select(F.col("cid").alias("w_cid")).distinct()
+    # A set with as many unshared tokens as a prefix has is similar to no other set.
+    shared = shared.withColumn("pos", pos.cast("int")).withColumn("m", counted.cast("int")) \
+                   .filter(F.col("late") | (counted - F.col("n_shared") < prefix))
+    shared = stored(shared.select("cls", "token", "cid", "n", "m", "pos", "late", (F.col("late") | (F.col("pos") < prefix))
+                                  .alias("in_prefix")).distinct(), "jaccard-shared")
+    index = shared.filter("in_prefix")
+    lists = index.groupBy(F.col("cls").alias("s_cls"), F.col("token").alias("s_token")).agg(
+        F.count(F.lit(1)).alias("length")).filter("length > 1")
+    index = index.join(lists, (F.col("token") == F.col("s_token")) & (F.col("cls") == F.col("s_cls")), "inner") \
+                 .select("cls", "token", "cid", "n", "pos", "length")
+    index = stored(index, "jaccard-lists")
+    named = index.select(F.col("cls").alias("n_cls"), F.col("cid").alias("n_cid")).distinct()
+    sketch = shared.filter("not late").join(named, (F.col("cid") == F.col("n_cid")) & (F.col("cls") == F.col("n_cls")), "left_semi") \
+                   .groupBy("cls", "cid", "n", "m").agg(F.collect_list("token").alias("shared"))
+    return index, stored(sketch, "jaccard-sketches")
+
+
+def could_be_similar(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """The pairs (cls, a, b) whose counted tokens leave it possible.
+
+    Similar sets of x and y tokens share alpha at least, so of m counted tokens of x no more than
+    x - alpha are missing in y.
+    """
+    def side(p: str) -> DataFrame:
+        return sketches.select(*[F.col(c).alias(f"{p}_{c}") for c in ("cls", "cid", "n", "m", "shared")])
+
+    x, y = side("x"), side("y")
+    rows = pairs.join(x, (F.col("a") == F.col("x_cid")) & (F.col("cls") == F.col("x_cls")), "inner") \
+                .join(y, (F.col("b") == F.col("y_cid")) & (F.col("cls") == F.col("y_cls")), "inner")
+    alpha = _alpha(F.col("x_n"), F.col("y_n"), percent)
+    need = alpha + F.greatest(F.col("x_m") - F.col("x_n"), F.col("y_m") - F.col("y_n"))
+    return rows.filter(F.size(F.array_intersect("x_shared", "y_shared")) >= need).select("a", "b").distinct()
+
+
+def whole_sets(docs: DataFrame, sets: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
+    """cid, tokens (sorted hashes as bytes) of every wanted set (w_cid), made again from a document that has it."""
     pick = sets.join(wanted, F.col("cid") == F.col("w_cid"), "left_semi").groupBy("cid").agg(
         F.min(F.struct("doc_id", "th")).alias("d")).select("cid", F.col("d.doc_id").alias("p_id"), F.col("d.th").alias("p_th"))
     pick = stored(pick, "jaccard-picked")
+    if pick.count() <= BROADCAST_ROWS:     # three numbers a row
+        pick = F.broadcast(pick)
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("th"), "text")
     rows = rows.join(pick, rows["th"].eqNullSafe(F.col("p_th")) & rows["doc_id"].eqNullSafe(F.col("p_id")), "inner") \
                .select("cid", "text")
@@ -209,123 +245,144 @@ class Block:
         self.more, self.more_of = np.concatenate(more), np.repeat(np.arange(len(sets)), [len(x) for x in more])
         self.less, self.less_of = np.concatenate(less), np.repeat(np.arange(len(sets)), [len(x) for x in less])
 
-    def first_similar(self, x: np.ndarray, percent: int) -> int | None:
-        """A set of the block similar to x: one overlap is counted, the others are derived from it."""
+    def similar(self, x: np.ndarray, percent: int) -> np.ndarray:
+        """Places of the block's sets similar to x: one overlap is counted, the others are derived from it."""
         n = len(self.cids)
         overlap = int(_in(x, self.ref).sum()) + np.bincount(self.more_of[_in(x, self.more)], minlength=n) \
             - np.bincount(self.less_of[_in(x, self.less)], minlength=n)
-        good = np.flatnonzero(_similar(overlap, len(x), self.sizes, percent))
-        return self.cids[good[0]] if len(good) else None
+        return np.flatnonzero(_similar(overlap, len(x), self.sizes, percent))
+
 
+def compare_blocks(meets: DataFrame, blocks: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between the sets of two blocks, as many as connect what is connected, for each row of ``meets``.
 
-def compare_blocks(probes: DataFrame, members: DataFrame, sets: DataFrame, percent: int, groups: int) -> DataFrame:
-    """Links (a, b) of probes (a, comp, part) with members (cid, comp, part): one for each probe and part at most."""
-    def with_tokens(df: DataFrame, key: str) -> DataFrame:
+    meets: x, y (blocks), blocks: block, cid, comp (component so far).  A block has a bounded number of sets.
+    """
+    def side(name: str) -> DataFrame:
         s = sets.select(F.col("cid").alias("t_cid"), "tokens")
-        g = F.pmod(F.xxhash64("comp", "part"), F.lit(groups)).cast("int")
+        m = meets.select(F.col("x").alias("m_x"), F.col("y").alias("m_y"))
+        rows = blocks.join(s, F.col("cid") == F.col("t_cid"), "inner").join(m, F.col("block") == F.col(f"m_{name}"), "inner")
         # New names for every column: both sides come from the same tables.
-        return df.join(s, F.col(key) == F.col("t_cid"), "inner").select(
-            g.alias("g"), *[F.col(c).alias(d) for c, d in (("comp", "comp"), ("part", "part"), (key, "cid"),
-                                                           ("tokens", "tokens"))])
-
-    def meet(key, left: pa.Table, right: pa.Table) -> pa.Table:
-        by: dict[tuple, tuple[list, list]] = {}
-        for c, p, cid, t in zip(*(right[x].to_pylist() for x in ("comp", "part", "cid", "tokens"))):
-            ids, them = by.setdefault((c, p), ([], []))
-            ids.append(cid)
-            them.append(np.frombuffer(t, np.uint64))
-        blocks: dict[tuple, Block] = {}
-        out = []
-        for c, p, cid, t in zip(*(left[x].to_pylist() for x in ("comp", "part", "cid", "tokens"))):
-            if (c, p) not in by:
-                continue
-            if (c, p) not in blocks:
-                blocks[c, p] = Block(*by[c, p])
-            found = blocks[c, p].first_similar(np.frombuffer(t, np.uint64), percent)
-            if found is not None:
-                out.append((cid, found))
+        return rows.select(*[F.col(c).alias(d) for c, d in (("m_x", "x"), ("m_y", "y"), ("cid", "cid"), ("comp", "comp"),
+                                                            ("tokens", "tokens"))])
+
+    def meet(left: pa.Table, right: pa.Table) -> pa.Table:
+        out: list[tuple[int, int]] = []
+        if left.num_rows and right.num_rows:
+            ids, comps = right["cid"].to_pylist(), right["comp"].to_pylist()
+            block = Block(ids, [np.frombuffer(t, np.uint64) for t in right["tokens"].to_pylist()])
+            up: dict[int, int] = {}
+
+            def root(c: int) -> int:
+                while up.get(c, c) != c:
+                    c = up[c]
+                return c
+
+            for cid, comp, t in zip(*(left[c].to_pylist() for c in ("cid", "comp", "tokens"))):
+                if all(root(c) == root(comp) for c in comps):
+                    continue
+                for i in block.similar(np.frombuffer(t, np.uint64), percent).tolist():
+                    if root(comp) != root(comps[i]):
+                        up[root(comp)] = root(comps[i])
+                        out.append((cid, ids[i]))
         cols = list(zip(*out)) if out else [[], []]
         return pa.table([pa.array(x, pa.int64()) for x in cols], names=["a", "b"])
 
-    return with_tokens(probes, "a").groupBy("g").cogroup(with_tokens(members, "m_cid").groupBy("g")) \
-        .applyInArrow(meet, "a bigint, b bigint")
+    return side("x").groupBy("x", "y").cogroup(side("y").groupBy("x", "y")).applyInArrow(meet, "a bigint, b bigint")
+
+
+def _near(a_n: Column, a_pos: Column, b_n: Column, b_pos: Column, percent: int) -> Column:
+    """Size and positional bounds of two sets in a list."""
+    return (a_n * percent <= b_n * 100) & (b_n * percent <= a_n * 100) \
+        & (F.least(a_n - a_pos, b_n - b_pos) >= _alpha(a_n, b_n, percent))
+
+
+def short_list_pairs(index: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) that meet in a short list and could be similar."""
+    short = index.filter(F.col("length") <= SHORT_LIST)
+    x = short.select("cls", "token", F.col("cid").alias("a"), F.col("n").alias("a_n"), F.col("pos").alias("a_pos"))
+    y = short.select(F.col("cls").alias("b_cls"), F.col("token").alias("b_token"), F.col("cid").alias("b"),
+                     F.col("n").alias("b_n"), F.col("pos").alias("b_pos"))
+    rows = x.join(y, (F.col("token") == F.col("b_token")) & (F.col("cls") == F.col("b_cls")) & (F.col("a") < F.col("b"))
+                  & _near(F.col("a_n"), F.col("a_pos"), F.col("b_n"), F.col("b_pos"), percent), "inner")
+    return could_be_similar(rows.select("cls", "a", "b").distinct(), sketches, percent)
+
 
+def long_list_links(index: DataFrame, sketches: DataFrame, sets: DataFrame, links: DataFrame, percent: int,
+                    rounds: int = STAR_ROUNDS) -> DataFrame:
+    """Links of sets that meet in long lists, beside what ``links`` connects already: all that connect components."""
+    long = index.filter(F.col("length") > SHORT_LIST)
+    nodes = stored(long.select(F.col("cid").alias("node")).distinct(), "jaccard-long")
 
-def find_links(index: DataFrame, sets: DataFrame, percent: int = PERCENT, rounds: int = STAR_ROUNDS) -> DataFrame:
-    """Verified links (a, b) that connect every two sets with a path of similar sets."""
-    label = stored(index.select(F.col("cid").alias("node")).distinct().withColumn("comp", F.col("node")), "jaccard-label")
-    links = None
-    of_list = Window.partitionBy("cls", "token")
+    def labelled(found: DataFrame) -> DataFrame:
+        cc = components(found).withColumnsRenamed({"node": "c_node", "comp": "c_comp"})
+        return stored(nodes.join(cc, F.col("node") == F.col("c_node"), "left")
+                      .select("node", F.coalesce("c_comp", "node").alias("comp")), "jaccard-label")
 
-    def open_lists() -> DataFrame:
-        """Index rows with their component so far, only of lists with two components or more."""
-        rows = index.join(label, F.col("cid") == F.col("node"), "inner").drop("node")
+    def open_lists(label: DataFrame) -> DataFrame:
+        """Rows of the long lists that hold two components or more."""
+        rows = long.join(label, F.col("cid") == F.col("node"), "inner").drop("node")
         two = rows.groupBy(F.col("cls").alias("o_cls"), F.col("token").alias("o_token")).agg(
             F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x < y").select("o_cls", "o_token")
         return rows.join(two, (F.col("token") == F.col("o_token")) & (F.col("cls") == F.col("o_cls")), "left_semi")
 
+    label = labelled(links)
     for r in range(rounds):
-        rows = stored(open_lists(), f"jaccard-open{r}")
+        rows = stored(open_lists(label), f"jaccard-open{r}")
         # The leader of a list: the set whose token comes earliest at first, any other one in later rounds.
         lead = F.struct("pos", "cid") if r == 0 else F.struct(F.xxhash64("cid", F.lit(r)), "cid")
         heads = rows.groupBy(F.col("cls").alias("h_cls"), F.col("token").alias("h_token")).agg(
-            F.min(F.struct(lead.alias("k"), F.col("comp").alias("comp"), F.col("n").alias("n"))).alias("h"))
-        heads = heads.select("h_cls", "h_token", F.col("h.k.cid").alias("lead"), F.col("h.comp").alias("l_comp"),
-                             F.col("h.n").alias("l_n"))
+            F.min(F.struct(lead.alias("k"), F.col("comp").alias("comp"))).alias("h"))
+        heads = heads.select("h_cls", "h_token", F.col("h.k.cid").alias("lead"), F.col("h.comp").alias("l_comp"))
         near = rows.join(heads, (F.col("token") == F.col("h_token")) & (F.col("cls") == F.col("h_cls")), "inner") \
-                   .filter(F.col("comp") != F.col("l_comp")) \
-                   .filter((F.col("n") * percent <= F.col("l_n") * 100) & (F.col("l_n") * percent <= F.col("n") * 100))
-        often = near.groupBy("cid", "lead").agg(F.count(F.lit(1)).alias("k"))
-        best = often.groupBy("cid").agg(F.max(F.struct("k", "lead")).alias("b")) \
-                    .select(F.col("cid").alias("a"), F.col("b.lead").alias("b"))
-        new = stored(verify_pairs(best, sets, percent), f"jaccard-star{r}")
-        links = new if links is None else links.unionByName(new)
-        # Follow the links two steps: a label may stay too fine, never too coarse.
-        up = new.select(F.col("a").alias("u"), F.col("b").alias("v"))
-        far = up.join(up.select(F.col("u").alias("u2"), F.col("v").alias("v2")), F.col("v") == F.col("u2"), "left") \
-                .select("u", F.coalesce(F.least("v", "v2"), F.col("v")).alias("v"))
-        far = far.withColumn("v", F.least("u", "v"))
-        of_v = label.select(F.col("node").alias("n2"), F.col("comp").alias("c2"))
-        label = label.join(far, F.col("node") == F.col("u"), "left").join(of_v, F.col("v") == F.col("n2"), "left") \
-                     .select("node", F.coalesce("c2", "comp").alias("comp"))
-        label = stored(label, f"jaccard-label{r}")
-
-    if links is not None:
-        cc = components(links).withColumnsRenamed({"node": "c_node", "comp": "c_comp"})
-        label = stored(label.select("node").join(cc, F.col("node") == F.col("c_node"), "left")
-                       .select("node", F.coalesce("c_comp", "node").alias("comp")), "jaccard-label")
-    sizes = label.groupBy(F.col("comp").alias("z_comp")).agg(F.count(F.lit(1)).alias("z"))
-    rows = open_lists().join(sizes, F.col("comp") == F.col("z_comp"), "inner").drop("z_comp")
-    rows = stored(rows, "jaccard-open")
-    # Blocks of the lists: connected sets with their ranges of size and room after the token.
-    blocks = rows.groupBy(F.col("cls").alias("b_cls"), F.col("token").alias("b_token"), F.col("comp").alias("b_comp"),
-                          F.col("z").alias("b_z")).agg(
-        F.min("n").alias("n_min"), F.max("n").alias("n_max"), F.max(F.col("n") - F.col("pos")).alias("room"))
-    near = rows.join(blocks, (F.col("token") == F.col("b_token")) & (F.col("cls") == F.col("b_cls")), "inner") \
-        .filter((F.col("comp") != F.col("b_comp"))
-                & ((F.col("b_z") > F.col("z")) | ((F.col("b_z") == F.col("z")) & (F.col("b_comp") > F.col("comp"))))
-                & (F.col("n") * percent <= F.col("n_max") * 100) & (F.col("n_min") * percent <= F.col("n") * 100)
-                & (F.least(F.col("n") - F.col("pos"), "room")
-                   >= _alpha(F.col("n"), F.greatest("n_min", F.ceil(F.col("n") * percent / 100)), percent)))
-    parts = F.ceil(F.col("b_z") / BLOCK).cast("int")
-    probes = near.select(F.col("cid").alias("a"), F.col("b_comp").alias("comp"), parts.alias("parts")).distinct()
-    probes = stored(probes, "jaccard-probes")
-    into = probes.select(F.col("comp").alias("p_comp"), "parts").distinct()
-    members = label.join(into, F.col("comp") == F.col("p_comp"), "inner") \
-                   .select(F.col("node").alias("m_cid"), "comp", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part"))
-    probes = probes.select("a", "comp", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-    groups = max(1, -(-(probes.count() + members.count()) // (4 * BLOCK)))
-    last = stored(compare_blocks(probes, members, sets, percent, groups), "jaccard-rest")
-    return last if links is None else links.unionByName(last)
+                   .filter(F.col("comp") != F.col("l_comp"))
+        often = near.groupBy("cls", "cid", "lead").agg(F.count(F.lit(1)).alias("k"))
+        best = often.groupBy("cls", "cid").agg(F.max(F.struct("k", "lead")).alias("b")) \
+                    .select("cls", F.col("cid").alias("a"), F.col("b.lead").alias("b"))
+        new = stored(verify_pairs(could_be_similar(best, sketches, percent), sets, percent), f"jaccard-star{r}")
+        links = links.unionByName(new)
+        label = labelled(links)
+
+    # What is still open: sets that meet in such lists, directly or by way of others, in blocks of bounded size.
+    rows = stored(open_lists(label), "jaccard-open")
+    heads = rows.groupBy(F.col("cls").alias("h_cls"), F.col("token").alias("h_token")).agg(F.min("cid").alias("head"))
+    met = rows.join(heads, (F.col("token") == F.col("h_token")) & (F.col("cls") == F.col("h_cls")), "inner") \
+              .select(F.col("cid").alias("a"), F.col("head").alias("b"))
+    canopy = components(met).select(F.col("node").alias("k_node"), F.col("comp").alias("canopy"))
+    sizes = rows.select("cid", "n", "comp").distinct()
+    sizes = sizes.join(canopy, F.col("cid") == F.col("k_node"), "inner").select("canopy", "cid", "n", "comp")
+    # Connected sets stand together, so that a block of one component skips all blocks of that component.
+    of = sizes.groupBy("canopy", F.col("comp").alias("z_comp")).agg(F.count(F.lit(1)).alias("z")) \
+              .withColumnRenamed("canopy", "z_canopy")
+    sizes = sizes.join(of, (F.col("comp") == F.col("z_comp")) & (F.col("canopy") == F.col("z_canopy")), "inner")
+    part = F.when(F.col("z") >= BLOCK, F.struct(F.col("comp").alias("of"), F.pmod(F.xxhash64("cid"), F.ceil(F.col("z") / BLOCK)).alias("p")))
+    lone = sizes.filter(F.col("z") < BLOCK).groupBy(F.col("canopy").alias("y_canopy")).agg(F.count(F.lit(1)).alias("y"))
+    sizes = sizes.join(lone, F.col("canopy") == F.col("y_canopy"), "left")
+    rest = F.struct(F.lit(0).cast("bigint").alias("of"), (-1 - F.pmod(F.xxhash64("comp"), F.ceil(F.col("y") / BLOCK))).alias("p"))
+    blocks = stored(sizes.select("canopy", F.xxhash64("canopy", F.coalesce(part, rest)).alias("block"), "cid", "n", "comp"),
+                    "jaccard-blocks")
+    each = stored(blocks.groupBy("canopy", "block").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.min("comp").alias("c_lo"),
+                                                        F.max("comp").alias("c_hi")), "jaccard-block-list")
+    other = each.select(*[F.col(c).alias(f"o_{c}") for c in each.columns])
+    meets = each.join(other, (F.col("canopy") == F.col("o_canopy")) & (F.col("block") <= F.col("o_block"))
+                      & (F.col("lo") * percent <= F.col("o_hi") * 100) & (F.col("o_lo") * percent <= F.col("hi") * 100)
+                      & ~((F.col("c_lo") == F.col("c_hi")) & (F.col("o_c_lo") == F.col("o_c_hi")) & (F.col("c_lo") == F.col("o_c_lo"))),
+                      "inner").select(F.col("block").alias("x"), F.col("o_block").alias("y"))
+    last = stored(compare_blocks(meets, blocks.select("block", "cid", "comp"), sets, percent), "jaccard-rest")
+    return links.unionByName(last)
 
 
 def jaccard_components(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """One row per document: doc_id, th, n_shingles, component_id (smallest doc_id of its component)."""
     docs = docs.select("doc_id", "text")
     sets = stored(shingle_sets(docs, size, percent), "jaccard-rows")
-    index = prefix_index(sets.select("cid", "n", "counted", "small", "large"), percent)
-    whole = whole_sets(docs, sets.select("doc_id", "th", "cid"), index, size)
-    comp = components(stored(find_links(index, whole, percent), "jaccard-links"))
+    index, sketches = prefix_index(sets.select("cid", "n", "counted", "small", "large"), percent)
+    pairs = stored(short_list_pairs(index, sketches, percent), "jaccard-pairs")
+    wanted = pairs.select("a").union(pairs.select("b")).union(
+        index.filter(F.col("length") > SHORT_LIST).select("cid")).toDF("w_cid").distinct()
+    whole = whole_sets(docs, sets.select("doc_id", "th", "cid"), wanted, size)
+    links = stored(verify_pairs(pairs, whole, percent), "jaccard-short")
+    comp = components(stored(long_list_links(index, sketches, whole, links, percent), "jaccard-links"))
     first = sets.filter("cid is not null").groupBy(F.col("cid").alias("f_cid")).agg(F.min("doc_id").alias("first_id"))
     first = first.join(comp, F.col("f_cid") == F.col("node"), "left") \
                  .select("f_cid", "first_id", F.coalesce("comp", "f_cid").alias("comp"))
