@@ -30,6 +30,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: A table of keys (two numbers a row) of so many rows may be broadcast.
+BROADCAST_ROWS = 500_000
+
+
+def if_small(keys: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """A written table of keys, marked for broadcast if it has few rows; a larger one is shuffled as usual."""
+    return F.broadcast(keys) if keys.count() <= most else keys
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """URI of a new folder that the driver and every executor can write to."""
     path = scratch_path(spark, name)

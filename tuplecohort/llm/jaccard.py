@@ -46,7 +46,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import if_small, stored
 from .components import components
 from .wordhash import shingle_set, word_hashes
 
@@ -58,8 +58,6 @@ STAR_ROUNDS = 2
 BLOCK = 128
 #: Longer lists are not turned into pairs.
 SHORT_LIST = 32
-#: A table of so few picked sets may be broadcast.
-BROADCAST_ROWS = 500_000
 _SETS = "doc_id bigint, th bigint, cid bigint, n int, counted int, small array<bigint>, large array<bigint>"
 
 
@@ -188,8 +186,7 @@ def whole_sets(docs: DataFrame, sets: DataFrame, wanted: DataFrame, size: int) -
     pick = sets.join(wanted, F.col("cid") == F.col("w_cid"), "left_semi").groupBy("cid").agg(
         F.min(F.struct("doc_id", "th")).alias("d")).select("cid", F.col("d.doc_id").alias("p_id"), F.col("d.th").alias("p_th"))
     pick = stored(pick, "jaccard-picked")
-    if pick.count() <= BROADCAST_ROWS:     # three numbers a row
-        pick = F.broadcast(pick)
+    pick = if_small(pick)
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("th"), "text")
     rows = rows.join(pick, rows["th"].eqNullSafe(F.col("p_th")) & rows["doc_id"].eqNullSafe(F.col("p_id")), "inner") \
                .select("cid", "text")
