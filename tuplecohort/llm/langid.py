@@ -35,6 +35,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import stored
+
 ORDERS = (1, 2, 3, 4)
 BITS = 20
 PER_LANGUAGE = 384
@@ -174,6 +176,7 @@ def learn(labelled: DataFrame, per_language: int = PER_LANGUAGE, landmarks: int
     rows = rows.withColumn("h", F.xxhash64("text", F.lit(3)))
     share = rows.groupBy("lang").count().select(F.col("lang").alias("s_lang"),
                                                 (F.lit(2.0 * per_language) / F.col("count")).alias("share"))
+    share = stored(share, "langid-share")     # one row a language: Spark broadcasts it by its size
     near = F.pmod("h", F.lit(1 << 30)) < F.col("share") * (1 << 30)
     few = rows.join(share, F.col("lang") == F.col("s_lang"), "inner").filter(near)
     order = Window.partitionBy("lang").orderBy("h")
