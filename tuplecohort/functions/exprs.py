@@ -8,15 +8,17 @@ An expression is evaluated once per tuple.  It can be written two ways:
   ``"$0 >= 4 && $1 > 0"``.  The rest of the string is Spark SQL; bare names
   refer to other columns of the same row (outer references).
 
-The string helper only rewrites tokens, outside single-quoted literals:
-``$i`` -> a null-safe slot read (null when the slot does not exist), ``&&`` ->
-``AND``, ``||`` -> ``OR`` (Spark would read it as string concatenation), a
-lone ``!`` -> ``NOT`` and a double-quoted name -> a back-quoted identifier.
-Everything else is parsed and type-checked by Spark itself.
+The string helper only rewrites tokens, outside quoted text: ``$i`` becomes a
+null-safe slot read (null when the slot does not exist), ``&&``, ``||`` and a
+lone ``!`` become ``AND``, ``OR`` and ``NOT`` with operands taken as conditions
+(true, or a number > 0), ``/`` a division that gives null for a zero divisor,
+and a double-quoted name a back-quoted identifier.  Everything else is parsed
+and type-checked by Spark itself.
 
 Result coercion follows the aggregation's rules: a filter keeps a tuple when
-its result is true or a number > 0 (null keeps nothing); a collapse turns a
-null result into 0.0.
+its result is true or a number > 0 (null and NaN keep nothing); a collapse turns
+a null result into 0.0.  NaN follows Spark inside a comparison: it is larger
+than any number.
 """
 
 from __future__ import annotations
@@ -29,7 +31,8 @@ from pyspark.sql import functions as F
 
 TupleExpr = Union[str, Callable[[Column], Column]]
 
-_TOKEN = re.compile(r"'(?:[^']|'')*'|\"[^\"]*\"|\$(\d+)|&&|\|\||!(?!=)", re.S)
+_TOKEN = re.compile(r"""'(?:[^'\\]|\\.|'')*'|"[^"]*"|`(?:[^`]|``)*`|\$\d+|&&|\|\||!(?!=)|/|[(),]"""
+                    r"""|[\w.]+|\s+|.""", re.S)
 
 
 def slot(values: Column, i: int) -> Column:
@@ -41,22 +44,73 @@ def to_spark_sql(expr: str, values_sql: str) -> str:
     """Rewrite a ``$i`` expression into Spark SQL over the array ``values_sql``."""
     if not isinstance(expr, str) or not expr.strip():
         raise ValueError("expression must be a non-empty string")
-
-    def sub(m: re.Match) -> str:
-        tok = m.group(0)
-        if tok.startswith("'"):
-            return tok
-        if tok.startswith('"'):
-            return "`" + tok[1:-1].replace("`", "``") + "`"
-        if m.group(1) is not None:
-            return f"get({values_sql}, {int(m.group(1))})"
-        return {"&&": " AND ", "||": " OR ", "!": " NOT "}[tok]
-
-    return _TOKEN.sub(sub, expr)
+    tokens = [_one(t, values_sql) for t in _TOKEN.findall(expr)]
+    out, rest = _level(tokens, 0)
+    return out + "".join(tokens[rest:])
+
+
+def _one(token: str, values_sql: str) -> str:
+    if token.startswith('"'):
+        return "`" + token[1:-1].replace("`", "``") + "`"
+    if token.startswith("$") and token[1:].isdigit():
+        return f"get({values_sql}, {int(token[1:])})"
+    return token
+
+
+def _level(tokens: list[str], at: int) -> tuple[str, int]:
+    """The tokens up to the closing bracket of this level; operands of a logical sign become conditions."""
+    parts, operand, signs = [], [], 0
+
+    def close() -> str:
+        text = "".join(operand)
+        body = text.strip()
+        negations = 0
+        while body.startswith("!"):
+            body, negations = body[1:].strip(), negations + 1
+        if not body or not (signs or negations):
+            return text
+        return "NOT " * negations + truthy_sql(body)
+
+    while at < len(tokens) and tokens[at] != ")":
+        t = tokens[at]
+        if t in ("&&", "||"):
+            signs += 1
+            parts += [close(), " AND " if t == "&&" else " OR "]
+            operand = []
+        elif t == ",":
+            parts += [close(), ","]
+            operand, signs = [], 0
+        elif t == "(":
+            inner, at = _level(tokens, at + 1)
+            operand.append(f"({inner})")
+        elif t == "/":
+            divisor, at = _primary(tokens, at + 1)
+            operand.append(f"/ nullif({divisor}, 0)" if divisor else "/")
+            continue
+        else:
+            operand.append(t)
+        at += 1
+    return "".join(parts) + close(), at
+
+
+def _primary(tokens: list[str], at: int) -> tuple[str, int]:
+    """The number, name, slot, call or bracket that starts at ``at``."""
+    while at < len(tokens) and tokens[at].isspace():
+        at += 1
+    sign = ""
+    while at < len(tokens) and tokens[at] in "+-":
+        sign, at = sign + tokens[at], at + 1
+    out = ""
+    if at < len(tokens) and tokens[at] not in ("(", ")", ","):
+        out, at = tokens[at], at + 1
+    if at < len(tokens) and tokens[at] == "(":
+        inner, at = _level(tokens, at + 1)
+        out, at = f"{out}({inner})", at + 1
+    return sign + out if out else "", at
 
 
 def truthy_sql(sql: str) -> str:
-    return f"coalesce(CAST(({sql}) AS DOUBLE) > 0, false)"
+    return f"coalesce(nanvl(CAST(({sql}) AS DOUBLE), CAST(0 AS DOUBLE)) > 0, false)"
 
 
 def as_double_sql(sql: str) -> str:
@@ -64,7 +118,7 @@ def as_double_sql(sql: str) -> str:
 
 
 def truthy(c: Column) -> Column:
-    return F.coalesce(c.cast("double") > 0, F.lit(False))
+    return F.coalesce(F.nanvl(c.cast("double"), F.lit(0.0)) > 0, F.lit(False))
 
 
 def as_double(c: Column) -> Column:

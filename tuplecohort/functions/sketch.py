@@ -12,7 +12,8 @@ away and the sketch is exact.  The estimated number of distinct keys is
 scheme (Bar-Yossef et al. 2002; Beyer et al. 2007; Dasgupta et al. 2016).
 
 Everything here is a plain Catalyst expression (higher-order functions, no
-UDF), so it runs inside whole-stage code generation and never shuffles.
+UDF), so it runs in the JVM and never shuffles.  Spark evaluates higher-order
+functions row by row, outside whole-stage code generation.
 """
 
 from __future__ import annotations
@@ -141,8 +142,14 @@ def combine_sketches(a: SketchLike, b: SketchLike, k: Optional[int] = None) -> C
     and hash kinds must agree (checked when the row is evaluated).  No
     shuffle: this is a per-row expression."""
     a, b = _col(a), _col(b)
-    theta = F.least(F.coalesce(a["theta"], F.lit(THETA_MAX)),
-                    F.coalesce(b["theta"], F.lit(THETA_MAX)))
+    # The checks are part of theta, which every reader needs, so that no plan prunes them.
+    both = a.isNotNull() & b.isNotNull()
+    theta = F.when(both & (a["num_values"] != b["num_values"]),
+                   F.raise_error(F.lit("cannot combine sketches of different num_values")).cast("bigint")) \
+        .when(both & (a["hash"] != b["hash"]),
+              F.raise_error(F.lit("cannot combine sketches built with different hash kinds")).cast("bigint")) \
+        .otherwise(F.least(F.coalesce(a["theta"], F.lit(THETA_MAX)),
+                           F.coalesce(b["theta"], F.lit(THETA_MAX))))
     k_out = F.lit(k) if k is not None else F.coalesce(F.least(a["k"], b["k"]), a["k"], b["k"],
                                                       F.lit(DEFAULT_K))
     width = F.coalesce(a["num_values"], b["num_values"], F.lit(1))
@@ -161,16 +168,10 @@ def combine_sketches(a: SketchLike, b: SketchLike, k: Optional[int] = None) -> C
     n = F.size(kept)
     new_theta = F.when(n > k_out, F.element_at(kept, k_out + 1)["h"]).otherwise(theta)
     entries = F.slice(kept, 1, k_out)
-    checked_width = F.when(
-        a["num_values"].isNotNull() & b["num_values"].isNotNull()
-        & (a["num_values"] != b["num_values"]),
-        F.raise_error(F.lit("cannot combine sketches of different num_values"))
-    ).otherwise(width)
-    checked_hash = F.when(
-        a["hash"].isNotNull() & b["hash"].isNotNull() & (a["hash"] != b["hash"]),
-        F.raise_error(F.lit("cannot combine sketches built with different hash kinds"))
-    ).otherwise(hash_kind)
-    return make_sketch(new_theta, k_out, checked_width, checked_hash, entries)
+    # The same checks for readers of one of the two small fields alone.
+    width = F.when(theta.isNotNull(), width)
+    hash_kind = F.when(theta.isNotNull(), hash_kind)
+    return make_sketch(new_theta, k_out, width, hash_kind, entries)
 
 
 def sketch_valid(sketch: SketchLike) -> Column:

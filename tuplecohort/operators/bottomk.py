@@ -14,10 +14,11 @@ With P upstream partitions the last task of a hot group still reads up to
 ``P * (k + 2)`` rows.  For large P a second level splits that: rows are first
 limited per (group, bucket), where bucket = upstream partition id mod F,
 then per group, so no task reads more than about ``max(P / F, F) * (k + 2)``
-rows (F = sqrt(P) by default).  The bottom k+2 of a group is contained in the
-union of the bottom k+2 of its buckets, so the result is the same; the price
-is one more (bounded) exchange, which is why it is only switched on when P
-exceeds ``TREE_MIN_PARTITIONS``.
+rows rows.  F follows from what the last task would read, ``P * (k + 2)`` rows, over
+the rows one task should read (``TASK_ROWS``), and is sqrt(P) at most.  The
+bottom k+2 of a group is contained in the union of the bottom k+2 of its
+buckets, so the result is the same; the price is one more (bounded) exchange,
+which F = 1 saves.
 """
 
 from __future__ import annotations
@@ -41,11 +42,11 @@ _BUCKET = "__tc_b"
 _RN1 = "__tc_rn1"
 _RN = "__tc_rn"
 _E = "__tc_e"
-TREE_MIN_PARTITIONS = 2048
+TASK_ROWS = 2_000_000
 
 
-def auto_fanout(spark) -> int:
-    """Buckets for the two-level limit: sqrt(shuffle partitions) when large, else 1.
+def auto_fanout(spark, k: int) -> int:
+    """Buckets for the two-level limit, from the rows that its last task would read.
 
     With AQE the initial partition count may be set separately; the larger
     of the two is what an exchange starts from."""
@@ -56,7 +57,7 @@ def auto_fanout(spark) -> int:
             p = max(p, int(spark.conf.get(key, None) or 0))
         except ValueError:
             pass
-    return int(math.ceil(math.sqrt(p))) if p >= TREE_MIN_PARTITIONS else 1
+    return max(1, min(math.ceil(p * (k + 2) / TASK_ROWS), math.ceil(math.sqrt(p))))
 
 
 def finish(rows: DataFrame, by: list[str], k: int, num_values, hash_kind,
@@ -70,7 +71,7 @@ def finish(rows: DataFrame, by: list[str], k: int, num_values, hash_kind,
     if not part:
         rows = rows.withColumn(_CONST_GROUP, F.lit(0))
         part = [_CONST_GROUP]
-    fanout = auto_fanout(rows.sparkSession) if fanout is None else fanout
+    fanout = auto_fanout(rows.sparkSession, k) if fanout is None else fanout
     order = F.col(H).asc_nulls_first()
     if fanout > 1:
         bucketed = rows.withColumn(_BUCKET, F.pmod(F.spark_partition_id(), F.lit(fanout)))

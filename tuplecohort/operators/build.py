@@ -6,22 +6,22 @@ the key is then hashed once and the group's ``k`` smallest hashes are kept by
 the bottom-k tail (second shuffle, on the group, bounded to ``k + 2`` rows per
 task and group).
 
-``presample=True`` adds a cheap first pass for tables with many keys per
-group: an HLL count of distinct keys per group gives a loose threshold
-``theta0`` (4x slack over ``k``); rows whose key hash is above it are turned
-into markers *before* the first shuffle, so that shuffle carries about
-``4k`` keys per group instead of all of them.  The result equals the one-pass
+``presample=True`` adds a first pass for tables with many keys per group: an
+HLL count of the distinct keys that count (complete metrics, valid key) per
+group gives a loose threshold ``theta0`` (4x slack over ``k``); rows whose key
+hash is above it are turned into markers *before* the first shuffle, so that
+shuffle carries about ``4k`` keys per group instead of all of them.  The result equals the one-pass
 build whenever more than ``k`` keys fall below ``theta0``, which the slack
 makes the case unless the HLL count is off by a factor of four; if it ever is
 not, the group's sketch is still a valid (exact-below-theta0) sketch with
-``theta = theta0``.  The per-group thresholds are a table of one row per
-group: it is broadcast only after counting it against ``max_broadcast_groups``,
-and beyond that bound presampling is skipped for the call.
+``theta = theta0``.  The thresholds are a table of the groups with more than
+``4k`` keys, so it has at most (all keys) / 4k rows; it is joined like any other
+table and Spark picks a broadcast or a shuffle by its size.  No job runs while
+the DataFrame is built.
 """
 
 from __future__ import annotations
 
-import logging
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -31,21 +31,18 @@ from ..functions.hashing import DEFAULT_K, THETA_MAX, check_hash_kind, key_hash
 from ..functions.metrics import ColumnOrName, Metric, check_k, check_metrics
 from ..functions.sketch import empty_sketch
 from .bottomk import H, T, V, finish
-from .rows import KEY, group_columns, group_names, has_column, prepared
-
-log = logging.getLogger(__name__)
+from .rows import KEY, group_columns, group_names, has_column, hashed_key, prepared
 
 PRESAMPLE_SLACK = 4
 _T0 = "__tc_theta0"
-MAX_BROADCAST_GROUPS = 200_000
-
+_G = "__tc_g_"
+_ONE = "__tc_one"
 
 def tuple_sketch(df: DataFrame, key: ColumnOrName, metrics: Sequence[Metric],
                  by: Sequence[ColumnOrName] | ColumnOrName | None = None,
                  k: int = DEFAULT_K, hash: str = "md5", num_values: int | None = None,
                  presample: bool = False, missing_ok: bool = False,
                  out: str = "sketch",
-                 max_broadcast_groups: int = MAX_BROADCAST_GROUPS,
                  fanout: int | None = None) -> DataFrame:
     """``by..., out`` where ``out`` is a tuple sketch of at most ``k`` keys.
 
@@ -72,22 +69,21 @@ def tuple_sketch(df: DataFrame, key: ColumnOrName, metrics: Sequence[Metric],
     def values(present):
         return F.when(present, F.array(*[F.col(f"__tc_s{i}") for i in range(n)]))
 
-    theta0 = _presample_thresholds(df, by_names, key, k, max_broadcast_groups) \
-        if presample else None
+    theta0 = _presample_thresholds(df, by_names, key, metrics, k) if presample else None
 
     if theta0 is None:
         agg = rows.groupBy(*by_names, KEY).agg(*sums)
         present = F.col(KEY).isNotNull()
-        tuples = agg.select(*by_names, F.when(present, key_hash(F.col(KEY), hash)).alias(H),
+        tuples = agg.select(*by_names, F.when(present, key_hash(hashed_key(rows), hash)).alias(H),
                             values(present).alias(V), F.lit(None).cast("bigint").alias(T))
     else:
-        h = key_hash(F.col(KEY), hash)
-        if isinstance(theta0, Column):
-            hashed = rows.withColumn(T, theta0)
-        else:
-            hashed = rows.join(F.broadcast(theta0), on=_null_safe_on(rows, theta0, by_names),
-                               how="left").select(rows["*"], theta0[_T0].alias(T))
-            hashed = hashed.withColumn(T, F.coalesce(T, F.lit(THETA_MAX)))
+        h = key_hash(hashed_key(rows), hash)
+        hashed = rows.withColumn(_ONE, F.lit(0))
+        cond = F.col(_ONE) == theta0[_G + "one"]
+        for i, b in enumerate(by_names):
+            cond = cond & F.col(b).eqNullSafe(theta0[f"{_G}{i}"])
+        hashed = hashed.join(theta0, cond, "left").select(rows["*"], theta0[_T0].alias(T))
+        hashed = hashed.withColumn(T, F.coalesce(T, F.lit(THETA_MAX)))
         hashed = hashed.withColumn(H, F.when(F.col(KEY).isNotNull() & (h < F.col(T)), h))
         agg = hashed.groupBy(*by_names, H).agg(*sums, F.min(T).alias(T))
         tuples = agg.select(*by_names, H, values(F.col(H).isNotNull()).alias(V), T)
@@ -95,37 +91,15 @@ def tuple_sketch(df: DataFrame, key: ColumnOrName, metrics: Sequence[Metric],
     return finish(tuples, by_names, k, n, hash, out=out, fanout=fanout)
 
 
-def _presample_thresholds(df: DataFrame, by: list[str], key: ColumnOrName, k: int,
-                          max_groups: int):
-    """Per-group ``theta0``: a literal Column when ungrouped, else a small
-    DataFrame ``by..., __tc_theta0`` (or None when there are too many groups).
-
-    The distinct count reads only the group and key columns (no metric
-    columns): counting a key whose rows all have a null metric only lowers
-    ``theta0`` slightly, which the slack absorbs."""
-    keyed = prepared(df, by, key, [], keep_invalid=False)
-    est = F.approx_count_distinct(F.col(KEY), 0.02)
+def _presample_thresholds(df: DataFrame, by: list[str], key: ColumnOrName,
+                          metrics: Sequence[Metric], k: int) -> DataFrame:
+    """``__tc_g_one`` (constant), ``__tc_g_0..`` (the group) and ``__tc_theta0`` of the groups with
+    more than ``PRESAMPLE_SLACK * k`` keys.  Only keys that the build keeps are counted."""
+    keyed = prepared(df, by, key, metrics, keep_invalid=False)
     target = float(PRESAMPLE_SLACK * k)
-    if not by:
-        n_est = keyed.agg(est.alias("n")).first()["n"] or 0
-        if n_est <= target:
-            return F.lit(THETA_MAX)
-        return F.lit(int(THETA_MAX * (target / n_est)))
-    counts = keyed.groupBy(*by).agg(est.alias("__tc_n"))
+    groups = [F.lit(0).alias(_G + "one"), *[F.col(b).alias(f"{_G}{i}") for i, b in enumerate(by)]]
     n = F.col("__tc_n")
-    t0 = F.when(n <= target, F.lit(THETA_MAX)).otherwise(
-        (F.lit(float(THETA_MAX)) * (F.lit(target) / n)).cast("bigint"))
-    thresholds = counts.select(*by, t0.alias(_T0))
-    # One job; at most max_groups + 1 rows ever reach the driver.
-    local = thresholds.limit(max_groups + 1).collect()
-    if len(local) > max_groups:
-        log.warning("presample skipped: more than %d groups (the broadcast bound)", max_groups)
-        return None
-    return df.sparkSession.createDataFrame(local, thresholds.schema)
-
-
-def _null_safe_on(left: DataFrame, right: DataFrame, by: list[str]):
-    cond = F.lit(True)
-    for b in by:
-        cond = cond & left[b].eqNullSafe(right[b])
-    return cond
+    counts = keyed.select(*groups, KEY).groupBy(_G + "one", *[f"{_G}{i}" for i in range(len(by))]) \
+                  .agg(F.approx_count_distinct(F.col(KEY), 0.02).alias("__tc_n")).where(n > target)
+    t0 = (F.lit(float(THETA_MAX)) * (F.lit(target) / n)).cast("bigint")
+    return counts.select(_G + "one", *[f"{_G}{i}" for i in range(len(by))], t0.alias(_T0))

@@ -16,33 +16,33 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import DEFAULT_K, HASH_KINDS
 from ..functions.metrics import ColumnOrName, check_k
-from ..functions.sketch import ENTRIES_TYPE
+from ..functions.sketch import ENTRIES_TYPE, empty_sketch
 from .bottomk import H, HK, T, V, finish
-from .rows import group_columns, group_names
+from .rows import group_columns, group_names, has_column
 
 _X = "__tc_x"
 
 
 def merge_sketches(df: DataFrame, sketch: str = "sketch",
                    by: Sequence[ColumnOrName] | ColumnOrName | None = None,
-                   k: int | None = None, num_values: int | None = None,
-                   out: str | None = None, fanout: int | None = None) -> DataFrame:
+                   k: int = DEFAULT_K, num_values: int = 1,
+                   out: str | None = None, fanout: int | None = None,
+                   missing_ok: bool = False) -> DataFrame:
     """``by..., out``: one merged sketch per group of ``df``.
 
-    ``k`` (output size) and ``num_values`` (tuple width) default to those of
-    the first non-null input sketch, read by one small job; pass them to
-    avoid it."""
+    ``k`` (output size) and ``num_values`` (tuple width; other widths raise) are
+    parameters and never read from the data, so building the DataFrame runs no job.
+    ``missing_ok``: when the sketch column does not exist, return an empty sketch
+    per group instead of raising."""
     out = out or sketch
     df, by_names = group_names(df, group_columns(by))
-    if num_values is None or k is None:
-        first = df.where(F.col(sketch).isNotNull()).select(F.col(sketch)["num_values"].alias("n"), F.col(sketch)["k"].alias("k")) \
-            .limit(1).collect()
-        if num_values is None:
-            num_values = first[0]["n"] if first else 1
-        if k is None:
-            k = first[0]["k"] if first else DEFAULT_K
     check_k(k)
     n = num_values
+    if not has_column(df, sketch):
+        if not missing_ok:
+            raise ValueError(f"sketch column {sketch!r} not found; pass missing_ok=True for empty sketches")
+        groups = df.select(*by_names).distinct() if by_names else df.sparkSession.range(1).select()
+        return groups.select(*by_names, empty_sketch(n, k).alias(out))
     sk = F.col(sketch)
     checked_theta = F.when(
         sk["num_values"] != F.lit(n),

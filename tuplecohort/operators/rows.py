@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -50,9 +51,23 @@ def group_names(df: DataFrame, by: Sequence[ColumnOrName]) -> tuple[DataFrame, l
 
 
 def has_column(df: DataFrame, key: ColumnOrName) -> bool:
-    if not isinstance(key, str):
+    """Whether the analyzer finds the column (any case, nested fields, back quotes)."""
+    if not isinstance(key, str) or key in df.columns:
         return True
-    return key in df.columns
+    try:
+        df.select(key).schema  # noqa: B018
+    except AnalysisException as e:
+        if "UNRESOLVED_COLUMN" in str(e.getCondition()) or "FIELD_NOT_FOUND" in str(e.getCondition()):
+            return False
+        raise
+    return True
+
+
+def hashed_key(rows: DataFrame) -> Column:
+    """The key of prepared rows as its hash reads it: an instant by its microseconds, in no time zone."""
+    if isinstance(rows.schema[KEY].dataType, T.TimestampType):
+        return F.unix_micros(F.col(KEY))
+    return F.col(KEY)
 
 
 def prepared(df: DataFrame, by: list[str], key: ColumnOrName,

@@ -20,7 +20,7 @@ def transform_chain(df: DataFrame, sketch: str, steps: Sequence[tuple[str, Tuple
     out = out or sketch
     cur = sketch
     for i, (op, expr) in enumerate(steps):
-        nxt = out if i == len(steps) - 1 else f"_step{i}"
+        nxt = out if i == len(steps) - 1 else f"__tc_step{i}"
         if op == "filter":
             col = filter_tuples(_sql_name(cur), expr)
         elif op == "collapse":
@@ -29,13 +29,13 @@ def transform_chain(df: DataFrame, sketch: str, steps: Sequence[tuple[str, Tuple
             raise ValueError(f"unknown step {op!r}; expected 'filter' or 'collapse'")
         df = df.withColumn(nxt, col)
         cur = nxt
-    return df.drop(*[f"_step{i}" for i in range(len(steps) - 1)])
+    return df.drop(*[f"__tc_step{i}" for i in range(len(steps) - 1)])
 
 
 def sketch_entries(df: DataFrame, sketch: str = "sketch", keep: Sequence[str] = ()) -> DataFrame:
     """One row per retained entry: ``keep..., h, values`` (raw tuples)."""
-    e = df.select(*keep, F.explode(F.col(sketch)["entries"]).alias("_e"))
-    return e.select(*keep, F.col("_e")["h"].alias("h"), F.col("_e")["values"].alias("values"))
+    e = df.select(*keep, F.explode(F.col(sketch)["entries"]).alias("__tc_e"))
+    return e.select(*keep, F.col("__tc_e")["h"].alias("h"), F.col("__tc_e")["values"].alias("values"))
 
 
 def order_by_estimate(df: DataFrame, sketch: str = "sketch", ascending: bool = True,

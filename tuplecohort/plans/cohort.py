@@ -18,11 +18,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import TupleExpr, predicate_on
-from ..functions.metrics import ColumnOrName, Metric
+from ..functions.metrics import ColumnOrName, Metric, check_metrics
 from ..functions.sketch import filter_tuples, sketch_estimate, sketch_retained
 from ..operators.build import DEFAULT_K, tuple_sketch
-from ..operators.rollup import tuple_rollup
-from ..operators.rows import group_columns, group_names
+from ..operators.rows import KEY, group_columns, group_names, prepared
 
 
 def time_bucket(ts: ColumnOrName, unit: str = "week") -> Column:
@@ -46,9 +45,12 @@ def cohort_exact(df: DataFrame, key: ColumnOrName, metrics: Sequence[Metric],
                  name: str = "keys") -> DataFrame:
     """``by..., name BIGINT``: exact number of keys per group whose tuple meets ``cond``."""
     df, by_names = group_names(df, group_columns(by))
-    tuples = tuple_rollup(df, key, metrics, by=by_names, key_name="__tc_key",
-                          values_name="__tc_values")
-    hit = predicate_on("__tc_values", cond)
+    metrics = check_metrics(metrics)
+    rows = prepared(df, by_names, key, metrics)   # rows without a key keep their group
+    sums = [F.sum(f"__tc_m{i}").alias(f"__tc_s{i}") for i in range(len(metrics))]
+    tuples = rows.groupBy(*by_names, KEY).agg(*sums)
+    tuples = tuples.select(*by_names, KEY, F.array(*[F.col(f"__tc_s{i}") for i in range(len(metrics))]).alias("__tc_values"))
+    hit = F.col(KEY).isNotNull() & predicate_on("__tc_values", cond)
     return tuples.groupBy(*by_names).agg(F.count_if(hit).alias(name))
 
 

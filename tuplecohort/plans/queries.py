@@ -293,17 +293,16 @@ def store_roundtrip(spark, sf):
 
 
 @query("combine_two_halves", O.with_(
-    O.build("hb", "events", [("event_type", "event_type"), ("hour(ts) < 12", "am")], "user_id",
+    O.build("hb", "events", [("event_type", "event_type"), ("coalesce(hour(ts) < 12, false)", "am")], "user_id",
             _DAILY_SQL_METRICS, 64),
     O.merge("c", "hb", ["event_type"], 2, 64)) + O.estimate("c", ["event_type"], extra=_SLOT_SUMS))
 def combine_two_halves(spark, sf):
-    ev = table(spark, sf, "events")
-    # Two halves of the whole table (before / after noon), sketched separately.
-    a = tuple_sketch(ev.where(F.hour("ts") < 12), "user_id", _daily_metrics(),
-                     by="event_type", k=64, out="a")
-    b = tuple_sketch(ev.where(F.hour("ts") >= 12), "user_id", _daily_metrics(),
-                     by="event_type", k=64, out="b")
-    both = a.join(b, "event_type", "full_outer")
+    # One build over the table by half of the day (a row without a time is in the second), then one row per type.
+    am = F.coalesce(F.hour("ts") < 12, F.lit(False)).alias("am")
+    halves = tuple_sketch(table(spark, sf, "events"), "user_id", _daily_metrics(), by=["event_type", am], k=64)
+    both = halves.groupBy("event_type").agg(
+        F.first(F.when(F.col("am"), F.col("sketch")), ignorenulls=True).alias("a"),
+        F.first(F.when(~F.col("am"), F.col("sketch")), ignorenulls=True).alias("b"))
     c = both.select("event_type", combine_sketches("a", "b", k=64).alias("sketch"))
     return c.select("event_type", *est_cols(), *_slot_sums())
 
@@ -598,3 +597,152 @@ def weekly_cohort_from_daily_sketches(spark, sf):
     weekly = merge_sketches(daily, "sketch", by="week", k=64, num_values=2)
     f = weekly.withColumn("cohort", filter_tuples("sketch", COHORT))
     return f.select("week", *est_cols("cohort"))
+
+
+# --- presampling with a metric that is null for most keys ----------------------------
+
+_RARE_SQL = [("CASE WHEN l_orderkey % 20 = 0 THEN l_quantity END", "TRUE")]
+
+
+def _rare_metric():
+    return [Metric(F.when(F.col("l_orderkey") % 20 == 0, F.col("l_quantity")))]
+
+
+@query("presample_null_metric", O.with_(
+    O.build("s", "lineitem", [("l_returnflag", "l_returnflag")], "l_orderkey", _RARE_SQL, 64))
+    + O.estimate("s", ["l_returnflag"]))
+def presample_null_metric(spark, sf):
+    sk = tuple_sketch(table(spark, sf, "lineitem"), "l_orderkey", _rare_metric(), by="l_returnflag", k=64,
+                      presample=True)
+    return sk.select("l_returnflag", *est_cols())
+
+
+@query("presample_null_metric_ungrouped", O.with_(
+    O.build("s", "lineitem", [], "l_orderkey", _RARE_SQL, 64)) + O.estimate("s", []))
+def presample_null_metric_ungrouped(spark, sf):
+    sk = tuple_sketch(table(spark, sf, "lineitem"), "l_orderkey", _rare_metric(), k=64, presample=True)
+    return sk.select(*est_cols())
+
+
+# --- merge of sketches of different sizes, and of a column that is not there ----------
+
+@query("merge_mixed_k", O.with_(
+    O.build("a", "(SELECT * FROM events WHERE event_id % 2 = 0)", [("event_type", "event_type")], "user_id",
+            [("1.0", "TRUE")], 64),
+    O.build("b", "(SELECT * FROM events WHERE event_id % 2 = 1)", [("event_type", "event_type")], "user_id",
+            [("1.0", "TRUE")], 1024),
+    "p_th AS (SELECT * FROM a_th UNION ALL SELECT * FROM b_th)",
+    "p_e AS (SELECT * FROM a_e UNION ALL SELECT * FROM b_e)",
+    O.merge("m", "p", ["event_type"], 1, 64)) + O.estimate("m", ["event_type"]))
+def merge_mixed_k(spark, sf):
+    ev = table(spark, sf, "events")
+    odd = F.col("event_id") % 2   # the whole table, half of it in small sketches and half in large ones
+    parts = [tuple_sketch(ev.where(odd == i), "user_id", [Metric(F.lit(1.0))], by="event_type", k=k)
+             for i, k in ((0, 64), (1, 1024))]
+    merged = merge_sketches(parts[0].unionByName(parts[1]), "sketch", by="event_type", k=64)
+    return merged.select("event_type", *est_cols())
+
+
+@query("missing_sketch_empty", f"""
+SELECT DISTINCT event_type, CAST(0 AS DOUBLE) AS est_keys, CAST(0 AS BIGINT) AS retained,
+       CAST({O.T60} AS BIGINT) AS theta FROM events
+""")
+def missing_sketch_empty(spark, sf):
+    merged = merge_sketches(table(spark, sf, "events"), "no_such_sketch", by="event_type", out="sketch",
+                            missing_ok=True)
+    return merged.select("event_type", *est_cols())
+
+
+# --- logic over numbers, ratios -------------------------------------------------------
+
+def _weekly_sql(cond=None, extra=()):
+    return O.with_(O.build("s", "events", [(WEEK_SQL, "week")], "user_id", VIEW_PURCHASE_SQL, 4096)) \
+        + O.estimate("s", ["week"], cond, extra)
+
+
+def _weekly(spark, sf):
+    return tuple_sketch(table(spark, sf, "events"), "user_id", VIEW_PURCHASE(), by=WEEK(), k=4096)
+
+
+@query("expr_or_not", _weekly_sql("(v0 > 0 AND v1 > 3) OR NOT (v1 > 0)"))
+def expr_or_not(spark, sf):
+    f = _weekly(spark, sf).withColumn("f", filter_tuples("sketch", "$0 && $1 > 3 || !$1"))
+    return f.select("week", *est_cols("f"))
+
+
+@query("expr_numeric_logic", _weekly_sql("v0 - 3 > 0 AND (v1 > 2 OR v0 > 5)"))
+def expr_numeric_logic(spark, sf):
+    f = _weekly(spark, sf).withColumn("f", filter_tuples("sketch", "($0 - 3) && ($1 > 2 || $0 > 5)"))
+    return f.select("week", *est_cols("f"))
+
+
+@query("expr_ratio", _weekly_sql(extra=[
+    ("round(coalesce(sum(CASE WHEN e.v1 = 0 THEN 0 ELSE e.v0 / e.v1 END), 0), 6)", "ratio_sum")]))
+def expr_ratio(spark, sf):
+    c = _weekly(spark, sf).withColumn("c", collapse_tuples("sketch", "$0 / $1"))
+    return c.select("week", *est_cols("c"), F.round(sketch_slot_sum("c", 0), 6).alias("ratio_sum"))
+
+
+# --- a finalized estimate as an outer reference that splits the keys; an order with nulls ----
+
+@query("filter_outer_estimate", O.with_(
+    O.build("s", "events", [(WEEK_SQL, "week")], "user_id", [("1.0", "TRUE")], 4096),
+    """a AS (SELECT th.week, CAST(count(e.h) AS DOUBLE) / (CAST(th.theta AS DOUBLE) / CAST(1152921504606846976 AS DOUBLE))
+    AS est_all FROM s_th th LEFT JOIN s_e e ON th.week = e.week GROUP BY th.week, th.theta)""",
+    "x_th AS (SELECT * FROM s_th)", "x_e AS (SELECT s_e.*, a.est_all FROM s_e JOIN a ON s_e.week = a.week)")
+    + O.estimate("x", ["week"], "v0 * 10 > est_all"))
+def filter_outer_estimate(spark, sf):
+    sk = tuple_sketch(table(spark, sf, "events"), "user_id", [Metric(F.lit(1.0))], by=WEEK(), k=4096)
+    sk = sk.withColumn("est_all", sketch_estimate("sketch"))
+    f = sk.withColumn("f", filter_tuples("sketch", "$0 * 10 > est_all"))
+    return f.select("week", *est_cols("f"))
+
+
+@query("order_by_estimate_nulls", O.with_(
+    O.build("s", "events", [(DAY_SQL, "day")], "user_id", [("1.0", "TRUE")], 4096))
+    + f"""SELECT day, CASE WHEN dayofmonth(day) % 7 = 0 THEN NULL ELSE est_keys END AS est_keys
+FROM ({O.estimate('s', ['day'])}) q ORDER BY est_keys DESC NULLS FIRST, day LIMIT 12""".replace(
+        "ORDER BY est_keys", "ORDER BY CASE WHEN dayofmonth(day) % 7 = 0 THEN NULL ELSE est_keys END"))
+def order_by_estimate_nulls(spark, sf):
+    sk = tuple_sketch(table(spark, sf, "events"), "user_id", [Metric(F.lit(1.0))], by=DAY(), k=4096)
+    sk = sk.withColumn("sketch", F.when(F.dayofmonth("day") % 7 != 0, F.col("sketch")))
+    top = order_by_estimate(sk, "sketch", ascending=False, then=["day"], limit=12)
+    return top.select("day", F.round(sketch_estimate("sketch"), 6).alias("est_keys"))
+
+
+# --- streams: a restart and a snapshot; the exact cohort with a watermark ---------------
+
+def _event_stream(spark, sf):
+    schema = table(spark, sf, "events").schema
+    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf.rstrip("/"))
+
+
+@query("stream_restart_compact", _cohort_sketch_sql(4096))
+def stream_restart_compact(spark, sf):
+    from ..streaming.incremental import compact_sketches, read_stream_sketches, stream_sketches
+    path = scratch_path(spark, "stream-restart-sketches")
+    for _ in range(2):   # the second start finds nothing new
+        stream_sketches(_event_stream(spark, sf), path, "user_id", VIEW_PURCHASE(), by=WEEK(), k=4096,
+                        trigger={"availableNow": True}).awaitTermination()
+    snapshot = scratch_path(spark, "stream-restart-snapshot")
+    compact_sketches(spark, path, snapshot, by="week", k=4096, num_values=2)
+    merged = read_stream_sketches(spark, path, by="week", k=4096, num_values=2, snapshot=snapshot)
+    f = merged.withColumn("cohort", filter_tuples("sketch", COHORT))
+    return f.select("week", *est_cols("cohort"))
+
+
+@query("stream_cohort_exact", f"""
+WITH t AS (
+  SELECT {WEEK_SQL} AS bucket, CAST(user_id AS VARCHAR) AS k,
+         {", ".join(f"sum(CASE WHEN {p} THEN {v} ELSE 0.0 END) AS v{i}" for i, (v, p) in enumerate(VIEW_PURCHASE_SQL))}
+  FROM events WHERE user_id IS NOT NULL AND ts IS NOT NULL GROUP BY 1, 2)
+SELECT bucket, CAST(count(*) FILTER (WHERE {COHORT_SQL}) AS BIGINT) AS keys FROM t
+WHERE bucket + INTERVAL 7 DAY <= (SELECT max(ts) - INTERVAL 1 DAY FROM events) GROUP BY bucket
+""")
+def stream_cohort_exact_q(spark, sf):
+    from ..streaming.incremental import stream_cohort_exact
+    out = scratch_path(spark, "stream-cohort-exact")
+    counted = stream_cohort_exact(_event_stream(spark, sf), "ts", "user_id", VIEW_PURCHASE(), COHORT)
+    counted.writeStream.outputMode("append").option("checkpointLocation", out + "-checkpoint") \
+        .trigger(availableNow=True).format("parquet").start(out).awaitTermination()
+    return spark.read.schema(counted.schema).parquet(out)

@@ -28,8 +28,7 @@ from ..functions.exprs import TupleExpr, predicate_on
 from ..functions.metrics import ColumnOrName, Metric, check_metrics
 from ..operators.build import DEFAULT_K, tuple_sketch
 from ..operators.merge import merge_sketches
-from ..operators.rows import group_columns
-from ..session import scratch_path
+from ..operators.rows import KEY, group_columns, prepared
 from ..sources.store import read_sketches
 
 BATCH_COL = "batch_id"
@@ -45,8 +44,8 @@ def stream_sketches(stream: DataFrame, path: str, key: ColumnOrName, metrics: Se
     ``trigger``: keyword arguments for ``DataStreamWriter.trigger``, e.g.
     ``{"availableNow": True}`` or ``{"processingTime": "1 minute"}``."""
     metrics = check_metrics(metrics)
-    spark = stream.sparkSession
-    ckpt = checkpoint_location or scratch_path(spark, "stream-sketches-ckpt")
+    # Beside the batches (Spark's readers skip it), so a restart on a path goes on where it stopped.
+    ckpt = checkpoint_location or f"{path.rstrip('/')}/_checkpoint"
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         write_batch_sketches(batch, batch_id, path, key, metrics, by=by, k=k, hash=hash)
@@ -67,20 +66,33 @@ def write_batch_sketches(batch: DataFrame, batch_id: int, path: str, key: Column
 
 
 def read_stream_sketches(spark: SparkSession, path: str, by: Sequence[str] | str | None = None,
-                         k: int | None = None, num_values: int | None = None,
-                         sketch: str = "sketch") -> DataFrame:
-    """Current sketches: all per-batch sketches merged per group."""
+                         k: int = DEFAULT_K, num_values: int = 1,
+                         sketch: str = "sketch", snapshot: str | None = None) -> DataFrame:
+    """Current sketches: all per-batch sketches merged per group.
+
+    ``snapshot``: a folder written by :func:`compact_sketches`; only batches after it are read."""
     stored = read_sketches(spark, path, sketch)
+    if snapshot is not None:
+        base = read_sketches(spark, snapshot, sketch)
+        through = base.agg(F.max(BATCH_COL)).first()[0]   # a partition column: one value a snapshot
+        if through is not None:
+            later = stored.where(F.col(BATCH_COL) > through)   # prunes the folders of older batches
+            stored = base.unionByName(later)
     return merge_sketches(stored, sketch, by=group_columns(by), k=k, num_values=num_values)
 
 
 def compact_sketches(spark: SparkSession, path: str, out_path: str,
-                     by: Sequence[str] | str | None = None, k: int | None = None,
-                     num_values: int | None = None) -> DataFrame:
-    """Write the merged state to ``out_path`` (a new location; the batch
-    folders stay valid until the caller switches readers over)."""
-    merged = read_stream_sketches(spark, path, by=by, k=k, num_values=num_values)
-    merged.write.mode("overwrite").parquet(out_path)
+                     by: Sequence[str] | str | None = None, k: int = DEFAULT_K,
+                     num_values: int = 1, snapshot: str | None = None) -> DataFrame:
+    """Write the merged state to ``out_path`` (a new location) as a snapshot through the last batch.
+
+    ``snapshot``: an earlier snapshot to start from, so that only later batches are merged.
+    Batch folders stay valid; readers pass the new snapshot when they switch over."""
+    through = read_sketches(spark, path).agg(F.max(BATCH_COL)).first()[0]
+    merged = read_stream_sketches(spark, path, by=by, k=k, num_values=num_values, snapshot=snapshot)
+    if through is None:
+        through = -1
+    merged.write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/{BATCH_COL}={through}")
     return read_sketches(spark, out_path)
 
 
@@ -111,20 +123,14 @@ def stream_cohort_exact(stream: DataFrame, ts: str, key: ColumnOrName,
     is bucketed by its own calendar whatever the session time zone."""
     metrics = check_metrics(metrics)
     et, wall_zone = _event_time(stream, ts)
-    s = stream.withColumn("_et", et).withWatermark("_et", watermark)
-    key_col = F.col(key) if isinstance(key, str) else key
-    ok = F.lit(True)
-    for m in metrics:
-        ok = ok & m.value_column().isNotNull()
-    kt = key_col.cast("string")
-    s = s.where(ok & kt.isNotNull() & (kt != F.lit("")))
-    per_key = s.groupBy(F.window("_et", window, window, start_offset).alias("_w"),
-                        key_col.alias("_k")).agg(
-        *[F.sum(m.filtered()).alias(f"_s{i}") for i, m in enumerate(metrics)])
-    per_key = per_key.withColumn("values", F.array(*[F.col(f"_s{i}")
-                                                     for i in range(len(metrics))]))
-    counted = per_key.groupBy("_w").agg(F.count_if(predicate_on("values", cond)).alias(name))
-    start = F.col("_w")["start"]
+    s = stream.withColumn("__tc_et", et).withWatermark("__tc_et", watermark)
+    # The batch rules for nulls, empty keys and multi-valued keys.
+    s = prepared(s, ["__tc_et"], key, metrics, keep_invalid=False)
+    per_key = s.groupBy(F.window("__tc_et", window, window, start_offset).alias("__tc_w"), KEY).agg(
+        *[F.sum(f"__tc_m{i}").alias(f"__tc_s{i}") for i in range(len(metrics))])
+    per_key = per_key.withColumn("__tc_values", F.array(*[F.col(f"__tc_s{i}") for i in range(len(metrics))]))
+    counted = per_key.groupBy("__tc_w").agg(F.count_if(predicate_on("__tc_values", cond)).alias(name))
+    start = F.col("__tc_w")["start"]
     if wall_zone == "UTC":  # the window's UTC calendar date, from epoch seconds
         bucket = F.date_from_unix_date(F.floor(F.unix_seconds(start) / 86400).cast("int"))
     else:
