@@ -36,10 +36,10 @@ def test_merge_of_parts_equals_build_of_all(events, k, parts):
     assert canon(merged) == canon(whole)
 
 
-def test_merge_infers_width_and_k(events):
+def test_merge_of_pieces_equals_the_whole(events):
     pieces = tuple_sketch(events, "user_id", metrics(), by=["event_type", F.to_date("ts")
                                                             .alias("day")], k=64)
-    merged = merge_sketches(pieces, "sketch", by="event_type")
+    merged = merge_sketches(pieces, "sketch", by="event_type", k=64, num_values=2)
     whole = tuple_sketch(events, "user_id", metrics(), by="event_type", k=64)
     assert canon(merged) == canon(whole)
 

@@ -96,7 +96,8 @@ def test_large_partition_counts_plan_a_two_level_limit(spark):
                                          by="event_type", k=1024))
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
-    assert "pmod(SPARK_PARTITION_ID(), 64)" in formatted
+    # 4096 partitions * 1026 rows over 2,000,000 rows a task
+    assert "pmod(SPARK_PARTITION_ID(), 3)" in formatted
 
 
 def test_stored_sketches_prune_partitions(spark):
@@ -121,14 +122,12 @@ def test_exact_rollup_pushes_key_filter_to_parquet(spark):
         or "PushedFilters: [IsNotNull(user_id), IsNotNull(value)]" in plan
 
 
-def test_presample_count_pass_reads_only_group_and_key(spark):
+def test_presample_count_pass_reads_group_key_and_metrics(spark):
     from tuplecohort.operators.build import _presample_thresholds
     li = spark.read.parquet(f"{SF_MID}/lineitem.parquet")
-    t = _presample_thresholds(li, ["l_returnflag"], "l_orderkey", 64, 1000)
-    assert t is not None and t.count() == 3
-    # The distinct-count job itself: only the two columns are read.
-    from tuplecohort.operators.rows import KEY, prepared
-    from pyspark.sql import functions as F
-    keyed = prepared(li, ["l_returnflag"], "l_orderkey", [], keep_invalid=False)
-    plan = explain(keyed.groupBy("l_returnflag").agg(F.approx_count_distinct(KEY)))
-    assert "ReadSchema: struct<l_orderkey:bigint,l_returnflag:string>" in plan
+    t = _presample_thresholds(li, ["l_returnflag"], "l_orderkey", [Metric("l_quantity")], 64)
+    assert t.count() == 3
+    # Keys without complete metrics do not count, so the metric's nulls have to be read.
+    assert "ReadSchema: struct<l_orderkey:bigint,l_quantity:double,l_returnflag:string>" in explain(t)
+    few = _presample_thresholds(li, ["l_returnflag"], "l_orderkey", [Metric("l_quantity")], 65536)
+    assert few.count() == 0   # no threshold for groups that a sketch holds whole
