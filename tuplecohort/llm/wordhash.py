@@ -8,7 +8,7 @@ import numpy as np
 
 from .common import mix64
 
-PIECE = 1 << 21
+PIECE = 1 << 19
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOW = np.arange(256, dtype=np.uint8)
