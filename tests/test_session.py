@@ -61,8 +61,8 @@ def test_group_limit_threshold_only_raised():
 
 def test_fanout_follows_the_larger_initial_partition_count():
     from tuplecohort.operators.bottomk import auto_fanout
-    assert auto_fanout(_Session("local", conf={"spark.sql.shuffle.partitions": "200"})) == 1
+    assert auto_fanout(_Session("local", conf={"spark.sql.shuffle.partitions": "200"}), 4096) == 1
     assert auto_fanout(_Session("local", conf={
         "spark.sql.shuffle.partitions": "200",
-        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "4096"})) == 64
-    assert auto_fanout(_Session("local", conf={"spark.sql.shuffle.partitions": "20000"})) == 142
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "4096"}), 4096) == 9
+    assert auto_fanout(_Session("local", conf={"spark.sql.shuffle.partitions": "20000"}), 4096) == 41  # 20000 * 4098 / 2,000,000
