@@ -47,6 +47,8 @@ _PATTERNS = (
     ("card", r"(?<![\w.-])[3-6]\d{3}(?:[ -]?\d{4}){2}[ -]?\d{1,7}(?![\w-])"),
     ("name", rf"(?<!\w)(?:{'|'.join(_FEMALE + _MALE)})\.? {_UPPER_WORD}(?:[ -]{_UPPER_WORD}){{0,2}}"),
 )
+#: Every entity but a name has a digit or an @; a name stands after a title.
+_SIGN = re.compile(r"[\d@]")
 _ANY = re.compile("|".join(f"(?P<{k}>{p})" for k, p in _PATTERNS))
 #: Syllables for names, by script; the ending tells the gender.
 _NAMES = {
@@ -63,6 +65,8 @@ def _script(word: str) -> str:
 
 def find_entities(text: str) -> list[tuple[int, int, str, str]]:
     """(start, stop, kind, canonical form) of a text's entities, in order; they do not overlap."""
+    if not _SIGN.search(text) and not any(t in text for t in _FEMALE + _MALE):
+        return []
     out = []
     for m in _ANY.finditer(text):
         kind, found = m.lastgroup, m.group()
