@@ -86,3 +86,24 @@ def test_edge_cases(spark):
     none = langid.learn(table(spark, []))
     assert {r.lang_pred for r in langid.identify(docs, none, ["doc_id"]).collect()} == {"und"}
     assert langid.identify(table(spark, []), model, ["doc_id"]).count() == 0
+
+
+def test_texts_of_unlearned_languages_go(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    model = langid.learn(docs.filter(~langid.held_out(F.col("doc_id"))))
+    planted = ["Все люди рождаются свободными и равными в своем достоинстве", "你好",
+               "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki.",
+               "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw.",
+               "xqzvk wjqpf zzkxv qwrtp bvcxz mnqwk jhgfd plkjq", None, "", "12 !?"]
+    rows = [(i, t, "en", "a") for i, t in enumerate(planted)] + [(100, "Released under the MIT License. 7f3a9c0b1e22d4", "en", "a")]
+    assert [r.doc_id for r in langid.keep_known(table(spark, rows), model).collect()] == [100]
+    # Clean texts stay, short ones too.
+    clean = docs.filter(langid.held_out(F.col("doc_id")) & F.col("text").rlike(r"\p{L}"))
+    assert langid.keep_known(clean, model).count() == clean.count()
+
+
+def test_word_ngrams_of_pieces(monkeypatch):
+    text = "".join(random.Random(3).choice("abcde éß1-") for _ in range(5000))
+    whole = langid.word_counts(text)
+    monkeypatch.setattr(langid, "PIECE", 64)
+    assert all((a == b).all() for a, b in zip(langid.word_counts(text), whole))

@@ -22,6 +22,15 @@ rows without a text or language are not learned from; if nothing can be learned,
 every row gets ``und``; repeated rows get equal answers; an empty table gives an
 empty result.  Scores are the winner's regression value, cut to 0..1.  Ties go to
 the language that sorts first.
+
+Scores compare the learned languages with each other: those of a text sum to one, so
+they do not tell whether it is in any of them.  :func:`keep_known` asks that of the
+share of a text's word n-grams (``WORD_ORDERS``, everything but letters read as one
+space, every occurrence counted) that a language's landmarks have; a text that fails
+so is read once more without the words that have a digit.  A language's
+floor is ``FLOOR`` times the share that all but ``STRAY`` of its learned texts reach
+(a landmark is held against the other landmarks).  A text below the floors of all
+languages, or without any n-gram known, is in none of them.
 """
 
 from __future__ import annotations
@@ -45,9 +54,16 @@ RIDGE = 1e-3
 PIECE = 1 << 18
 BATCH_DOCS = 64
 UNKNOWN = "und"
-#: A text with a lower score is in none of the learned languages, as far as the pipeline is concerned.
-MIN_SCORE = 0.2
+#: Orders of the n-grams that tell whether a text is in a learned language.
+WORD_ORDERS = (3, 4)
+#: Of the learned texts of a language so many may be strays (wrong labels, other matter) ...
+STRAY = 0.05
+#: ... and a text needs this part of the share of known n-grams that the others reach.
+FLOOR = 0.5
 _LETTER = re.compile(r"[^\W\d_]")
+_BETWEEN = re.compile(r"[\W\d_]+")
+_WORD = re.compile(r"[^\W_]+")
+_DIGIT = re.compile(r"\d")
 
 
 def ngram_codes(chars: np.ndarray, orders: tuple[int, ...] = ORDERS) -> Iterator[tuple[int, np.ndarray]]:
@@ -77,12 +93,60 @@ def presence(text: str) -> np.ndarray:
     return np.flatnonzero(seen).astype(np.int32)
 
 
+def letters(text: str) -> str:
+    """A text with one space for everything between its letters."""
+    return _BETWEEN.sub(" ", text).strip()
+
+
+def plain_words(text: str) -> str:
+    """The words of a text that have no digit (keys and numbers are in no language)."""
+    return " ".join(w for w in _WORD.findall(text) if not _DIGIT.search(w))
+
+
+def word_codes(words: str) -> Iterator[np.ndarray]:
+    """Codes of the word n-grams, one for each occurrence, in pieces."""
+    chars = _points(f" {words} ")
+    for at in range(0, len(chars), PIECE):
+        for _, codes in ngram_codes(chars[at:at + PIECE + WORD_ORDERS[-1] - 1], WORD_ORDERS):
+            # An n-gram belongs to the piece that it starts in.
+            yield codes[:PIECE]
+
+
+def word_counts(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct codes of the word n-grams of a text, and how often each occurs."""
+    total = np.zeros(1 << BITS, np.int32)
+    for codes in word_codes(letters(text)):
+        total += np.bincount(codes, minlength=1 << BITS).astype(np.int32)
+    found = np.flatnonzero(total)
+    return found.astype(np.int32), total[found]
+
+
 @dataclass
 class LanguageModel:
     languages: list[str]
     column: np.ndarray      # n-gram code -> column of the vocabulary, or -1
     weights: np.ndarray     # vocabulary x languages: landmark products, Nyström map and ridge weights in one
     bias: np.ndarray
+    word_sets: np.ndarray   # word n-gram code -> number of the set of languages whose landmarks have it
+    sets: np.ndarray        # set x languages, 0 or 1
+    floors: np.ndarray      # least share of known word n-grams by language
+
+    def known(self, text: str | None) -> bool:
+        """Whether a text is in one of the learned languages."""
+        if not self.languages or not text or not _LETTER.search(text):
+            return False
+        for read in (letters, plain_words):
+            share = self.shares(read(text))
+            if ((share > 0) & (share >= self.floors)).any():
+                return True
+        return False
+
+    def shares(self, words: str) -> np.ndarray:
+        """Share of the word n-grams that the landmarks have, by language."""
+        count = np.zeros(len(self.sets), np.int64)
+        for codes in word_codes(words):
+            count += np.bincount(self.word_sets[codes], minlength=len(count))
+        return count @ self.sets / max(1, count.sum())
 
     def scores(self, texts: list[str]) -> np.ndarray:
         """Regression values, texts x languages."""
@@ -130,11 +194,31 @@ class LanguageModel:
         return out
 
 
-def fit(rows: list[tuple[str, np.ndarray]], landmarks: int = LANDMARKS, ridge: float = RIDGE) -> LanguageModel:
-    """Model of (language, n-gram codes) rows; the first ``landmarks`` of each language are landmarks."""
+def word_floors(langs: list[str], lang_of: list[str], words: list[tuple[np.ndarray, np.ndarray]],
+                landmarks: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``word_sets``, ``sets`` and ``floors`` of a model whose rows have the languages ``lang_of``."""
+    has = np.zeros((1 << BITS, len(langs)), bool)
+    floors = np.zeros(len(langs))
+    for i, lang in enumerate(langs):
+        mine = [w for la, w in zip(lang_of, words) if la == lang]
+        among = np.zeros(1 << BITS, np.int32)
+        for codes, _ in mine[:landmarks]:
+            among[codes] += 1
+        has[:, i] = among > 0
+        shares = [float(times[among[codes] > (j < landmarks)].sum() / max(1, times.sum()))
+                  for j, (codes, times) in enumerate(mine)]
+        floors[i] = FLOOR * float(np.quantile(shares, STRAY, method="lower"))
+    sets, word_sets = np.unique(has, axis=0, return_inverse=True)
+    return word_sets.reshape(-1).astype(np.int32), sets.astype(np.int64), floors
+
+
+def fit(rows: list[tuple[str, np.ndarray]], words: list[tuple[np.ndarray, np.ndarray]], landmarks: int = LANDMARKS,
+        ridge: float = RIDGE) -> LanguageModel:
+    """Model of (language, n-gram codes) rows and their word n-grams; the first ``landmarks`` of each language are landmarks."""
     langs = sorted({lang for lang, _ in rows})
     if not langs:
-        return LanguageModel([], np.full(1 << BITS, -1, np.int32), np.zeros((0, 0), np.float32), np.zeros(0, np.float32))
+        return LanguageModel([], np.full(1 << BITS, -1, np.int32), np.zeros((0, 0), np.float32), np.zeros(0, np.float32),
+                             np.zeros(1 << BITS, np.int32), np.zeros((1, 0), np.int64), np.zeros(0))
     count: dict[str, int] = {}
     marks = []
     for lang, codes in rows:
@@ -165,7 +249,8 @@ def fit(rows: list[tuple[str, np.ndarray]], landmarks: int = LANDMARKS, ridge: f
     p = phi - mean
     w = np.linalg.solve(p.T @ p + ridge * len(rows) * np.eye(p.shape[1]), p.T @ (y - y_mean))
     weights = land.T @ (nystrom @ w).astype(np.float32)
-    return LanguageModel(langs, column, weights.astype(np.float32), (y_mean - mean @ w).astype(np.float32))
+    return LanguageModel(langs, column, weights.astype(np.float32), (y_mean - mean @ w).astype(np.float32),
+                         *word_floors(langs, [lang for lang, _ in rows], words, landmarks))
 
 
 def learn(labelled: DataFrame, per_language: int = PER_LANGUAGE, landmarks: int = LANDMARKS) -> LanguageModel:
@@ -185,12 +270,15 @@ def learn(labelled: DataFrame, per_language: int = PER_LANGUAGE, landmarks: int
     def codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for lang, n, text in zip(*(c.to_pylist() for c in b.columns)):
+                cols = [a.tobytes() for a in (presence(text), *word_counts(text))]
                 yield pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([n], pa.int32()),
-                                                  pa.array([presence(text).tobytes()], pa.binary())],
-                                                 names=["lang", "n", "codes"])
+                                                  *[pa.array([c], pa.binary()) for c in cols]],
+                                                 names=["lang", "n", "codes", "words", "times"])
 
-    got = sorted(few.mapInArrow(codes, "lang string, n int, codes binary").collect(), key=lambda r: (r[0], r[1]))
-    return fit([(r[0], np.frombuffer(r[2], np.int32)) for r in got], landmarks)
+    got = sorted(few.mapInArrow(codes, "lang string, n int, codes binary, words binary, times binary").collect(),
+                 key=lambda r: (r[0], r[1]))
+    return fit([(r[0], np.frombuffer(r[2], np.int32)) for r in got],
+               [(np.frombuffer(r[3], np.int32), np.frombuffer(r[4], np.int32)) for r in got], landmarks)
 
 
 def identify(docs: DataFrame, model: LanguageModel, keep: list[str]) -> DataFrame:
@@ -213,12 +301,17 @@ def identify(docs: DataFrame, model: LanguageModel, keep: list[str]) -> DataFram
     return rows.mapInArrow(run, schema).toDF(*keep, "lang_pred", "score")
 
 
-def keep_known(docs: DataFrame, model: LanguageModel, min_score: float = MIN_SCORE) -> DataFrame:
-    """The documents in a learned language with a score of at least ``min_score``, with all their columns."""
+def keep_known(docs: DataFrame, model: LanguageModel) -> DataFrame:
+    """The documents in a learned language, with all their columns."""
     cols = docs.columns
-    found = identify(docs, model, cols).toDF(*[f"c{i}" for i in range(len(cols))], "found", "value")
-    found = found.filter((F.col("found") != UNKNOWN) & (F.col("value") >= min_score))
-    return found.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(cols)])
+    rows = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(cols)])
+    text = cols.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.filter(pa.array([model.known(t) for t in b.column(text).to_pylist()], pa.bool_()))
+
+    return rows.mapInArrow(run, rows.schema).toDF(*cols)
 
 
 def held_out(doc_id: Column) -> Column:
