@@ -107,3 +107,20 @@ def test_word_ngrams_of_pieces(monkeypatch):
     whole = langid.word_counts(text)
     monkeypatch.setattr(langid, "PIECE", 64)
     assert all((a == b).all() for a, b in zip(langid.word_counts(text), whole))
+
+
+def test_copies_do_not_crowd_out_a_language(spark, monkeypatch):
+    rng = random.Random(4)
+
+    def texts(n, alphabet):
+        return ["".join(rng.choice(alphabet) for _ in range(30)) for _ in range(n)]
+
+    # The copies of one page are nearly all rows of one language and the first by hash, or not, of another.
+    many = [("de", t) for page in texts(1, "abcd ") for t in [page] * 3000] + [("de", t) for t in texts(20, "abcd ")]
+    more = [("fr", t) for t in texts(6, "efgh ") for _ in range(50)] + [("en", t) for t in texts(400, "ijkl ")]
+    docs = table(spark, [(i, t, la, "a") for i, (la, t) in enumerate(many + more)], clash=False)
+    fitted = []
+    monkeypatch.setattr(langid, "fit", lambda rows, *rest: fitted.extend(rows))
+    langid.learn(docs.repartition(7), per_language=8, landmarks=4)
+    count = {la: [c.tobytes() for k, c in fitted if k == la] for la in ("de", "fr", "en")}
+    assert {la: (len(c), len(set(c))) for la, c in count.items()} == {"de": (8, 8), "fr": (6, 6), "en": (8, 8)}

@@ -11,8 +11,9 @@ Only n-grams that occur in a landmark count, for the texts' norms too, so a text
 is a 0/1 row over that vocabulary, and landmark products, Nyström map and ridge
 weights are one matrix.  Scoring is a matrix product per batch of texts.
 
-Fitting uses a bounded sample: at most ``PER_LANGUAGE`` labelled rows of each
-language, chosen by a hash of the row, of which ``LANDMARKS`` are landmarks.  The
+Fitting uses a bounded sample: ``PER_LANGUAGE`` distinct labelled texts of each
+language (all of a language with fewer), those with the smallest hashes, of which
+``LANDMARKS`` are landmarks.  Copies of a text count once.  The
 driver gets the n-gram codes of those rows, each at most 2^``BITS``.  Prediction
 reads every whole text; a text longer than ``PIECE`` characters goes through in
 overlapping pieces.
@@ -259,24 +260,37 @@ def learn(labelled: DataFrame, per_language: int = PER_LANGUAGE, landmarks: int
                    .filter("text is not null and lang is not null") \
                    .filter(F.col("text").rlike(r"\p{L}"))
     rows = rows.withColumn("h", F.xxhash64("text", F.lit(3)))
-    share = rows.groupBy("lang").count().select(F.col("lang").alias("s_lang"),
-                                                (F.lit(2.0 * per_language) / F.col("count")).alias("share"))
+    texts = stored(rows.select("lang", "h").distinct(), "langid-texts")
+    # A wide share of each language first, so that no task ranks a whole language; all of one that it leaves short.
+    near = F.pmod("h", F.lit(1 << 30))
+    count = texts.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    share = count.select(F.col("lang").alias("s_lang"), "n", (F.lit(2.0 * per_language) / F.col("n") * (1 << 30)).alias("below"))
     share = stored(share, "langid-share")     # one row a language: Spark broadcasts it by its size
-    near = F.pmod("h", F.lit(1 << 30)) < F.col("share") * (1 << 30)
-    few = rows.join(share, F.col("lang") == F.col("s_lang"), "inner").filter(near)
-    order = Window.partitionBy("lang").orderBy("h")
-    few = few.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= per_language).select("lang", "n", "text")
+    left = texts.join(share, F.col("lang") == F.col("s_lang"), "inner").groupBy("s_lang", "n", "below").agg(
+        F.count_if(near < F.col("below")).alias("got"))
+    share = left.select("s_lang", F.when(F.col("got") >= F.least("n", F.lit(per_language)), F.col("below"))
+                        .otherwise(F.lit(2.0 ** 30)).alias("below"))
+    share = stored(share, "langid-shares")
+    order = Window.partitionBy("lang").orderBy(near, "h")
+    pick = texts.join(share, F.col("lang") == F.col("s_lang"), "inner").filter(near < F.col("below")) \
+                .withColumn("n", F.row_number().over(order)).filter(F.col("n") <= per_language)
+    pick = stored(pick.select(F.col("lang").alias("p_lang"), F.col("h").alias("p_h"), "n"), "langid-picked")
+    few = rows.join(pick, (F.col("h") == F.col("p_h")) & (F.col("lang") == F.col("p_lang")), "inner").select("lang", "n", "text")
 
     def codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple[str, int]] = set()      # copies of a text: one a task, then one of all
         for b in batches:
             for lang, n, text in zip(*(c.to_pylist() for c in b.columns)):
+                if (lang, n) in seen:
+                    continue
+                seen.add((lang, n))
                 cols = [a.tobytes() for a in (presence(text), *word_counts(text))]
                 yield pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([n], pa.int32()),
                                                   *[pa.array([c], pa.binary()) for c in cols]],
                                                  names=["lang", "n", "codes", "words", "times"])
 
-    got = sorted(few.mapInArrow(codes, "lang string, n int, codes binary, words binary, times binary").collect(),
-                 key=lambda r: (r[0], r[1]))
+    found = few.mapInArrow(codes, "lang string, n int, codes binary, words binary, times binary")
+    got = sorted(found.dropDuplicates(["lang", "n"]).collect(), key=lambda r: (r[0], r[1]))
     return fit([(r[0], np.frombuffer(r[2], np.int32)) for r in got],
                [(np.frombuffer(r[3], np.int32), np.frombuffer(r[4], np.int32)) for r in got], landmarks)
 
