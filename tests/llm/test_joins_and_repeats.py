@@ -57,6 +57,17 @@ def test_decontamination(spark):
     assert kept.count() == sum(not r[-1] for r in got)
 
 
+def test_decontamination_of_capital_sigma(spark):
+    items = [(1, "ΟΔΟΣ ΑΘΗΝΑ"), (2, "ΣΟΦΟΣ x ΛΟΓΟΣ"), (3, "ΟΔΟς ΝΕΑ")]
+    rows = [(1, "ΟΔΟΣ.ΑΘΗΝΑ", "el", "a"), (2, "ΟΔΟΣ:ΑΘΗΝΑ", "el", "a"), (3, "a ΣΟΦΟΣ'X'ΛΟΓΟΣ", "el", "a"),
+            (4, "ΟΔΟΣ ΝΕΑ", "el", "a"), (5, "οδος αθηνα", "el", "a")]
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    got = [(r.doc_id, r.n_words, r.n_hit, r.n_items, r["items"], r.contaminated)
+           for r in decontam.contamination(table(spark, rows), bench).collect()]
+    assert sorted(got, key=repr) == sorted(brute_windows(rows, items), key=repr)
+    assert sum(r[2] > 0 for r in got) == 3
+
+
 def test_decontamination_of_empty_tables(spark):
     bench = spark.createDataFrame([(1, "a b c")], "item_id bigint, text string")
     assert decontam.contamination(table(spark, []), bench).count() == 0

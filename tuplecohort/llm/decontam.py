@@ -14,8 +14,8 @@ words is one window).  A document is searched for exact occurrences of them:
 4. The words of the document from that start are compared with the window's.
 
 Words are runs of digits, a-z (after A-Z became a-z) and all non-ASCII characters.
-Steps 1 to 3 compare words in Unicode lower case, which can only add candidates;
-step 4 is exact.
+Steps 1 to 3 compare words in Unicode lower case, character by character, which can
+only add candidates; step 4 is exact.
 
 Defined cases: a null text has no words, as an empty one; items without words have
 no window; a null item_id counts as an item that shows as nothing in lists; rows of
@@ -47,7 +47,9 @@ def exact_words(text: Column) -> Column:
 
 def folded_words(text: Column) -> Column:
     """As :func:`exact_words` but in Unicode lower case: the same number of words, and equal words stay equal."""
-    return F.regexp_extract_all(F.coalesce(F.lower(text), F.lit("")), F.lit(WORD), F.lit(0))
+    # Capital sigma is the one letter whose lower case depends on what stands around it, beyond word separators too.
+    low = F.lower(F.replace(text, F.lit("\u03a3"), F.lit("\u03c3")))
+    return F.regexp_extract_all(F.coalesce(low, F.lit("")), F.lit(WORD), F.lit(0))
 
 
 def _shingles(words: str, size: int) -> Column:
