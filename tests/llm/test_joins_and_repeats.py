@@ -132,6 +132,17 @@ def test_jaccard_components(spark, monkeypatch, size, percent, block):
         == sorted(want, key=repr)
 
 
+def test_jaccard_pairs_without_counted_tokens(spark, monkeypatch):
+    # With so few counted tokens, sets stand in the index through uncounted ones only.
+    monkeypatch.setattr(jaccard, "SMALL", 4)
+    monkeypatch.setattr(jaccard, "counted_below", lambda percent: 1)
+    rows = near_rows(12)[:60]
+    found = jaccard.jaccard_components(table(spark, rows).repartition(5), 3, 90).collect()
+    expected, _, _ = brute_components(rows, 3, 90)
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in found) == sorted(expected)
+    assert len({r.component_id for r in found}) < len(found)
+
+
 def test_keep_one_of_each(spark):
     rows = near_rows(1) + edge_rows()
     docs = table(spark, rows).repartition(3)

@@ -159,8 +159,9 @@ def prefix_index(sets: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, Da
                  .select("cls", "token", "cid", "n", "pos", "length")
     index = stored(index, "jaccard-lists")
     named = index.select(F.col("cls").alias("n_cls"), F.col("cid").alias("n_cid")).distinct()
-    sketch = shared.filter("not late").join(named, (F.col("cid") == F.col("n_cid")) & (F.col("cls") == F.col("n_cls")), "left_semi") \
-                   .groupBy("cls", "cid", "n", "m").agg(F.collect_list("token").alias("shared"))
+    # A set that is in the index through uncounted tokens only has an empty sketch.
+    sketch = shared.join(named, (F.col("cid") == F.col("n_cid")) & (F.col("cls") == F.col("n_cls")), "left_semi") \
+                   .groupBy("cls", "cid", "n", "m").agg(F.collect_list(F.when(~F.col("late"), F.col("token"))).alias("shared"))
     return index, stored(sketch, "jaccard-sketches")
 
 
