@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, jaccard, langid, mixing, repeats, secret_forest, surrogates, tokens, vafile, warc
+from . import decontam, jaccard, langid, mixing, packing, repeats, secret_forest, surrogates, tokens, vafile, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -177,3 +177,11 @@ m AS (SELECT a, min(b) AS component_id FROM r GROUP BY a)
 SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, component_id
 FROM d LEFT JOIN n USING (doc_id) JOIN m ON m.a = d.doc_id
 """
+
+
+@query
+def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of at most 1024 ids."""
+    import public_tokenizers
+
+    return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
