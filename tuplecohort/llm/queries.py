@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, jaccard, langid, mixing, packing, repeats, secret_forest, surrogates, tokens, vafile, warc
+from . import decontam, jaccard, langid, lexical, mixing, packing, repeats, secret_forest, surrogates, tokens, vafile, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -185,3 +185,30 @@ def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op12_aho_corasick_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 highest-scoring documents of every benchmark item."""
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+_TERMS_SQL = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+
+SQL["op12_aho_corasick_rank"] = f"""
+WITH d AS (SELECT doc_id, w, CAST(len(w) AS BIGINT) AS n FROM (SELECT doc_id, {_TERMS_SQL} AS w FROM documents) WHERE len(w) > 0),
+c AS (SELECT count(*) AS nn, CAST(sum(n) AS BIGINT) AS ll FROM d),
+tf AS (SELECT doc_id, n, t, count(*) AS tf FROM (SELECT doc_id, n, unnest(w) AS t FROM d) GROUP BY ALL),
+df AS (SELECT t, count(*) AS df FROM tf GROUP BY t),
+i AS (SELECT DISTINCT item_id, unnest({_TERMS_SQL}) AS t FROM benchmark),
+w AS (SELECT item_id, t, CAST(floor(1000 * ln(CAST(2 * nn + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS w
+      FROM i JOIN df USING (t), c),
+s AS (
+  SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * nn) // ll)))) AS BIGINT) AS score
+  FROM w JOIN tf USING (t), c GROUP BY item_id, doc_id
+), r AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM s WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 50
+"""
