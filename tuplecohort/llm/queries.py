@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, jaccard, langid, lexical, mixing, packing, repeats, secret_forest, surrogates, tokens, vafile, warc
+from . import alignment, decontam, jaccard, langid, lexical, mixing, packing, repeats, secret_forest, surrogates, tokens, vafile, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -212,3 +212,12 @@ s AS (
 )
 SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 50
 """
+
+
+@query
+def op13_cross_tokenizer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of two tokenizers in all documents."""
+    import public_tokenizers
+
+    return alignment.align_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                                     public_tokenizers.path("piece_bpe_32k.model"))
