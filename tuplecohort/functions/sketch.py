@@ -174,6 +174,102 @@ def combine_sketches(a: SketchLike, b: SketchLike, k: Optional[int] = None) -> C
     return make_sketch(new_theta, k_out, width, hash_kind, entries)
 
 
+def _checked_theta(a: Column, b: Column, what: str, same_width: bool) -> Column:
+    """The smaller theta of two sketches; raises where a row's kinds (or widths) differ."""
+    both = a.isNotNull() & b.isNotNull()
+    theta = F.when(both & (a["hash"] != b["hash"]),
+                   F.raise_error(F.lit(f"cannot {what} sketches built with different hash kinds")).cast("bigint"))
+    if same_width:
+        theta = theta.when(both & (a["num_values"] != b["num_values"]),
+                           F.raise_error(F.lit(f"cannot {what} sketches of different num_values")).cast("bigint"))
+    return theta.otherwise(F.least(F.coalesce(a["theta"], F.lit(THETA_MAX)), F.coalesce(b["theta"], F.lit(THETA_MAX))))
+
+
+def _zipped(a: Column, b: Column, theta: Column, merge) -> Column:
+    """Entries below theta, one per hash of either side, with ``merge(values of a, values of b)``; null ones go.
+
+    The two sides meet in one hash map per row, so this is linear in their entries."""
+    empty = F.array().cast(ENTRIES_TYPE)
+    ma, mb = (F.map_from_entries(F.filter(F.coalesce(s["entries"], empty), lambda e: e["h"] < theta)) for s in (a, b))
+    met = F.map_entries(F.map_zip_with(ma, mb, lambda _h, x, y: merge(x, y)))
+    kept = F.filter(met, lambda e: e["value"].isNotNull())
+    return F.array_sort(F.transform(kept, lambda e: F.struct(e["key"].alias("h"), e["value"].alias("values"))))
+
+
+def intersect_sketches(a: SketchLike, b: SketchLike, values: str = "sum") -> Column:
+    """Keys of both sketches: a sample of the intersection under the smaller theta.
+
+    ``values``: ``"sum"`` adds the tuples slot by slot (widths must agree), ``"left"`` keeps those of
+    ``a``, ``"concat"`` puts those of ``b`` behind them.  A null side counts as empty, so the result is
+    then an empty sketch.  Theta stays the smaller one even if no key is left: a sampled sketch cannot
+    tell that the intersection is empty (its upper bound is above 0).  No shuffle."""
+    if values not in ("sum", "left", "concat"):
+        raise ValueError(f"values must be 'sum', 'left' or 'concat', got {values!r}")
+    a, b = _col(a), _col(b)
+    theta = _checked_theta(a, b, "intersect", same_width=values == "sum")
+    put = {"sum": lambda x, y: F.zip_with(x, y, lambda p, q: p + q), "left": lambda x, y: x,
+           "concat": lambda x, y: F.concat(x, y)}[values]
+    entries = _zipped(a, b, theta, lambda x, y: F.when(x.isNotNull() & y.isNotNull(), put(x, y)))
+    width = F.coalesce(a["num_values"], b["num_values"], F.lit(1))
+    if values == "concat":
+        width = F.coalesce(a["num_values"], F.lit(0)) + F.coalesce(b["num_values"], F.lit(0))
+    return _set_result(a, b, theta, width, entries)
+
+
+def a_not_b(a: SketchLike, b: SketchLike) -> Column:
+    """Keys of ``a`` that are not in ``b``, with the tuples of ``a``, under the smaller theta.
+
+    A null ``b`` takes nothing away; a null ``a`` gives an empty sketch.  ``b`` may have another width."""
+    a, b = _col(a), _col(b)
+    theta = _checked_theta(a, b, "subtract", same_width=False)
+    entries = _zipped(a, b, theta, lambda x, y: F.when(y.isNull(), x))
+    return _set_result(a, b, theta, F.coalesce(a["num_values"], b["num_values"], F.lit(1)), entries)
+
+
+def _set_result(a: Column, b: Column, theta: Column, width: Column, entries: Column) -> Column:
+    k = F.coalesce(F.least(a["k"], b["k"]), a["k"], b["k"], F.lit(DEFAULT_K))
+    kind = F.coalesce(a["hash"], b["hash"], F.lit("md5"))
+    # The checks of theta hold for readers of one of the small fields alone, too.
+    return make_sketch(theta, k, F.when(theta.isNotNull(), width), F.when(theta.isNotNull(), kind), entries)
+
+
+def sketch_bounds(sketch: SketchLike, z: float = 2.0) -> Column:
+    """``struct<lower, estimate, upper>``: score interval of the distinct-key count, ``z`` standard deviations wide.
+
+    n retained keys are a binomial draw at rate p = theta / 2^60 from the N keys, so the bounds are the two N with
+    (n - N p)^2 = z^2 N p (1 - p); the lower one is at least n.  An exact sketch has all three equal."""
+    s = _col(sketch)
+    n, p = F.size(s["entries"]["h"]).cast("double"), theta_fraction(s)
+    q = F.lit(float(z) ** 2) * (F.lit(1.0) - p)
+    spread = F.sqrt(q * (q + 4 * n))
+    lower, upper = ((2 * n + q + sign * spread) / (2 * p) for sign in (-1, 1))
+    return F.when(s.isNotNull(), F.struct(F.greatest(n, lower).alias("lower"), (n / p).alias("estimate"),
+                                          upper.alias("upper")))
+
+
+def sketch_sum(sketch: SketchLike, i: int) -> Column:
+    """Estimated sum of slot ``i`` over all keys: the retained sum over the sampling rate."""
+    s = _col(sketch)
+    return sketch_slot_sum(s, i) / theta_fraction(s)
+
+
+def sketch_sum_bounds(sketch: SketchLike, i: int, z: float = 2.0) -> Column:
+    """``struct<lower, estimate, upper>`` of the sum of slot ``i``: inverse-probability estimate with its own variance
+    estimate, (1 - p) / p^2 times the retained sum of squares.  An exact sketch has all three equal."""
+    s = _col(sketch)
+    p = theta_fraction(s)
+    squares = F.aggregate(s["entries"], F.lit(0.0), lambda acc, e: acc + F.pow(F.coalesce(F.get(e["values"], i), F.lit(0.0)), 2))
+    est = sketch_sum(s, i)
+    half = F.lit(float(z)) * F.sqrt((F.lit(1.0) - p) * squares) / p
+    return F.when(s.isNotNull(), F.struct((est - half).alias("lower"), est.alias("estimate"), (est + half).alias("upper")))
+
+
+def sketch_mean(sketch: SketchLike, i: int) -> Column:
+    """Mean of slot ``i`` over the keys (the retained keys' mean); null for a sketch without keys."""
+    s = _col(sketch)
+    return sketch_slot_sum(s, i) / F.nullif(F.size(s["entries"]["h"]).cast("double"), F.lit(0.0))
+
+
 def sketch_valid(sketch: SketchLike) -> Column:
     """True when a sketch keeps the format's invariants (null sketches count as valid):
     0 < theta <= 2^60, at most ``k`` entries, every hash in [0, theta), hashes strictly

@@ -1,10 +1,16 @@
 """Build tuple sketches from raw rows (the filtered-doubles aggregation).
 
-For every group and distinct key the tuple of conditional sums is computed
-exactly (one shuffle on (group, key), with a partial aggregate before it);
-the key is then hashed once and the group's ``k`` smallest hashes are kept by
+Every row's key is hashed; each task adds up its own tuples by (group, hash) and
+keeps at most ``k + 2`` hashes a group (``partials``), so the first shuffle, on
+(group, hash), is bounded by groups and tasks, not by keys.  After it the tuples
+of conditional sums are exact, and the group's ``k`` smallest hashes are kept by
 the bottom-k tail (second shuffle, on the group, bounded to ``k + 2`` rows per
-task and group).
+task and group).  ``partials="all"`` leaves out the per-task limit: the key itself
+is grouped, entirely in the JVM, and every distinct key goes through the first
+shuffle (the better choice when groups are known to hold fewer than ``k`` keys).
+``partials="auto"`` takes the bounded way from ``BOUNDED_FROM`` bytes of input on, as
+the plan's own estimate has it: under that, all keys fit one shuffle anyway and the
+limit only costs its Arrow batches.  The sketches are the same either way.
 
 ``presample=True`` adds a first pass for tables with many keys per group: an
 HLL count of the distinct keys that count (complete metrics, valid key) per
@@ -31,9 +37,11 @@ from ..functions.hashing import DEFAULT_K, THETA_MAX, check_hash_kind, key_hash
 from ..functions.metrics import ColumnOrName, Metric, check_k, check_metrics
 from ..functions.sketch import empty_sketch
 from .bottomk import H, T, V, finish
+from .partials import bounded_partials, can_bound, plan_bytes
 from .rows import KEY, group_columns, group_names, has_column, hashed_key, prepared
 
 PRESAMPLE_SLACK = 4
+BOUNDED_FROM = 1 << 30
 _T0 = "__tc_theta0"
 _G = "__tc_g_"
 _ONE = "__tc_one"
@@ -43,14 +51,18 @@ def tuple_sketch(df: DataFrame, key: ColumnOrName, metrics: Sequence[Metric],
                  k: int = DEFAULT_K, hash: str = "md5", num_values: int | None = None,
                  presample: bool = False, missing_ok: bool = False,
                  out: str = "sketch",
-                 fanout: int | None = None) -> DataFrame:
+                 fanout: int | None = None, partials: str = "auto") -> DataFrame:
     """``by..., out`` where ``out`` is a tuple sketch of at most ``k`` keys.
 
     ``metrics``: one :class:`Metric` per tuple slot.  ``missing_ok``: when the
     key column does not exist, return an empty sketch per group instead of
     raising.  ``hash``: ``"md5"`` (portable) or ``"xxhash64"`` (faster).
     ``fanout``: buckets of the two-level group limit (see ``bottomk``); None
-    picks it from ``spark.sql.shuffle.partitions``."""
+    picks it from ``spark.sql.shuffle.partitions``.  ``partials``: ``"bounded"``,
+    ``"all"`` or ``"auto"``, see above; group columns of types that tasks cannot group (floating
+    point, nested) are built as ``"all"``."""
+    if partials not in ("auto", "bounded", "all"):
+        raise ValueError(f"partials must be 'auto', 'bounded' or 'all', got {partials!r}")
     metrics = check_metrics(metrics, num_values)
     check_k(k)
     check_hash_kind(hash)
@@ -71,7 +83,18 @@ def tuple_sketch(df: DataFrame, key: ColumnOrName, metrics: Sequence[Metric],
 
     theta0 = _presample_thresholds(df, by_names, key, metrics, k) if presample else None
 
-    if theta0 is None:
+    bounded = partials == "bounded" or (partials == "auto" and plan_bytes(df) >= BOUNDED_FROM)
+    if theta0 is None and bounded and can_bound(rows, by_names):
+        named = [f"__tc_m{i}" for i in range(n)]
+        key_col = hashed_key(rows)
+        # md5 is dear: tasks compute it once per distinct key; xxhash64 is cheaper than moving the key.
+        of_key = key_col.cast("string").alias(KEY) if hash == "md5" else \
+            F.when(F.col(KEY).isNotNull(), key_hash(key_col, hash)).alias(H)
+        part = bounded_partials(rows.select(*by_names, of_key, *named), by_names, H, named, k,
+                                key=KEY if hash == "md5" else None)
+        agg = part.groupBy(*by_names, H).agg(*sums)
+        tuples = agg.select(*by_names, H, values(F.col(H).isNotNull()).alias(V), F.lit(None).cast("bigint").alias(T))
+    elif theta0 is None:
         agg = rows.groupBy(*by_names, KEY).agg(*sums)
         present = F.col(KEY).isNotNull()
         tuples = agg.select(*by_names, F.when(present, key_hash(hashed_key(rows), hash)).alias(H),

@@ -8,6 +8,7 @@ two-decimal data are rounded to 2 places and estimates to 6.
 
 from __future__ import annotations
 
+import datetime
 from typing import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,14 +16,19 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import slot
 from ..functions.metrics import Metric
-from ..functions.sketch import (collapse_tuples, combine_sketches, filter_tuples, sketch_estimate,
-                                sketch_retained, sketch_slot_sum)
+from ..functions.sketch import (a_not_b, collapse_tuples, combine_sketches, filter_tuples, intersect_sketches,
+                                sketch_bounds, sketch_estimate, sketch_mean, sketch_retained, sketch_slot_sum,
+                                sketch_sum, sketch_sum_bounds)
 from ..operators.build import tuple_sketch
+from ..operators.lattice import cube_sketches
 from ..operators.merge import merge_sketches
 from ..operators.rollup import collapse_rows, filter_rows, tuple_rollup
+from ..operators.sets import intersect_groups
+from ..operators.top import top_groups
 from ..operators.transforms import order_by_estimate, sketch_entries, transform_chain
 from ..session import scratch_path
-from ..sources.store import read_sketches, write_sketches
+from ..sources.dyadic import write_dyadic
+from ..sources.store import read_sketches, stream_table, write_sketches
 from . import oracle as O
 from .cohort import cohort_exact, cohort_sketch, time_bucket
 
@@ -535,9 +541,7 @@ def exact_filter_collapse(spark, sf):
 @query("stream_cohort_sketch", _cohort_sketch_sql(4096))
 def stream_cohort_sketch(spark, sf):
     from ..streaming.incremental import read_stream_sketches, stream_sketches
-    schema = table(spark, sf, "events").schema
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet") \
-        .parquet(sf.rstrip("/"))
+    stream = _event_stream(spark, sf)
     path = scratch_path(spark, "stream-weekly-sketches")
     q = stream_sketches(stream, path, "user_id", VIEW_PURCHASE(), by=WEEK(), k=4096,
                         trigger={"availableNow": True})
@@ -629,16 +633,17 @@ def presample_null_metric_ungrouped(spark, sf):
 @query("merge_mixed_k", O.with_(
     O.build("a", "(SELECT * FROM events WHERE event_id % 2 = 0)", [("event_type", "event_type")], "user_id",
             [("1.0", "TRUE")], 64),
-    O.build("b", "(SELECT * FROM events WHERE event_id % 2 = 1)", [("event_type", "event_type")], "user_id",
+    O.build("b", "(SELECT * FROM events WHERE coalesce(event_id % 2, 1) <> 0)", [("event_type", "event_type")], "user_id",
             [("1.0", "TRUE")], 1024),
     "p_th AS (SELECT * FROM a_th UNION ALL SELECT * FROM b_th)",
     "p_e AS (SELECT * FROM a_e UNION ALL SELECT * FROM b_e)",
     O.merge("m", "p", ["event_type"], 1, 64)) + O.estimate("m", ["event_type"]))
 def merge_mixed_k(spark, sf):
     ev = table(spark, sf, "events")
-    odd = F.col("event_id") % 2   # the whole table, half of it in small sketches and half in large ones
-    parts = [tuple_sketch(ev.where(odd == i), "user_id", [Metric(F.lit(1.0))], by="event_type", k=k)
-             for i, k in ((0, 64), (1, 1024))]
+    # The whole table, half of it in small sketches and half (null and negative odd ids included) in large ones.
+    odd = F.coalesce(F.col("event_id") % 2, F.lit(1)) != 0
+    parts = [tuple_sketch(ev.where(rows), "user_id", [Metric(F.lit(1.0))], by="event_type", k=k)
+             for rows, k in ((~odd, 64), (odd, 1024))]
     merged = merge_sketches(parts[0].unionByName(parts[1]), "sketch", by="event_type", k=64)
     return merged.select("event_type", *est_cols())
 
@@ -713,8 +718,7 @@ def order_by_estimate_nulls(spark, sf):
 # --- streams: a restart and a snapshot; the exact cohort with a watermark ---------------
 
 def _event_stream(spark, sf):
-    schema = table(spark, sf, "events").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf.rstrip("/"))
+    return stream_table(spark, f"{sf.rstrip('/')}/events.parquet")
 
 
 @query("stream_restart_compact", _cohort_sketch_sql(4096))
@@ -746,3 +750,165 @@ def stream_cohort_exact_q(spark, sf):
     counted.writeStream.outputMode("append").option("checkpointLocation", out + "-checkpoint") \
         .trigger(availableNow=True).format("parquet").start(out).awaitTermination()
     return spark.read.schema(counted.schema).parquet(out)
+
+
+# --- bounded partial results of the build; parameters as they are checked ----------------
+
+@query("lineitem_order_sketch_bounded", _LI_SQL)
+def lineitem_order_sketch_bounded(spark, sf):
+    sk = tuple_sketch(table(spark, sf, "lineitem"), "l_orderkey", _li_metrics(), by="l_returnflag", k=4096,
+                      partials="bounded")
+    return sk.select("l_returnflag", *est_cols(), *_slot_sums())
+
+
+@query("parameter_checks", """
+SELECT event_type, CAST(count(*) AS BIGINT) AS n_rows, CAST(5 AS INTEGER) AS rejected FROM events GROUP BY event_type
+""")
+def parameter_checks(spark, sf):
+    ev, one = table(spark, sf, "events"), [Metric(F.lit(1.0))]
+    wrong = [lambda: tuple_sketch(ev, "user_id", []), lambda: tuple_sketch(ev, "user_id", one, k=100),
+             lambda: tuple_sketch(ev, "user_id", one, num_values=2), lambda: tuple_sketch(ev, "no_such_column", one),
+             lambda: Metric(None)]
+    rejected = 0
+    for build in wrong:
+        try:
+            build()
+        except ValueError:
+            rejected += 1
+    return ev.groupBy("event_type").agg(F.count(F.lit(1)).alias("n_rows")).withColumn("rejected", F.lit(rejected))
+
+
+# --- set operations, bounds ----------------------------------------------------------------
+
+def _halves_sql(k: int) -> list[str]:
+    """Sketches of the two halves of the day per type (CTEs a, b), and their common theta (t)."""
+    return [O.build("a", "(SELECT * FROM events WHERE coalesce(hour(ts) < 12, false))", [("event_type", "event_type")],
+                    "user_id", _DAILY_SQL_METRICS, k),
+            O.build("b", "(SELECT * FROM events WHERE NOT coalesce(hour(ts) < 12, false))", [("event_type", "event_type")],
+                    "user_id", _DAILY_SQL_METRICS, k),
+            f"""t AS (SELECT event_type, least(coalesce(a.theta, {O.T60}), coalesce(b.theta, {O.T60})) AS theta
+  FROM a_th a FULL JOIN b_th b USING (event_type))""",
+            "i_th AS (SELECT * FROM t)", "d_th AS (SELECT * FROM t)",
+            """i_e AS (SELECT a.event_type, a.h, a.v0 + b.v0 AS v0, a.v1 + b.v1 AS v1 FROM a_e a
+  JOIN b_e b ON a.event_type = b.event_type AND a.h = b.h JOIN t ON t.event_type = a.event_type AND a.h < t.theta)""",
+            """d_e AS (SELECT a.* FROM a_e a JOIN t ON t.event_type = a.event_type AND a.h < t.theta
+  WHERE NOT EXISTS (SELECT 1 FROM b_e b WHERE a.event_type = b.event_type AND a.h = b.h))"""]
+
+
+def _set_sql(k: int) -> str:
+    return O.with_(*_halves_sql(k)) + f"""SELECT x.event_type, x.est_keys AS both_est, x.theta AS both_theta, x.v0_sum AS both_v0,
+  x.v1_sum AS both_v1, y.est_keys AS only_est, y.theta AS only_theta, y.v0_sum AS only_v0, y.v1_sum AS only_v1
+FROM ({O.estimate('i', ['event_type'], extra=_SLOT_SUMS)}) x
+JOIN ({O.estimate('d', ['event_type'], extra=_SLOT_SUMS)}) y USING (event_type)"""
+
+
+def _halves(spark, sf, k):
+    am = F.coalesce(F.hour("ts") < 12, F.lit(False)).alias("am")
+    halves = tuple_sketch(table(spark, sf, "events"), "user_id", _daily_metrics(), by=["event_type", am], k=k)
+    return halves.groupBy("event_type").agg(
+        F.first(F.when(F.col("am"), F.col("sketch")), ignorenulls=True).alias("a"),
+        F.first(F.when(~F.col("am"), F.col("sketch")), ignorenulls=True).alias("b"))
+
+
+def _sets(spark, sf, k):
+    s = _halves(spark, sf, k).select("event_type", intersect_sketches("a", "b").alias("i"), a_not_b("a", "b").alias("d"))
+    out = [F.col("event_type")]
+    for c, name in (("i", "both"), ("d", "only")):
+        out += [F.round(sketch_estimate(c), 6).alias(f"{name}_est"), F.col(c)["theta"].alias(f"{name}_theta"),
+                *[F.round(sketch_slot_sum(c, j), 2).alias(f"{name}_v{j}") for j in (0, 1)]]
+    return s.select(*out)
+
+
+@query("set_operations_sampled", _set_sql(64))
+def set_operations_sampled(spark, sf):
+    return _sets(spark, sf, 64)
+
+
+@query("set_operations_exact", _set_sql(4096))
+def set_operations_exact(spark, sf):
+    return _sets(spark, sf, 4096)
+
+
+@query("intersect_weeks", O.with_(
+    O.build("w", "events", [("event_type", "event_type"), (WEEK_SQL, "week")], "user_id", [("1.0", "TRUE")], 64),
+    "n AS (SELECT event_type, count(*) AS n, min(theta) AS theta FROM w_th GROUP BY event_type)",
+    "i_th AS (SELECT event_type, theta FROM n)",
+    """i_e AS (SELECT e.event_type, e.h, sum(e.v0) AS v0 FROM w_e e JOIN n ON n.event_type = e.event_type AND e.h < n.theta
+  GROUP BY e.event_type, e.h, n.n HAVING count(*) = n.n)""")
+    + O.estimate("i", ["event_type"], extra=[("round(coalesce(sum(e.v0), 0), 2)", "v0_sum")]))
+def intersect_weeks(spark, sf):
+    weekly = tuple_sketch(table(spark, sf, "events"), "user_id", [Metric(F.lit(1.0))], by=["event_type", WEEK()], k=64)
+    every = intersect_groups(weekly, "sketch", by="event_type", k=64)
+    return every.select("event_type", *est_cols(), F.round(sketch_slot_sum("sketch", 0), 2).alias("v0_sum"))
+
+
+@query("estimate_bounds", O.with_(
+    O.build("s", "events", [("event_type", "event_type"), (DAY_SQL, "day")], "user_id", [("value", "TRUE")], 64),
+    f"""x AS (SELECT th.event_type, th.day, CAST(count(e.h) AS DOUBLE) AS n,
+    CAST(th.theta AS DOUBLE) / CAST({O.T60} AS DOUBLE) AS p, coalesce(sum(e.v0), 0) AS s, coalesce(sum(e.v0 * e.v0), 0) AS ss
+  FROM s_th th LEFT JOIN s_e e ON {O.nse('th', 'e', ['event_type', 'day'])} GROUP BY th.event_type, th.day, th.theta)""")
+    + """SELECT event_type, day, round(greatest(n, (2 * n + 4 * (1 - p) - sqrt(4 * (1 - p) * (4 * (1 - p) + 4 * n))) / (2 * p)), 4) AS lower,
+  round((2 * n + 4 * (1 - p) + sqrt(4 * (1 - p) * (4 * (1 - p) + 4 * n))) / (2 * p), 4) AS upper,
+  round(s / p, 2) AS total, round(s / p - 2 * sqrt((1 - p) * ss) / p, 2) AS total_lower, round(s / nullif(n, 0), 4) AS mean
+FROM x""")
+def estimate_bounds(spark, sf):
+    sk = tuple_sketch(table(spark, sf, "events"), "user_id", [Metric("value")], by=["event_type", DAY()], k=64)
+    b = sketch_bounds("sketch")
+    return sk.select("event_type", "day", F.round(b["lower"], 4).alias("lower"), F.round(b["upper"], 4).alias("upper"),
+                     F.round(sketch_sum("sketch", 0), 2).alias("total"),
+                     F.round(sketch_sum_bounds("sketch", 0)["lower"], 2).alias("total_lower"),
+                     F.round(sketch_mean("sketch", 0), 4).alias("mean"))
+
+
+# --- stored index for any range of days; a lattice of groupings; certain top groups --------
+
+_RANGE = (datetime.date(2024, 1, 4), datetime.date(2024, 1, 28))
+
+
+@query("dyadic_range", O.with_(
+    O.build("d", "events", [("event_type", "event_type"), (DAY_SQL, "day")], "user_id", _DAILY_SQL_METRICS, 64),
+    f"r_th AS (SELECT * FROM d_th WHERE day BETWEEN DATE '{_RANGE[0]}' AND DATE '{_RANGE[1]}')",
+    f"r_e AS (SELECT * FROM d_e WHERE day BETWEEN DATE '{_RANGE[0]}' AND DATE '{_RANGE[1]}')",
+    O.merge("m", "r", ["event_type"], 2, 64)) + O.estimate("m", ["event_type"], extra=_SLOT_SUMS))
+def dyadic_range(spark, sf):
+    daily = tuple_sketch(table(spark, sf, "events"), "user_id", _daily_metrics(), by=["event_type", DAY()], k=64)
+    index = write_dyadic(daily, scratch_path(spark, "dyadic"), by=["event_type"], k=64, num_values=2)
+    return index.merged(*_RANGE).select("event_type", *est_cols(), *_slot_sums())
+
+
+_CUBE = ["l_returnflag", "l_linestatus", "l_year"]
+_CUBE_SRC = "(SELECT *, CAST(year(l_shipdate) AS BIGINT) AS l_year FROM lineitem)"
+
+
+def _cube_sql() -> str:
+    from itertools import combinations
+    ctes, selects = [], []
+    for r in range(len(_CUBE), -1, -1):
+        for j, by in enumerate(combinations(_CUBE, r)):
+            name = f"g{r}{j}"
+            ctes.append(O.build(name, _CUBE_SRC, [(c, c) for c in by], "l_partkey", [("l_quantity", "TRUE")], 256))
+            cols = ", ".join(c if c in by else f"CAST(NULL AS {'BIGINT' if c == 'l_year' else 'VARCHAR'}) AS {c}" for c in _CUBE)
+            bits = sum(1 << (len(_CUBE) - 1 - i) for i, c in enumerate(_CUBE) if c not in by)
+            est = O.estimate(name, list(by), extra=[("round(coalesce(sum(e.v0), 0), 2)", "v0_sum")])
+            selects.append(f"SELECT {cols}, CAST({bits} AS BIGINT) AS grouping_id, est_keys, retained, theta, v0_sum FROM ({est}) q")
+    return O.with_(*ctes) + "\nUNION ALL ".join(selects)
+
+
+@query("cube_sketches", _cube_sql())
+def cube_sketches_q(spark, sf):
+    li = table(spark, sf, "lineitem").withColumn("l_year", F.year("l_shipdate").cast("bigint"))
+    cube = cube_sketches(li, "l_partkey", [Metric("l_quantity")], _CUBE, k=256)
+    return cube.select(*_CUBE, "grouping_id", *est_cols(), F.round(sketch_slot_sum("sketch", 0), 2).alias("v0_sum"))
+
+
+@query("top_groups", O.with_(
+    O.build("d", "orders", [("CAST(o_custkey % 97 AS BIGINT)", "desk"), (_YEAR_SQL, "order_year")], "o_custkey",
+            [("o_totalprice", "TRUE")], 64),
+    O.merge("m", "d", ["desk"], 1, 64)) + f"""SELECT desk, est_keys, retained, theta FROM ({O.estimate('m', ['desk'])}) q
+ORDER BY est_keys DESC, desk LIMIT 10""")
+def top_groups_q(spark, sf):
+    parts = tuple_sketch(table(spark, sf, "orders"), "o_custkey", [Metric("o_totalprice")],
+                         by=[(F.col("o_custkey") % 97).cast("bigint").alias("desk"), _order_year()], k=64)
+    path = scratch_path(spark, "top-groups-parts")
+    write_sketches(parts, path)
+    return top_groups(read_sketches(spark, path), 10, by="desk", k=64).select("desk", *est_cols())

@@ -64,3 +64,16 @@ def write_sketches(df: DataFrame, path: str, sketch: str = "sketch",
 def read_sketches(spark: SparkSession, path: str, sketch: str = "sketch",
                   validate: bool = False) -> DataFrame:
     return as_sketch_column(spark.read.parquet(path), sketch, validate=validate)
+
+
+def stream_table(spark: SparkSession, path: str) -> DataFrame:
+    """A stream over a Parquet table: a folder of part files, or a single file.
+
+    A folder is read as it stands (later files included).  A file is read through its folder, filtered by its name:
+    file streams take folders only."""
+    schema = spark.read.parquet(path).schema
+    folder, _, name = path.rstrip("/").rpartition("/")
+    hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    is_file = hpath.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).getFileStatus(hpath).isFile()
+    stream = spark.readStream.schema(schema)
+    return stream.option("pathGlobFilter", name).parquet(folder) if is_file else stream.parquet(path)
