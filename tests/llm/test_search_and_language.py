@@ -14,15 +14,15 @@ SMALL = "/root/testdata/sf0.01"
 
 
 def brute(rows, k):
-    v = []
+    v = []                                   # by row: ids may repeat
     for i, e in rows:
         if i is not None and e is not None and all(x is not None and math.isfinite(x) for x in e):
             v.append((i, [math.floor(256 * x) for x in e]))
     out = []
-    for q, a in v:
+    for r, (q, a) in enumerate(v):
         if q % 50 == 0:
-            s = sorted((-sum(x * y for x, y in zip(a, b)), i) for i, b in v if i != q and len(a) == len(b))
-            out += [(q, r + 1, i, -n) for r, (n, i) in enumerate(s[:k])]
+            s = sorted((-sum(x * y for x, y in zip(a, b)), i) for t, (i, b) in enumerate(v) if t != r and len(a) == len(b))
+            out += [(q, rank + 1, i, -n) for rank, (n, i) in enumerate(s[:k])]
     return sorted(out)
 
 
@@ -36,9 +36,21 @@ def test_top_k(spark, cells, block, q_block):
     df = spark.createDataFrame([(*r, 1, 2) for r in rows], "vec_id bigint, embedding array<double>, dim int, block int")
     va = vafile.write_va_file(vafile.whole_vectors(df.repartition(3)), cells=cells, block=block)
     got = vafile.top_k(va, va.filter("vec_id % 50 = 0"), k=5, query_block=q_block)
-    # A repeated query id ranks once for all its rows.
-    want = [r for r in brute(rows, 5) if r[0] != 50]
-    assert sorted(tuple(r)[:4] for r in got.filter("query_id <> 50").collect()) == want
+    assert sorted(tuple(r)[:4] for r in got.collect()) == brute(rows, 5)
+
+
+def test_large_components(spark):
+    rng = random.Random(2)
+    rows = [(i, [rng.uniform(-4e5, 4e5) for _ in range(16)]) for i in range(120)]      # products above 2^53
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    va = vafile.write_va_file(vafile.whole_vectors(df), block=32)
+    got = vafile.top_k(va, va.filter("vec_id % 50 = 0"), k=5)
+    assert sorted(tuple(r)[:4] for r in got.collect()) == brute(rows, 5)
+    for x in (2e7, 1e30):                                 # scores, or components, that no 64-bit integer holds
+        df = spark.createDataFrame([(i, [x] * 1024) for i in range(3)], "vec_id bigint, embedding array<double>")
+        with pytest.raises(Exception, match="fit a 64-bit integer"):
+            va = vafile.write_va_file(vafile.whole_vectors(df))
+            vafile.top_k(va, va, k=5).collect()
 
 
 def test_top_k_reads_few_exact_vectors(spark):
@@ -63,7 +75,7 @@ def test_held_out_accuracy(spark):
     assert got.filter("score < 0 or score > 1").count() == 0
     texts = ["x", "de la que", "der und " * 50_000]
     assert [model.predict([t])[0][0] for t in texts] == [p for p, _ in model.predict(texts)]
-    assert [p for p in model.predict([None, "", "12 !?", *texts])][:3] == [("und", 0.0)] * 3
+    assert [p for p in model.predict([None, "", "12 !?", "\u00bd", "\u2167 \u2461", *texts])][:5] == [("und", 0.0)] * 5
 
 
 def test_kernel_of_pieces(monkeypatch):

@@ -18,8 +18,9 @@ work, so no task holds more than one block of each.
 
 Defined cases: vectors that are null or hold null, NaN or infinite components, and
 rows with a null vec_id, take no part; vectors of another length than the query
-have no score with it; repeated rows are candidates of their own, but a row never
-answers a query of its own vec_id; with fewer than k candidates all are returned;
+have no score with it; rows with equal ids are queries and candidates of their own, and
+each answers the other's query, never its own; components or inner products that do
+not fit a 64-bit integer raise; with fewer than k candidates all are returned;
 an empty table gives an empty result.  Only ``vec_id`` and ``embedding`` are read.
 """
 
@@ -44,8 +45,10 @@ def whole_vectors(embeddings: DataFrame, scale: int = SCALE) -> DataFrame:
     e = e.select(F.col("vec_id").cast("bigint").alias("vec_id"), F.col("embedding").cast("array<double>").alias("x"))
     fine = F.forall("x", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
     e = e.filter(F.col("vec_id").isNotNull() & F.col("x").isNotNull()).filter(fine)
-    return e.select("vec_id", F.size("x").alias("dim"),
-                    F.transform("x", lambda v: F.floor(v * F.lit(float(scale))).cast("bigint")).alias("vec"))
+    fits = F.forall("x", lambda v: F.abs(v) * F.lit(float(scale)) < float(1 << 62))
+    whole = F.transform("x", lambda v: F.floor(v * F.lit(float(scale))).cast("bigint"))
+    return e.select("vec_id", F.size("x").alias("dim"), F.when(fits, whole).otherwise(
+        F.raise_error(F.concat(F.lit("a component does not fit a 64-bit integer, vec_id "), F.col("vec_id")))).alias("vec"))
 
 
 def write_va_file(vectors: DataFrame, cells: int = CELLS, block: int = VECTOR_BLOCK) -> DataFrame:
@@ -68,20 +71,29 @@ def write_va_file(vectors: DataFrame, cells: int = CELLS, block: int = VECTOR_BL
             yield pa.RecordBatch.from_arrays([*batch.columns, cell], names=[*batch.schema.names, "cell"])
 
     v = vectors.join(grid, F.col("dim") == F.col("g_dim"), "inner").drop("g_dim")
+    v = v.withColumn("rid", F.monotonically_increasing_id())       # a row's own number: ids may repeat
     # Rows of one partition and one run of ``block`` ids form a block; the written table fixes it.
     v = v.withColumn("block", F.shiftright(F.monotonically_increasing_id(), int(np.log2(block))))
-    v = v.select("vec_id", "dim", "vec", "lo", "step", "block")
+    v = v.select("vec_id", "dim", "vec", "lo", "step", "block", "rid")
     return stored(v.mapInArrow(cell_of, "vec_id bigint, dim int, vec array<bigint>, lo bigint, step bigint, "
-                                        "block bigint, cell binary"), "va-file")
+                                        "block bigint, rid bigint, cell binary"), "va-file")
 
 
 def _matrix(column, dim: int) -> np.ndarray:
     return column.combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
 
 
-def block_top_k(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, cell: np.ndarray, vec: np.ndarray, lo: int,
-                step: int, k: int) -> list[tuple[int, int, int, int]]:
-    """(query_id, vec_id, score, exact vectors read) of the k best of one block for every query of a block."""
+def block_top_k(q_rows: np.ndarray, q: np.ndarray, rows: np.ndarray, ids: np.ndarray, cell: np.ndarray, vec: np.ndarray,
+                lo: int, step: int, k: int) -> list[tuple[int, int, int, int]]:
+    """(row of the query, vec_id, score, exact vectors read) of the k best of one block for every query of a block.
+
+    q_rows, rows: numbers of the rows, by which a query leaves itself out; ids: vec_ids."""
+    largest = [max(abs(int(x.max(initial=0))), abs(int(x.min(initial=0)))) for x in (q, vec)]
+    if largest[0] * largest[1] * q.shape[1] >= 1 << 63:
+        raise OverflowError("an inner product of these vectors does not fit a 64-bit integer")
+    # Doubles add whole numbers exactly up to 2^53; beyond that the bounds are widened by more than their rounding.
+    most = largest[0] * (max(abs(lo), abs(lo + CELLS * step)) + step) * q.shape[1]
+    slack = 0.0 if most < 1 << 53 else most * 2.0 ** -50 * q.shape[1]
     low = lo + cell.astype(np.float64) * step
     plus, minus = np.maximum(q, 0).astype(np.float64), np.minimum(q, 0).astype(np.float64)
     out = []
@@ -89,10 +101,10 @@ def block_top_k(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, cell: np.ndar
         p, m = plus[at:at + 64], minus[at:at + 64]
         base = (p + m) @ low.T
         span = float(step - 1)
-        under = base + span * m.sum(1)[:, None]
-        over = base + span * p.sum(1)[:, None]
+        under = base + span * m.sum(1)[:, None] - slack
+        over = base + span * p.sum(1)[:, None] + slack
         for r in range(len(p)):
-            own = ids != q_ids[at + r]
+            own = rows != q_rows[at + r]
             cand = np.flatnonzero(own)
             if len(cand) > k:
                 kth = np.partition(under[r, cand], len(cand) - k)[len(cand) - k]
@@ -107,13 +119,13 @@ def block_top_k(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, cell: np.ndar
                 scores = vec[few] @ q[at + r]
                 best = sorted(best + [(-int(s), int(i)) for s, i in zip(scores, ids[few])])[:k]
                 done += len(few)
-            out += [(int(q_ids[at + r]), i, -s, done) for s, i in best]
+            out += [(int(q_rows[at + r]), i, -s, done) for s, i in best]
     return out
 
 
 def top_k(va: DataFrame, queries: DataFrame, k: int = 5, query_block: int = QUERY_BLOCK) -> DataFrame:
-    """query_id, rank, vec_id, score, exact_reads for every row of ``queries`` (vec_id, dim, vec) against ``va``."""
-    queries = stored(queries.select("vec_id", "dim", "vec")
+    """query_id, rank, vec_id, score, exact_reads for every row of ``queries`` (rows of ``va``) against ``va``."""
+    queries = stored(queries.select("vec_id", "rid", "dim", "vec")
                      .withColumn("q_block", F.shiftright(F.monotonically_increasing_id(), int(np.log2(query_block)))),
                      "va-queries")
     # Blocks are numbered by tables with one row per block; every query block meets every vector block once.
@@ -122,24 +134,26 @@ def top_k(va: DataFrame, queries: DataFrame, k: int = 5, query_block: int = QUER
     meets = stored(q_blocks.join(v_blocks, F.col("qd") == F.col("vd"), "inner").select("qb", "vb", F.col("qd").alias("d")),
                    "va-meets")
     left = queries.join(meets, (F.col("q_block") == F.col("qb")) & (F.col("dim") == F.col("d")), "inner") \
-                  .select(F.col("qb").alias("l_qb"), F.col("vb").alias("l_vb"), F.col("d").alias("l_d"), "vec_id", "vec")
+                  .select(F.col("qb").alias("l_qb"), F.col("vb").alias("l_vb"), F.col("d").alias("l_d"), "rid", "vec")
     right = va.join(meets, (F.col("block") == F.col("vb")) & (F.col("dim") == F.col("d")), "inner") \
-              .select("qb", "vb", "d", "vec_id", "vec", "cell", "lo", "step")
+              .select("qb", "vb", "d", "vec_id", "rid", "vec", "cell", "lo", "step")
 
     def meet(a: pa.Table, b: pa.Table) -> pa.Table:
         rows = []
         if a.num_rows and b.num_rows and (dim := a["l_d"][0].as_py()):
             cell = np.frombuffer(b"".join(b["cell"].to_pylist()), np.uint8).reshape(-1, dim)
-            rows = block_top_k(a["vec_id"].to_numpy(), _matrix(a["vec"], dim), b["vec_id"].to_numpy(), cell,
-                               _matrix(b["vec"], dim), b["lo"][0].as_py(), b["step"][0].as_py(), k)
+            rows = block_top_k(a["rid"].to_numpy(), _matrix(a["vec"], dim), b["rid"].to_numpy(), b["vec_id"].to_numpy(),
+                               cell, _matrix(b["vec"], dim), b["lo"][0].as_py(), b["step"][0].as_py(), k)
         elif a.num_rows and b.num_rows:            # vectors without components: every score is 0
-            for q in a["vec_id"].to_pylist():
-                rows += [(q, i, 0, 0) for i in sorted(x for x in b["vec_id"].to_pylist() if x != q)[:k]]
+            mine = list(zip(b["vec_id"].to_pylist(), b["rid"].to_pylist()))
+            for q in a["rid"].to_pylist():
+                rows += [(q, i, 0, 0) for i in sorted(i for i, r in mine if r != q)[:k]]
         cols = list(zip(*rows)) if rows else [[]] * 4
-        return pa.table([pa.array(c, pa.int64()) for c in cols], names=["query_id", "vec_id", "score", "reads"])
+        return pa.table([pa.array(c, pa.int64()) for c in cols], names=["q_rid", "vec_id", "score", "reads"])
 
     found = left.groupBy("l_qb", "l_vb", "l_d").cogroup(right.groupBy("qb", "vb", "d")) \
-                .applyInArrow(meet, "query_id bigint, vec_id bigint, score bigint, reads bigint")
-    best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+                .applyInArrow(meet, "q_rid bigint, vec_id bigint, score bigint, reads bigint")
+    best = Window.partitionBy("q_rid").orderBy(F.col("score").desc(), "vec_id")
+    named = queries.select(F.col("rid"), F.col("vec_id").alias("query_id"))
     return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k) \
-                .select("query_id", "rank", "vec_id", "score", F.col("reads").alias("exact_reads"))
+                .join(named, F.col("q_rid") == F.col("rid"), "inner").select("query_id", "rank", "vec_id", "score", F.col("reads").alias("exact_reads"))
