@@ -61,12 +61,17 @@ WORD_ORDERS = (3, 4)
 STRAY = 0.05
 #: ... and a text needs this part of the share of known n-grams that the others reach.
 FLOOR = 0.5
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = re.compile(r"[^\W\d_]+")
 _BETWEEN = re.compile(r"[\W\d_]+")
 _WORD = re.compile(r"[^\W_]+")
 _DIGIT = re.compile(r"\d")
 
 
+def has_letter(text: str | None) -> bool:
+    """Whether a text has a letter (a character of a category L*; numerals like \u00bd or \u2167 are none)."""
+    return any(c.isalpha() for m in _LETTER.finditer(text or "") for c in m.group())
+
+
 def ngram_codes(chars: np.ndarray, orders: tuple[int, ...] = ORDERS) -> Iterator[tuple[int, np.ndarray]]:
     """(order, hashed code of the n-gram at each position) of an array of code points."""
     h = np.zeros(len(chars), np.uint32)
@@ -134,7 +139,7 @@ class LanguageModel:
 
     def known(self, text: str | None) -> bool:
         """Whether a text is in one of the learned languages."""
-        if not self.languages or not text or not _LETTER.search(text):
+        if not self.languages or not has_letter(text):
             return False
         for read in (letters, plain_words):
             share = self.shares(read(text))
@@ -183,7 +188,7 @@ class LanguageModel:
 
     def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
         out: list[tuple[str, float]] = [(UNKNOWN, 0.0)] * len(texts)
-        with_letters = [i for i, t in enumerate(texts) if t and _LETTER.search(t)]
+        with_letters = [i for i, t in enumerate(texts) if has_letter(t)]
         if not self.languages:
             return out
         for at in range(0, len(with_letters), BATCH_DOCS):
