@@ -172,6 +172,15 @@ def test_block_derives_overlaps():
         assert block.similar(x, 90).tolist() == want
 
 
+def test_words_that_defeat_sums_modulo_a_power_of_two(spark):
+    word = "a"
+    for _ in range(10):
+        word += word.translate(str.maketrans("ab", "ba"))
+    rows = [(1, word, "en", "a"), (2, word.translate(str.maketrans("ab", "ba")), "en", "a"), (3, word, "en", "b")]
+    got = {r.doc_id: r.component_id for r in jaccard.jaccard_components(table(spark, rows)).collect()}
+    assert got == {1: 1, 2: 2, 3: 1}
+
+
 def test_components_of_a_path(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(1, 40)] + [(100, 90), (90, 95)], "a bigint, b bigint")
     got = dict(tuple(r) for r in components(links).collect())

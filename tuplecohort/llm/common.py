@@ -22,12 +22,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared scratch folder and read it back (cuts the lineage)."""
+def stored(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+    """Write ``df`` to the shared scratch folder and read it back (cuts the lineage).
+
+    rows: no more rows than these are expected; a small table is then written in few files."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    (df if rows is None else df.coalesce(max(1, -(-rows // FILE_ROWS)))).write.parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back._scratch = path
+    return back
+
+
+#: Rows of a file of a table whose number of rows is known.
+FILE_ROWS = 500_000
+
+
+def release(*tables: DataFrame | None) -> None:
+    """Delete tables made by :func:`stored` whose successors are written; nothing may read them after."""
+    for df in tables:
+        path = getattr(df, "_scratch", None)
+        if path is not None:
+            jvm = df.sparkSession._jvm
+            where = jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(where, True)
 
 
 #: A table of keys (two numbers a row) of so many rows may be broadcast.

@@ -24,10 +24,11 @@ the Jaccard similarity of their sets is at least ``PERCENT`` / 100.
    these sets alone, and not at all if it is connected to all of them.
 5. Connected components of all verified links.
 
-All links found are exact comparisons of whole sets; a pair is only left out if it
+All links found are comparisons of whole sets; a pair is only left out if it
 cannot reach the threshold or its two sets are already connected.
 
-Words and shingles are compared by 64-bit hashes, sets by 64 bits of a digest.
+Words are compared by a pair of polynomial hashes modulo two primes (62 bits), shingles
+by 64-bit hashes of these, sets by 64 bits of a digest.
 
 Defined cases: a null text and a text without words have the empty set, linked with
 nothing, not even with each other; a text with fewer than ``SHINGLE`` words is one
@@ -46,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import if_small, stored
+from .common import if_small, release, stored
 from .components import components
 from .wordhash import shingle_set, word_hashes
 
@@ -162,7 +163,9 @@ def prefix_index(sets: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, Da
     # A set that is in the index through uncounted tokens only has an empty sketch.
     sketch = shared.join(named, (F.col("cid") == F.col("n_cid")) & (F.col("cls") == F.col("n_cls")), "left_semi") \
                    .groupBy("cls", "cid", "n", "m").agg(F.collect_list(F.when(~F.col("late"), F.col("token"))).alias("shared"))
-    return index, stored(sketch, "jaccard-sketches")
+    sketch = stored(sketch, "jaccard-sketches")
+    release(shared)
+    return index, sketch
 
 
 def could_be_similar(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
@@ -186,8 +189,8 @@ def whole_sets(docs: DataFrame, sets: DataFrame, wanted: DataFrame, size: int) -
     """cid, tokens (sorted hashes as bytes) of every wanted set (w_cid), made again from a document that has it."""
     pick = sets.join(wanted, F.col("cid") == F.col("w_cid"), "left_semi").groupBy("cid").agg(
         F.min(F.struct("doc_id", "th")).alias("d")).select("cid", F.col("d.doc_id").alias("p_id"), F.col("d.th").alias("p_th"))
-    pick = stored(pick, "jaccard-picked")
-    pick = if_small(pick)
+    picked = stored(pick, "jaccard-picked")
+    pick = if_small(picked)
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("th"), "text")
     rows = rows.join(pick, rows["th"].eqNullSafe(F.col("p_th")) & rows["doc_id"].eqNullSafe(F.col("p_id")), "inner") \
                .select("cid", "text")
@@ -201,7 +204,9 @@ def whole_sets(docs: DataFrame, sets: DataFrame, wanted: DataFrame, size: int) -
                                                  names=["cid", "tokens"])
 
     # Rows that are equal in id and text give one set several times.
-    return stored(rows.mapInArrow(run, "cid bigint, tokens binary").dropDuplicates(["cid"]), "jaccard-sets")
+    found = stored(rows.mapInArrow(run, "cid bigint, tokens binary").dropDuplicates(["cid"]), "jaccard-sets")
+    release(picked)
+    return found
 
 
 def _in(sorted_: np.ndarray, values: np.ndarray) -> np.ndarray:
@@ -311,11 +316,15 @@ def long_list_links(index: DataFrame, sketches: DataFrame, sets: DataFrame, link
     """Links of sets that meet in long lists, beside what ``links`` connects already: all that connect components."""
     long = index.filter(F.col("length") > SHORT_LIST)
     nodes = stored(long.select(F.col("cid").alias("node")).distinct(), "jaccard-long")
+    n_nodes = nodes.count()
 
     def labelled(found: DataFrame) -> DataFrame:
-        cc = components(found).withColumnsRenamed({"node": "c_node", "comp": "c_comp"})
-        return stored(nodes.join(cc, F.col("node") == F.col("c_node"), "left")
-                      .select("node", F.coalesce("c_comp", "node").alias("comp")), "jaccard-label")
+        found = components(found)
+        cc = found.withColumnsRenamed({"node": "c_node", "comp": "c_comp"})
+        label = stored(nodes.join(cc, F.col("node") == F.col("c_node"), "left")
+                       .select("node", F.coalesce("c_comp", "node").alias("comp")), "jaccard-label", n_nodes)
+        release(found)
+        return label
 
     def open_lists(label: DataFrame) -> DataFrame:
         """Rows of the long lists that hold two components or more."""
@@ -339,6 +348,7 @@ def long_list_links(index: DataFrame, sketches: DataFrame, sets: DataFrame, link
                     .select("cls", F.col("cid").alias("a"), F.col("b.lead").alias("b"))
         new = stored(verify_pairs(could_be_similar(best, sketches, percent), sets, percent), f"jaccard-star{r}")
         links = links.unionByName(new)
+        release(rows, label)
         label = labelled(links)
 
     # What is still open: sets that meet in such lists, directly or by way of others, in blocks of bounded size.
@@ -346,7 +356,8 @@ def long_list_links(index: DataFrame, sketches: DataFrame, sets: DataFrame, link
     heads = rows.groupBy(F.col("cls").alias("h_cls"), F.col("token").alias("h_token")).agg(F.min("cid").alias("head"))
     met = rows.join(heads, (F.col("token") == F.col("h_token")) & (F.col("cls") == F.col("h_cls")), "inner") \
               .select(F.col("cid").alias("a"), F.col("head").alias("b"))
-    canopy = components(met).select(F.col("node").alias("k_node"), F.col("comp").alias("canopy"))
+    met = components(met)
+    canopy = met.select(F.col("node").alias("k_node"), F.col("comp").alias("canopy"))
     sizes = rows.select("cid", "n", "comp").distinct()
     sizes = sizes.join(canopy, F.col("cid") == F.col("k_node"), "inner").select("canopy", "cid", "n", "comp")
     # Connected sets stand together, so that a block of one component skips all blocks of that component.
@@ -358,7 +369,8 @@ def long_list_links(index: DataFrame, sketches: DataFrame, sets: DataFrame, link
     sizes = sizes.join(lone, F.col("canopy") == F.col("y_canopy"), "left")
     rest = F.struct(F.lit(0).cast("bigint").alias("of"), (-1 - F.pmod(F.xxhash64("comp"), F.ceil(F.col("y") / BLOCK))).alias("p"))
     blocks = stored(sizes.select("canopy", F.xxhash64("canopy", F.coalesce(part, rest)).alias("block"), "cid", "n", "comp"),
-                    "jaccard-blocks")
+                    "jaccard-blocks", n_nodes)
+    release(met, label, nodes, rows)
     each = stored(blocks.groupBy("canopy", "block").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.min("comp").alias("c_lo"),
                                                         F.max("comp").alias("c_hi")), "jaccard-block-list")
     other = each.select(*[F.col(c).alias(f"o_{c}") for c in each.columns])
@@ -367,6 +379,7 @@ def long_list_links(index: DataFrame, sketches: DataFrame, sets: DataFrame, link
                       & ~((F.col("c_lo") == F.col("c_hi")) & (F.col("o_c_lo") == F.col("o_c_hi")) & (F.col("c_lo") == F.col("o_c_lo"))),
                       "inner").select(F.col("block").alias("x"), F.col("o_block").alias("y"))
     last = stored(compare_blocks(meets, blocks.select("block", "cid", "comp"), sets, percent), "jaccard-rest")
+    release(each, blocks)
     return links.unionByName(last)
 
 
@@ -380,11 +393,14 @@ def jaccard_components(docs: DataFrame, size: int = SHINGLE, percent: int = PERC
         index.filter(F.col("length") > SHORT_LIST).select("cid")).toDF("w_cid").distinct()
     whole = whole_sets(docs, sets.select("doc_id", "th", "cid"), wanted, size)
     links = stored(verify_pairs(pairs, whole, percent), "jaccard-short")
-    comp = components(stored(long_list_links(index, sketches, whole, links, percent), "jaccard-links"))
+    found = stored(long_list_links(index, sketches, whole, links, percent), "jaccard-links")
+    release(index, sketches, pairs, whole, links)
+    comp = components(found)
     first = sets.filter("cid is not null").groupBy(F.col("cid").alias("f_cid")).agg(F.min("doc_id").alias("first_id"))
     first = first.join(comp, F.col("f_cid") == F.col("node"), "left") \
                  .select("f_cid", "first_id", F.coalesce("comp", "f_cid").alias("comp"))
     first = stored(first, "jaccard-first")
+    release(comp, found)
     least = first.groupBy(F.col("comp").alias("l_comp")).agg(F.min("first_id").alias("component_id"))
     of = first.join(least, F.col("comp") == F.col("l_comp"), "inner").select("f_cid", "comp", "component_id")
     out = sets.select("doc_id", "th", "cid", "n").join(of, F.col("cid") == F.col("f_cid"), "left")
@@ -408,6 +424,7 @@ def keep_one_of_each(docs: DataFrame, size: int = SHINGLE, percent: int = PERCEN
                .select("k_id", "k_th", "rows")
     empty = found.filter("component is null").select("doc_id", "th").distinct().withColumn("rows", F.lit(1).cast("bigint"))
     keep = stored(keep.union(empty).toDF("k_id", "k_th", "rows"), "jaccard-keep")
+    release(found)
     cols = docs.columns
     d = docs.select(F.struct(*[F.col(f"`{c}`") for c in cols]).alias("r"), F.col("doc_id").cast("bigint").alias("d_id"),
                     F.xxhash64("text").alias("d_th"))

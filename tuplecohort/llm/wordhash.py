@@ -41,6 +41,42 @@ class SpanHash:
         return mix64((self.sums[stop] - self.sums[start]) * self.down[start])
 
 
+#: Primes under 2^31, so that a product of two remainders fits in 64 bits, and a base for each (fixed).
+_PRIMES = ((2147483647, 1291676017), (2147483629, 873242111))
+
+
+def _prime_powers(p: int, base: int, n: int) -> np.ndarray:
+    """base^0 .. base^n modulo p, for n below PIECE or so; kept."""
+    name = f"{p}-{base}"
+    if name not in _powers or len(_powers[name]) <= n:
+        out = np.ones(1, np.uint64)
+        while len(out) <= max(n, PIECE):
+            out = np.concatenate([out, out * np.uint64(pow(base, len(out), p)) % np.uint64(p)])
+        _powers[name] = out
+    return _powers[name]
+
+
+class PrimeSpanHash:
+    """As :class:`SpanHash`, modulo two primes: no text is known beforehand whose equal sums are not equal bytes
+    (modulo 2^64, words like abba baab ... collide at any base)."""
+
+    def __init__(self, data: np.ndarray) -> None:
+        self.sums = []
+        for p, base in _PRIMES:
+            sums = np.zeros(len(data) + 1, np.uint64)
+            # The sum stays below 2^64: each term is under 2^31.
+            np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _prime_powers(p, base, len(data))[:len(data)] % np.uint64(p),
+                      out=sums[1:])
+            self.sums.append(sums)
+
+    def __call__(self, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+        parts = []
+        for (p, base), sums in zip(_PRIMES, self.sums):
+            down = _prime_powers(p, pow(base, -1, p), len(sums))
+            parts.append((sums[stop] - sums[start]) % np.uint64(p) * down[start] % np.uint64(p))
+        return mix64(parts[0] | parts[1] << np.uint64(32))
+
+
 def _pieces(raw: bytes) -> Iterator[bytes]:
     """Parts of about PIECE bytes, cut after a separator."""
     at = 0
@@ -67,7 +103,7 @@ def word_hashes(texts: list[str | None]) -> list[np.ndarray]:
         space = _SPACE[data]
         edge = np.flatnonzero(np.diff(np.concatenate([[True], space])))
         start, stop = edge[0::2], edge[1::2]
-        h = SpanHash(data)(start, stop)
+        h = PrimeSpanHash(data)(start, stop)
         cut = np.searchsorted(start, np.cumsum([len(p) + 1 for _, p in run]))
         for (d, _), a, b in zip(run, np.concatenate([[0], cut[:-1]]), cut):
             out[d].append(h[a:b])
