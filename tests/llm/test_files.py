@@ -1,12 +1,13 @@
 """WARC archives and token-id files: round trips and edge cases."""
 
+import gzip
 import hashlib
 import zlib
 
 import numpy as np
 import pytest
 
-from tuplecohort.llm import tokens, warc
+from tuplecohort.llm import common, tokens, warc
 from tuplecohort.llm.common import open_folder
 
 from .fixtures import edge_rows, table
@@ -106,10 +107,28 @@ def test_warc_files_are_warc(spark):
     raw = b""
     for (uri,) in manifest.select("uri").collect():
         where, path = open_folder(uri)
-        raw += where.open_input_stream(path).read()
+        raw += gzip.decompress(where.open_input_stream(path, compression=None).read())
     assert raw.count(b"WARC/1.1\r\n") == 4 and raw.count(b"WARC-Type: revisit") == 3 and raw.endswith(b"\r\n\r\n")
 
 
+def test_pages_with_equal_ids_and_other_payloads(spark):
+    rows = [(1, "u", "a" * 200), (1, "u", "bb" * 150), (2, "u", "a" * 200), (3, "u", "bb" * 150), (1, "v", "a" * 200)]
+    got = warc.record_summary(warc.read_warc(warc.archive(pages(spark, rows)))).collect()
+    assert sorted((r.page_id, r.payload_bytes, r.record_type, r.refers_to) for r in got if r.page_id > 1) \
+        == [(2, 200, "revisit", 1), (3, 300, "revisit", 1)]
+    assert sorted(r.payload_bytes for r in got if r.page_id == 1) == [200, 200, 300]
+    assert {r.payload_digest for r in got if r.payload_bytes == 200} == {hashlib.sha256(b"a" * 200).hexdigest()}
+
+
+@pytest.mark.parametrize("heavy", [1, 1000])
+def test_counted_join(spark, monkeypatch, heavy):
+    monkeypatch.setattr(common, "HEAVY", heavy)
+    rows = spark.createDataFrame([("hot", i) for i in range(50)] + [("b", 100), ("c", 101), (None, 102)], "k string, i int")
+    found = spark.createDataFrame([("hot", 50, "x"), ("b", 1, "y")], "t string, n bigint, v string")
+    got = {r.i: r.v for r in common.join_counted(rows, "k", found, "t", "n", 53).collect()}
+    assert got == {**dict.fromkeys(range(50), "x"), 100: "y", 101: None, 102: None}
+
+
 def test_warc_of_empty_table(spark):
     manifest = warc.archive(pages(spark, []))
     assert warc.record_summary(warc.read_warc(manifest)).count() == 0

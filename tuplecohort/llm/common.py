@@ -57,6 +57,27 @@ def if_small(keys: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(keys) if keys.count() <= most else keys
 
 
+#: A key is heavy with more than one row in so many; fewer keys than that are.
+HEAVY = 1000
+
+
+def join_counted(rows: DataFrame, key: str, table: DataFrame, table_key: str, n: str, total: int) -> DataFrame:
+    """Left join of ``rows`` with a table that has a row per key and the number ``n`` of ``rows`` with it.
+
+    Heavy keys (fewer than HEAVY rows) are broadcast, and their rows are dealt out evenly in the join with the
+    others, so a key of a third of all rows is no burden to one task.  ``n`` and ``table_key`` are dropped."""
+    heavy = F.col(n) * HEAVY > total
+    more = [c for c in table.columns if c not in (table_key, n)]
+    first = table.filter(heavy).select(F.col(table_key).alias("jc_hk"), *[F.col(c).alias(f"jc_h_{c}") for c in more])
+    rest = table.filter(~heavy).select(F.col(table_key).alias("jc_lk"), *[F.col(c).alias(f"jc_l_{c}") for c in more])
+    names = rows.columns
+    got = rows.join(F.broadcast(first), F.col(key) == F.col("jc_hk"), "left")
+    spread = F.concat(F.lit("-"), F.xxhash64(F.monotonically_increasing_id()).cast("string"))
+    got = got.withColumn("jc_key", F.when(F.col("jc_hk").isNull() & F.col(key).isNotNull(), F.col(key)).otherwise(spread))
+    got = got.join(rest, F.col("jc_key") == F.col("jc_lk"), "left")
+    return got.select(*names, *[F.coalesce(f"jc_h_{c}", f"jc_l_{c}").alias(c) for c in more])
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """URI of a new folder that the driver and every executor can write to."""
     path = scratch_path(spark, name)

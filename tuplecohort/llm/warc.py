@@ -10,9 +10,13 @@ as they come, the reader walks a file with one buffer and emits a row per chunk.
 Each row read carries the digest of the payload up to and including that chunk,
 so the last chunk of a record has the digest of the whole payload.
 
+Every record is a gzip member of its own (``.warc.gz``), compressed and read back as a
+stream.  A record's id names its page and the first digits of its payload's digest.
+
 Duplicates follow the WARC revisit profile: among records with equal payloads of
 at least ``MIN_REVISIT`` bytes that with the smallest page_id is a ``response``,
-the others are ``revisit`` records without a payload that name it.
+the others are ``revisit`` records without a payload that name it.  A reader takes the
+full size of a revisit's payload from a response with the same digest.
 
 Archives go to a shared folder under names of their own per task attempt; only
 names in the stored manifest are read, so lost executors and repeated attempts
@@ -20,14 +24,17 @@ do no harm.  A task starts a new file after ``FILE_BYTES``.
 
 Defined cases: a null payload is empty; empty and short payloads are responses; a
 null page_id counts as larger than any other and may not be referred to, so it is
-a response when its payload has no smaller id; repeated rows that share the
-smallest page_id are all responses; an empty table gives no files and no rows.
+a response when its payload has no smaller id; rows with equal ids and other payloads are
+records of their own; repeated rows that share the smallest page_id are all responses (with
+one record id); payloads of any length are written and read in chunks; an empty table gives no files and no rows.
 Only ``page_id``, ``url`` and ``html`` are read, so further columns cannot clash.
 """
 
 from __future__ import annotations
 
+import gzip
 import hashlib
+import zlib
 from collections.abc import Iterator
 from datetime import datetime, timezone
 
@@ -35,22 +42,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bare, fresh_name, open_folder, shared_folder, stored
+from .common import bare, fresh_name, join_counted, open_folder, shared_folder, stored
 
 CHUNK = 1 << 16
 FILE_BYTES = 1 << 28
 MIN_REVISIT = 100
-SALTS = 16
 _MANIFEST = "uri string, n_records bigint, n_bytes bigint"
 _CHUNKS = ("uri string, record_no bigint, record_id string, page_id bigint, record_type string, refers_to string, "
-           "chunk_no int, last boolean, digest_so_far string, data binary")
+           "chunk_no int, last boolean, digest_so_far string, data binary, stated_digest string")
 _REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
-def record_name(page_id: Column) -> Column:
-    return F.concat(F.lit("<urn:page:"), page_id.cast("string"), F.lit(">"))
-
-
 def with_revisits(pages: DataFrame, min_bytes: int = MIN_REVISIT) -> DataFrame:
     """page_id, url, payload, payload_bytes, digest, record_type, refers_to (page_id of the response)."""
     p = bare(pages, "page_id", "url", "html")
@@ -60,13 +62,12 @@ def with_revisits(pages: DataFrame, min_bytes: int = MIN_REVISIT) -> DataFrame:
     p = p.withColumn("payload_bytes", F.octet_length("payload").cast("bigint")) \
          .withColumn("digest", F.sha2("payload", 256))
     # Only payloads that occur again get a row here; counting combines before its shuffle.
-    again = p.filter(F.col("payload_bytes") >= min_bytes).groupBy(F.col("digest").alias("a_digest")) \
-             .agg(F.min("page_id").alias("first_id"), F.count(F.lit(1)).alias("n")) \
-             .filter("n > 1 and first_id is not null").select("a_digest", "first_id")
-    # A payload may fill a third of the table: its pages are spread over SALTS keys.
-    again = again.withColumn("a_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    p = p.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int"))
-    j = p.join(again, (p["digest"] == again["a_digest"]) & (p["salt"] == again["a_salt"]), "left")
+    seen = p.select("page_id", "digest", "payload_bytes").groupBy(F.col("digest").alias("a_digest")).agg(
+        F.min("page_id").alias("first_id"), F.count(F.lit(1)).alias("n"), F.first("payload_bytes").alias("size"))
+    seen = stored(seen, "warc-digests")
+    total = seen.agg(F.sum("n")).first()[0] or 0
+    again = seen.filter(f"size >= {min_bytes} and n > 1 and first_id is not null").select("a_digest", "n", "first_id")
+    j = join_counted(p, "digest", again, "a_digest", "n", total)
     revisit = F.col("first_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first_id"))
     return j.select("page_id", "url", "payload", "payload_bytes", "digest",
                     F.when(revisit, "revisit").otherwise("response").alias("record_type"),
@@ -84,11 +85,21 @@ def record_chunks(records: DataFrame, chunk: int = CHUNK) -> DataFrame:
                        data.alias("data"))
 
 
+def record_name(page_id: int | None, digest: str) -> str:
+    return f"<urn:page:{'none' if page_id is None else page_id}:{digest[:32]}>"
+
+
+def named_page(name: str | None) -> int | None:
+    """The page_id in a record's name."""
+    page = name.removeprefix("<urn:page:").partition(":")[0] if name else "none"
+    return None if page == "none" else int(page)
+
+
 def _head(page_id, url, n_bytes, digest, kind, refers, stamp) -> bytes:
-    lines = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:page:{'none' if page_id is None else page_id}>",
+    lines = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: {record_name(page_id, digest)}",
              f"WARC-Date: {stamp}", f"WARC-Target-URI: {_one_line(url)}", f"WARC-Payload-Digest: sha256:{digest}"]
     if kind == "revisit":
-        lines += [f"WARC-Profile: {_REVISIT_PROFILE}", f"WARC-Refers-To: <urn:page:{refers}>"]
+        lines += [f"WARC-Profile: {_REVISIT_PROFILE}", f"WARC-Refers-To: {record_name(refers, digest)}"]
     lines += ["Content-Type: text/html; charset=utf-8", f"Content-Length: {0 if kind == 'revisit' else n_bytes}"]
     return ("\r\n".join(lines) + "\r\n\r\n").encode()
 
@@ -115,17 +126,16 @@ def write_warc(chunks: DataFrame, name: str = "warc") -> DataFrame:
                     if out is None:
                         where, base = open_folder(folder)
                         where.create_dir(base, recursive=True)
-                        file = fresh_name("part", ".warc")
+                        file = fresh_name("part", ".warc.gz")
                         uri, n_records, n_bytes = f"{folder}/{file}", 0, 0
-                        out = where.open_output_stream(f"{base}/{file}")
-                    head = _head(page_id, url, size, digest, kind, refers, stamp)
-                    out.write(head)
-                    n_records, n_bytes = n_records + 1, n_bytes + len(head)
-                out.write(data)
-                n_bytes += len(data)
+                        out = where.open_output_stream(f"{base}/{file}", compression=None)
+                    member, n_records = zlib.compressobj(1, zlib.DEFLATED, 31), n_records + 1
+                    data = _head(page_id, url, size, digest, kind, refers, stamp) + data
+                packed = member.compress(data)
                 if chunk_no == n_chunks - 1:
-                    out.write(b"\r\n\r\n")
-                    n_bytes += 4
+                    packed += member.compress(b"\r\n\r\n") + member.flush()
+                out.write(packed)
+                n_bytes += len(packed)
         if out is not None:
             out.close()
             files.append((uri, n_records, n_bytes))
@@ -138,43 +148,43 @@ def write_warc(chunks: DataFrame, name: str = "warc") -> DataFrame:
 
 def walk_warc(source, chunk: int = CHUNK) -> Iterator[tuple[dict, int, bool, str, bytes]]:
     """(headers, chunk number, whether it is the last, digest so far, bytes) of a file; holds one chunk at a time."""
-    buffer = b""
+    buffer, at = b"", 0          # what was read, and the place in it
 
     def fill(n: int) -> bool:
-        nonlocal buffer
-        while len(buffer) < n:
-            more = source.read(max(chunk, n - len(buffer)))
+        """Whether n bytes more are there; the buffer is cut only when more is read."""
+        nonlocal buffer, at
+        while len(buffer) - at < n:
+            more = source.read(max(chunk, n))
             if not more:
                 return False
-            buffer += more
+            buffer, at = buffer[at:] + more, 0
         return True
 
     while fill(1):
-        n = 0
-        while (end := buffer.find(b"\r\n\r\n")) < 0:
-            n += chunk
-            if not fill(len(buffer) + 1):
+        while (end := buffer.find(b"\r\n\r\n", at)) < 0:
+            if not fill(len(buffer) - at + 1):
                 raise ValueError("a WARC header is cut short")
-        first, *lines = buffer[:end].decode("utf-8").split("\r\n")
+        first, *lines = buffer[at:end].decode("utf-8").split("\r\n")
         if not first.startswith("WARC/"):
             raise ValueError(f"not a WARC record: {first[:40]!r}")
         head = {k.lower(): v.strip() for k, _, v in (x.partition(":") for x in lines)}
-        buffer = buffer[end + 4:]
-        left, at, digest = int(head["content-length"]), 0, hashlib.sha256()
+        at = end + 4
+        left, nth, digest = int(head["content-length"]), 0, hashlib.sha256()
         while True:
             take = min(chunk, left)
             if not fill(take):
                 raise ValueError("a WARC payload is cut short")
-            data, buffer = buffer[:take], buffer[take:]
+            data = buffer[at:at + take]
+            at += take
             digest.update(data)
             left -= take
-            yield head, at, left == 0, digest.hexdigest(), data
-            at += 1
+            yield head, nth, left == 0, digest.hexdigest(), data
+            nth += 1
             if left == 0:
                 break
-        if not fill(4) or buffer[:4] != b"\r\n\r\n":
+        if not fill(4) or buffer[at:at + 4] != b"\r\n\r\n":
             raise ValueError("a WARC record has no end")
-        buffer = buffer[4:]
+        at += 4
 
 
 def read_warc(manifest: DataFrame, chunk: int = CHUNK) -> DataFrame:
@@ -182,9 +192,9 @@ def read_warc(manifest: DataFrame, chunk: int = CHUNK) -> DataFrame:
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = [pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int32(), pa.bool_(),
-                 pa.string(), pa.binary()]
+                 pa.string(), pa.binary(), pa.string()]
         names = ["uri", "record_no", "record_id", "page_id", "record_type", "refers_to", "chunk_no", "last",
-                 "digest_so_far", "data"]
+                 "digest_so_far", "data", "stated_digest"]
 
         def made(rows: list[tuple]) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*rows), kinds)], names=names)
@@ -193,13 +203,14 @@ def read_warc(manifest: DataFrame, chunk: int = CHUNK) -> DataFrame:
             for uri in batch.column(0).to_pylist():
                 where, path = open_folder(uri)
                 rows, held, record_no = [], 0, -1
-                with where.open_input_stream(path) as source:
+                with where.open_input_stream(path, compression=None) as file:
+                    source = gzip.GzipFile(fileobj=file) if path.endswith(".gz") else file
                     for head, chunk_no, last, digest, data in walk_warc(source, chunk):
                         record_no += chunk_no == 0
                         ident = head["warc-record-id"]
-                        page = ident.removeprefix("<urn:page:").removesuffix(">")
-                        rows.append((uri, record_no, ident, None if page == "none" else int(page), head["warc-type"],
-                                     head.get("warc-refers-to"), chunk_no, last, digest, data))
+                        rows.append((uri, record_no, ident, named_page(ident), head["warc-type"], head.get("warc-refers-to"),
+                                     chunk_no, last, digest, data,
+                                     head["warc-payload-digest"].removeprefix("sha256:")))
                         held += len(data) + 200
                         if held > 1 << 22:
                             yield made(rows)
@@ -208,33 +219,32 @@ def read_warc(manifest: DataFrame, chunk: int = CHUNK) -> DataFrame:
                     yield made(rows)
 
     files = manifest.select("uri")
-    return files.repartition(max(1, manifest.count()), "uri").mapInArrow(read, _CHUNKS)
+    return files.repartition(max(1, manifest.count())).mapInArrow(read, _CHUNKS)
 
 
 def record_summary(chunks: DataFrame) -> DataFrame:
     """One row per record of a record table: payload_bytes and payload_digest of the full payload.
 
-    A revisit gets both from the response that it refers to.
+    A revisit has the digest that it states; its size is that of the responses with this digest.
     """
     r = chunks.groupBy("uri", "record_no").agg(
-        F.first("record_id").alias("record_id"), F.first("page_id").alias("page_id"),
-        F.first("record_type").alias("record_type"), F.first("refers_to").alias("refers_to"),
+        F.first("page_id").alias("page_id"), F.first("record_type").alias("record_type"),
+        F.first("refers_to").alias("name"), F.first("stated_digest").alias("stated_digest"),
         F.sum(F.octet_length("data")).cast("bigint").alias("payload_bytes"),
         F.max(F.when(F.col("last"), F.col("digest_so_far"))).alias("payload_digest"))
+    page = F.regexp_extract("name", "^<urn:page:(-?[0-9]+):", 1)
+    r = r.withColumn("refers_to", F.when(F.col("record_type") == "revisit", F.when(page != "", page.cast("bigint"))))
     r = stored(r, "warc-records")
     out = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
-    wanted = r.filter("record_type = 'revisit'").select(F.col("refers_to").alias("w_id")).distinct()
-    found = r.filter("record_type = 'response'").join(wanted, F.col("record_id") == F.col("w_id"), "inner") \
-             .groupBy("w_id").agg(F.max(F.struct("payload_bytes", "payload_digest")).alias("full"),
-                                  F.min("page_id").alias("first_id")) \
-             .withColumn("w_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    again = r.filter("record_type = 'revisit'").withColumn("salt", F.pmod(F.xxhash64("uri", "record_no"), F.lit(SALTS)).cast("int"))
-    again = again.drop("payload_bytes", "payload_digest").join(
-        found, (F.col("refers_to") == F.col("w_id")) & (F.col("salt") == F.col("w_salt")), "inner")
-    again = again.select("page_id", F.col("full.payload_bytes"), F.col("full.payload_digest"), "record_type",
-                         F.col("first_id").alias("refers_to"))
-    plain = r.filter("record_type = 'response'").withColumn("refers_to", F.lit(None).cast("bigint"))
-    return plain.select(*out).unionByName(again.select(*out))
+    again = r.filter("record_type = 'revisit'").select("page_id", "stated_digest", "record_type", "refers_to")
+    wanted = again.groupBy(F.col("stated_digest").alias("w_digest")).agg(F.count(F.lit(1)).alias("n"))
+    found = r.filter("record_type = 'response'").join(wanted, F.col("payload_digest") == F.col("w_digest"), "inner") \
+             .groupBy("w_digest").agg(F.first("n").alias("n"), F.first("payload_bytes").alias("payload_bytes"),
+                                      F.first("payload_digest").alias("payload_digest"))
+    found = stored(found, "warc-revisited")
+    total = found.agg(F.sum("n")).first()[0] or 0
+    again = join_counted(again, "stated_digest", found, "w_digest", "n", total)
+    return r.filter("record_type = 'response'").select(*out).unionByName(again.select(*out))
 
 
 def archive(pages: DataFrame) -> DataFrame:
