@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import re
 import sys
 import types
@@ -57,6 +58,14 @@ def if_small(keys: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(keys) if keys.count() <= most else keys
 
 
+def drop_shuffles(spark: SparkSession) -> None:
+    """Let the driver notice which shuffles nothing refers to any more, so that executors delete their files.
+
+    Else they stay until the driver happens to collect its garbage, which a long loop over small tables rarely makes it do."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 #: A key is heavy with more than one row in so many; fewer keys than that are.
 HEAVY = 1000
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import release, stored
+from .common import drop_shuffles, release, stored
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -35,4 +35,6 @@ def components(links: DataFrame) -> DataFrame:
         label._scratch = new._scratch
         if new.filter("comp <> old").isEmpty():
             release(both)
+            del near, step, jump, new
+            drop_shuffles(links.sparkSession)
             return label

@@ -47,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import if_small, release, stored
+from .common import drop_shuffles, if_small, release, stored
 from .components import components
 from .wordhash import shingle_set, word_hashes
 
@@ -389,10 +389,12 @@ def jaccard_components(docs: DataFrame, size: int = SHINGLE, percent: int = PERC
     sets = stored(shingle_sets(docs, size, percent), "jaccard-rows")
     index, sketches = prefix_index(sets.select("cid", "n", "counted", "small", "large"), percent)
     pairs = stored(short_list_pairs(index, sketches, percent), "jaccard-pairs")
+    drop_shuffles(docs.sparkSession)
     wanted = pairs.select("a").union(pairs.select("b")).union(
         index.filter(F.col("length") > SHORT_LIST).select("cid")).toDF("w_cid").distinct()
     whole = whole_sets(docs, sets.select("doc_id", "th", "cid"), wanted, size)
     links = stored(verify_pairs(pairs, whole, percent), "jaccard-short")
+    drop_shuffles(docs.sparkSession)
     found = stored(long_list_links(index, sketches, whole, links, percent), "jaccard-links")
     release(index, sketches, pairs, whole, links)
     comp = components(found)
