@@ -47,7 +47,7 @@ def can_bound(rows: DataFrame, by: list[str]) -> bool:
 def plan_bytes(df: DataFrame) -> float:
     """The optimizer's estimate of the size of ``df`` (no job); infinite where the session does not show it."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except AttributeError:      # Spark Connect
         return float("inf")
 
