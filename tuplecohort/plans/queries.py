@@ -849,7 +849,7 @@ def intersect_weeks(spark, sf):
   FROM s_th th LEFT JOIN s_e e ON {O.nse('th', 'e', ['event_type', 'day'])} GROUP BY th.event_type, th.day, th.theta)""")
     + """SELECT event_type, day, round(greatest(n, (2 * n + 4 * (1 - p) - sqrt(4 * (1 - p) * (4 * (1 - p) + 4 * n))) / (2 * p)), 4) AS lower,
   round((2 * n + 4 * (1 - p) + sqrt(4 * (1 - p) * (4 * (1 - p) + 4 * n))) / (2 * p), 4) AS upper,
-  round(s / p, 2) AS total, round(s / p - 2 * sqrt((1 - p) * ss) / p, 2) AS total_lower, round(s / nullif(n, 0), 4) AS mean
+  round(s / p, 2) AS total, round(s / p - 2 * sqrt((1 - p) * ss) / p, 2) AS total_lower, round(s / nullif(n, 0), 8) AS mean
 FROM x""")
 def estimate_bounds(spark, sf):
     sk = tuple_sketch(table(spark, sf, "events"), "user_id", [Metric("value")], by=["event_type", DAY()], k=64)
@@ -857,7 +857,7 @@ def estimate_bounds(spark, sf):
     return sk.select("event_type", "day", F.round(b["lower"], 4).alias("lower"), F.round(b["upper"], 4).alias("upper"),
                      F.round(sketch_sum("sketch", 0), 2).alias("total"),
                      F.round(sketch_sum_bounds("sketch", 0)["lower"], 2).alias("total_lower"),
-                     F.round(sketch_mean("sketch", 0), 4).alias("mean"))
+                     F.round(sketch_mean("sketch", 0), 8).alias("mean"))
 
 
 # --- stored index for any range of days; a lattice of groupings; certain top groups --------
