@@ -6,8 +6,9 @@ import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
-from tuplecohort.llm import decontam, jaccard, repeats
+from tuplecohort.llm import common, decontam, jaccard, repeats
 from tuplecohort.llm.components import components
 
 from .fixtures import edge_rows, table, words
@@ -68,6 +69,21 @@ def test_decontamination_of_capital_sigma(spark):
     assert sum(r[2] > 0 for r in got) == 3
 
 
+@pytest.mark.parametrize("most", [1 << 28, 1 << 15])
+def test_near_keys_loses_no_key(spark, monkeypatch, most):
+    """At any number of keys, also where the filter is far too small for them."""
+    monkeypatch.setattr(common, "MOST_FILTER_BITS", most)
+    rows = spark.range(30_000).select("id", F.xxhash64("id").alias("h"))
+    for n in (0, 1, 6_000):
+        keys = common.stored(spark.range(n).select((F.col("id") * 3).alias("k")), "near-keys")
+        near, far = (common.near_keys(rows, rows["h"], keys, F.xxhash64("k"), others=o) for o in (False, True))
+        assert near.join(keys, F.col("id") == F.col("k"), "left_semi").count() == n
+        assert far.join(keys, F.col("id") == F.col("k"), "left_semi").isEmpty()
+        passed = near.count()
+        assert passed + far.count() == 30_000
+        assert most == 1 << 15 or passed <= n + 1_500
+
+
 def test_decontamination_of_empty_tables(spark):
     bench = spark.createDataFrame([(1, "a b c")], "item_id bigint, text string")
     assert decontam.contamination(table(spark, []), bench).count() == 0

@@ -49,13 +49,29 @@ def release(*tables: DataFrame | None) -> None:
             where.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(where, True)
 
 
-#: A table of keys (two numbers a row) of so many rows may be broadcast.
-BROADCAST_ROWS = 500_000
-
-
-def if_small(keys: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
-    """A written table of keys, marked for broadcast if it has few rows; a larger one is shuffled as usual."""
-    return F.broadcast(keys) if keys.count() <= most else keys
+#: Bits of a key filter for each key, and at most (32 MB): with more than 4 million keys more other rows pass.
+FILTER_BITS, MOST_FILTER_BITS = 64, 1 << 28
+#: Bits of a bitmap of Spark's bitmap functions.
+_BITMAP = 1 << 15
+
+
+def near_keys(rows: DataFrame, at: Column, keys: DataFrame, key: Column, others: bool = False) -> DataFrame:
+    """The ``rows`` whose hash ``at`` may be that of a key (``key`` of the written table ``keys``), or all others.
+
+    A Bloom filter of one hash, at most MOST_FILTER_BITS large whatever the number of keys, meets the rows where
+    they are read, so that a join with the keys shuffles the texts it is about and not those of all documents.
+    All rows with a key are among the first; the join after it decides.  Both hashes are 64-bit numbers, not null."""
+    bits = max(_BITMAP, min(MOST_FILTER_BITS, 1 << (FILTER_BITS * max(1, keys.count()) - 1).bit_length()))
+    place = F.pmod(key, F.lit(bits))
+    # Keys are shuffled as numbers: partial bitmaps would be 4 kB for every map that a task has a key of.
+    maps = keys.select(place.alias("nk_place")).withColumn("nk_map", F.shiftright("nk_place", 15)) \
+               .repartition("nk_map").groupBy("nk_map").agg(
+        F.bitmap_construct_agg(F.col("nk_place") % _BITMAP).alias("nk_bits"))
+    mine = F.pmod(at, F.lit(bits))
+    byte = F.substring("nk_bits", (F.shiftright(mine, 3) % (_BITMAP // 8) + 1).cast("int"), F.lit(1))
+    held = F.getbit(F.conv(F.hex(byte), 16, 10).cast("bigint"), (mine % 8).cast("int")) == 1
+    return rows.join(F.broadcast(maps), (F.shiftright(mine, 15) == F.col("nk_map")) & held,
+                     "left_anti" if others else "left_semi")
 
 
 def drop_shuffles(spark: SparkSession) -> None:

@@ -31,7 +31,7 @@ import string
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bare, if_small, stored
+from .common import bare, near_keys, stored
 
 WINDOW = 13
 SHINGLE = 3
@@ -109,8 +109,7 @@ def find_windows(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, sh
                      .agg(F.collect_set(F.struct("start", "len", "wid")).alias("cands")), "decontam-candidates")
 
     # The words of documents with candidates, at the places in question.
-    keys = if_small(per_doc.select("c_id", "c_th"))
-    text = docs.join(keys, docs["th"].eqNullSafe(keys["c_th"]) & docs["doc_id"].eqNullSafe(keys["c_id"]), "left_semi")
+    text = near_keys(docs, F.xxhash64("doc_id", "th"), per_doc, F.xxhash64("c_id", "c_th"))
     text = text.join(per_doc, text["th"].eqNullSafe(per_doc["c_th"]) & text["doc_id"].eqNullSafe(per_doc["c_id"]), "inner") \
                .withColumn("w", exact_words(F.col("text")))
     at = F.transform("cands", lambda c: F.struct(
@@ -155,5 +154,8 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that are not contaminated, with all their columns."""
     bad = contamination(docs, benchmark).filter("contaminated").select(F.col("doc_id").alias("b_id"),
                                                                        F.col("th").alias("b_th")).distinct()
-    return docs.join(if_small(stored(bad, "decontam-bad")), F.xxhash64(docs["text"]).eqNullSafe(F.col("b_th"))
-                     & docs["doc_id"].eqNullSafe(F.col("b_id")), "left_anti")
+    bad = stored(bad, "decontam-bad")
+    at, key = F.xxhash64(docs["doc_id"], F.xxhash64(docs["text"])), F.xxhash64("b_id", "b_th")
+    maybe = near_keys(docs, at, bad, key).join(bad, F.xxhash64(docs["text"]).eqNullSafe(F.col("b_th"))
+                                               & docs["doc_id"].eqNullSafe(F.col("b_id")), "left_anti")
+    return near_keys(docs, at, bad, key, others=True).unionByName(maybe)

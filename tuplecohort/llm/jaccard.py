@@ -47,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import drop_shuffles, if_small, release, stored
+from .common import drop_shuffles, near_keys, release, stored
 from .components import components
 from .wordhash import shingle_set, word_hashes
 
@@ -190,9 +190,9 @@ def whole_sets(docs: DataFrame, sets: DataFrame, wanted: DataFrame, size: int) -
     pick = sets.join(wanted, F.col("cid") == F.col("w_cid"), "left_semi").groupBy("cid").agg(
         F.min(F.struct("doc_id", "th")).alias("d")).select("cid", F.col("d.doc_id").alias("p_id"), F.col("d.th").alias("p_th"))
     picked = stored(pick, "jaccard-picked")
-    pick = if_small(picked)
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("th"), "text")
-    rows = rows.join(pick, rows["th"].eqNullSafe(F.col("p_th")) & rows["doc_id"].eqNullSafe(F.col("p_id")), "inner") \
+    rows = near_keys(rows, F.xxhash64("doc_id", "th"), picked, F.xxhash64("p_id", "p_th"))
+    rows = rows.join(picked, rows["th"].eqNullSafe(F.col("p_th")) & rows["doc_id"].eqNullSafe(F.col("p_id")), "inner") \
                .select("cid", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

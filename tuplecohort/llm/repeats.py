@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import if_small, stored
+from .common import near_keys, stored
 from .wordhash import SpanHash
 
 LENGTH = 200
@@ -176,7 +176,7 @@ def candidate_texts(docs: DataFrame, per_doc: DataFrame) -> DataFrame:
     """Documents with open or repeated runs: key, raw, done (first, last start of repeated runs) and open runs with
     their surroundings (anchor, common, lo and hi distance, off: place of the anchor in ctx, ctx)."""
     d = per_doc.withColumnRenamed("key", "p_key")
-    rows = docs.join(if_small(per_doc.select(F.col("key").alias("k_key"))), F.col("key") == F.col("k_key"), "left_semi")
+    rows = near_keys(docs, docs["key"], per_doc, per_doc["key"])
     rows = rows.join(d, F.col("key") == F.col("p_key"), "inner").select("key", "text", "done", "open").dropDuplicates(["key"])
     open_type = pa.struct([("anchor", pa.int64()), ("common", pa.int64()), ("lo", pa.int32()), ("hi", pa.int32()),
                            ("off", pa.int32()), ("ctx", pa.binary())])
