@@ -154,6 +154,38 @@ def test_surrogates(spark):
     assert Counter((r.doc_id, r.text) for r in got) == Counter((r.doc_id, r.text) for r in again)
 
 
+def test_surrogates_of_hard_spellings(spark):
+    """Lower case that is longer, short telephone numbers, a family name with and without the given name, other scripts."""
+    rows = [(1, "mail aİb@mail.com, then", "en", "a"), (2, "call +1 55 12 or +44 20 7946 0958 or +351 21 123 4567", "en", "a"),
+            (3, "Frau Petra Klein, Frau Klein, Frau Petra Vogt", "de", "a"), (4, "иван.петров@почта.mail.com ünal@x.com 联系ann@x.com。", "ru", "a")]
+    by = {r.doc_id: r for r in surrogates.replace_entities(table(spark, rows)).collect()}
+    assert re.fullmatch(r"mail [a-z][A-Z][a-z]@[a-z]{4}\.com, then", by[1].text)
+    phones = [e.surrogate for e in by[2].entities]
+    assert re.fullmatch(r"\+1 \d\d \d\d", phones[0]) and re.fullmatch(r"\+44 \d\d \d{4} \d{4}", phones[1])
+    assert re.fullmatch(r"\+351 \d\d \d{3} \d{4}", phones[2])
+    full, last, other = (e.surrogate for e in by[3].entities)
+    assert full.split()[1] == last and other.split()[0] == full.split()[0] and other.split()[1] != last
+    assert re.match(r"[а-я]{4}\.[а-я]{6}@", by[4].text) and not re.search("иван|петров|ü|ann", by[4].text)
+    assert re.search(r" 联系[a-z]{3}@[a-z]\.com。$", by[4].text)
+    assert surrogates.replace_entities(table(spark, rows), b"other").filter("doc_id = 3").first().text != by[3].text
+
+
+def test_a_shape_that_is_used_up_gets_longer():
+    """Every digit of a used-up shape finds an end, as surrogates grow from some attempt on."""
+    for kind, form, found in (("phone", "+155123", "+1 55 12 3"), ("email", "a@b.co", "A@b.co"), ("card", "4" + "0" * 15, "4" + "0" * 15),
+                              ("family_f", "Klein", "Klein")):
+        late = [surrogates.surrogate(kind, form, a) for a in (surrogates.WIDEN, surrogates.WIDEN + 9)]
+        assert len(form) < len(late[0]) < len(late[1]) or kind == "family_f" and len(late[0]) < len(late[1])
+        assert len(surrogates.in_format(kind, found, late[0])) >= len(found) + (kind != "family_f")
+
+
+def test_an_endless_search_raises(spark, monkeypatch):
+    monkeypatch.setattr(surrogates, "surrogate", lambda kind, form, attempt, key: "same")
+    monkeypatch.setattr(surrogates, "MOST_ATTEMPTS", 2)
+    with pytest.raises(RuntimeError, match="2 attempts"):
+        surrogates.assign(spark.createDataFrame([("ip", "1.2.3.4"), ("ip", "1.2.3.5")], "kind string, form string"), b"k")
+
+
 def test_collisions_are_resolved(spark, monkeypatch):
     """A stand-in that hits few values, real ones among them, until later attempts."""
     def poor(kind, form, attempt, key):
