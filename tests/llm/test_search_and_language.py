@@ -35,7 +35,7 @@ def test_top_k(spark, cells, block, q_block):
              (50, [0.5] * 8), (50, [0.5] * 8), (1000, [-1e3, 1e6] + [0.0] * 6)]
     df = spark.createDataFrame([(*r, 1, 2) for r in rows], "vec_id bigint, embedding array<double>, dim int, block int")
     va = vafile.write_va_file(vafile.whole_vectors(df.repartition(3)), cells=cells, block=block)
-    got = vafile.top_k(va, va.filter("vec_id % 50 = 0"), k=5, query_block=q_block)
+    got = vafile.top_k(va, va.vectors.filter("vec_id % 50 = 0"), k=5, query_block=q_block)
     assert sorted(tuple(r)[:4] for r in got.collect()) == brute(rows, 5)
 
 
@@ -44,26 +44,41 @@ def test_large_components(spark):
     rows = [(i, [rng.uniform(-4e5, 4e5) for _ in range(16)]) for i in range(120)]      # products above 2^53
     df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
     va = vafile.write_va_file(vafile.whole_vectors(df), block=32)
-    got = vafile.top_k(va, va.filter("vec_id % 50 = 0"), k=5)
+    got = vafile.top_k(va, va.vectors.filter("vec_id % 50 = 0"), k=5)
     assert sorted(tuple(r)[:4] for r in got.collect()) == brute(rows, 5)
     for x in (2e7, 1e30):                                 # scores, or components, that no 64-bit integer holds
         df = spark.createDataFrame([(i, [x] * 1024) for i in range(3)], "vec_id bigint, embedding array<double>")
         with pytest.raises(Exception, match="fit a 64-bit integer"):
             va = vafile.write_va_file(vafile.whole_vectors(df))
-            vafile.top_k(va, va, k=5).collect()
+            vafile.top_k(va, va.vectors, k=5).collect()
 
 
 def test_top_k_reads_few_exact_vectors(spark):
     df = spark.read.parquet(f"{SMALL}/embeddings.parquet")
     va = vafile.write_va_file(vafile.whole_vectors(df))
-    got = vafile.top_k(va, va.filter("vec_id % 50 = 0"), k=5)
+    got = vafile.top_k(va, va.vectors.filter("vec_id % 50 = 0"), k=5)
     assert got.agg(F.max("exact_reads")).first()[0] < 100
 
 
+def test_copies_and_outliers_cost_no_exact_reads(spark):
+    rng = random.Random(3)
+    rows = [(i, [rng.gauss(0, 1) for _ in range(8)]) for i in range(600)]
+    rows += [(i, [0.25] * 8) for i in range(600, 1000)] + [(1000, [1e6] * 8)]     # one class of 400 rows; one outlier
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    va = vafile.write_va_file(vafile.whole_vectors(df), block=128)
+    assert va.classes.count() == 602 and va.classes.agg(F.max(F.size("copies"))).first()[0] == 6
+    asked = va.vectors.filter("vec_id % 50 = 0")
+    got = vafile.top_k(va, asked, k=5)
+    assert sorted(tuple(r)[:4] for r in got.collect()) == brute(rows, 5)
+    assert got.agg(F.max("exact_reads")).first()[0] < 150       # of 602 classes, with 16 cells a dimension
+    with pytest.raises(ValueError):
+        vafile.top_k(va, asked, k=6)
+
+
 def test_top_k_of_empty_table(spark):
     df = spark.createDataFrame([], "vec_id bigint, embedding array<float>")
     va = vafile.write_va_file(vafile.whole_vectors(df))
-    assert vafile.top_k(va, va).count() == 0
+    assert vafile.top_k(va, va.vectors).count() == 0
 
 
 def test_held_out_accuracy(spark):

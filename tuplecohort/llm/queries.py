@@ -48,7 +48,7 @@ FROM r
 def op2_va_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 5 highest integer inner products of every query vector (vec_id divisible by 50)."""
     va = vafile.write_va_file(vafile.whole_vectors(table(spark, sf_dir, "embeddings")))
-    found = vafile.top_k(va, va.filter("vec_id % 50 = 0"), k=5)
+    found = vafile.top_k(va, va.vectors.filter("vec_id % 50 = 0"), k=5)
     return found.select("query_id", "rank", "vec_id", "score")
 
 
