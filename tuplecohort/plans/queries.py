@@ -24,6 +24,7 @@ from ..operators.lattice import cube_sketches
 from ..operators.merge import merge_sketches
 from ..operators.rollup import collapse_rows, filter_rows, tuple_rollup
 from ..operators.sets import intersect_groups
+from ..operators.sliding import sliding_sketches
 from ..operators.top import top_groups
 from ..operators.transforms import order_by_estimate, sketch_entries, transform_chain
 from ..session import scratch_path
@@ -912,3 +913,50 @@ def top_groups_q(spark, sf):
     path = scratch_path(spark, "top-groups-parts")
     write_sketches(parts, path)
     return top_groups(read_sketches(spark, path), 10, by="desk", k=64).select("desk", *est_cols())
+
+
+# --- sliding windows; a stream kept in tiers -------------------------------------------------
+
+@query("sliding_week_by_day", O.with_(
+    O.build("d", "events", [("event_type", "event_type"), (DAY_SQL, "day")], "user_id", _DAILY_SQL_METRICS, 64),
+    """w AS (SELECT event_type, CAST(unnest(generate_series(min(day), max(day), INTERVAL 1 DAY)) AS DATE) AS wday
+  FROM d_th WHERE day IS NOT NULL GROUP BY event_type)""",
+    *[f"""r_{x} AS (SELECT w.wday, d.* EXCLUDE (day), w.wday AS day FROM d_{x} d JOIN w
+  ON d.event_type IS NOT DISTINCT FROM w.event_type AND d.day BETWEEN w.wday - 6 AND w.wday)""" for x in ("th", "e")],
+    O.merge("m", "r", ["event_type", "day"], 2, 64)) + O.estimate("m", ["event_type", "day"], extra=_SLOT_SUMS))
+def sliding_week_by_day(spark, sf):
+    daily = tuple_sketch(table(spark, sf, "events"), "user_id", _daily_metrics(), by=["event_type", DAY()], k=64)
+    path = scratch_path(spark, "sliding-days")
+    write_sketches(daily, path)
+    week = sliding_sketches(read_sketches(spark, path), 7, by=["event_type"], k=64, num_values=2)
+    return week.select("event_type", "day", *est_cols(), *_slot_sums())
+
+
+@query("stream_sliding_weeks", O.with_(
+    O.build("d", "events", [("event_type", "event_type"), (WEEK_SQL, "week")], "user_id", _DAILY_SQL_METRICS, 64),
+    *[f"r_{x} AS (SELECT * FROM d_{x} WHERE week > (SELECT max(week) FROM d_th) - 21)" for x in ("th", "e")],
+    O.merge("m", "r", ["event_type"], 2, 64)) + O.estimate("m", ["event_type"], extra=_SLOT_SUMS))
+def stream_sliding_weeks(spark, sf):
+    from ..streaming.tiers import SlidingSketches
+    number = F.floor(F.datediff("week", F.lit(datetime.date(1970, 1, 5))) / 7).alias("period")
+    weekly = tuple_sketch(table(spark, sf, "events"), "user_id", _daily_metrics(), by=["event_type", WEEK()], k=64)
+    path = scratch_path(spark, "sliding-weeks")
+    write_sketches(weekly.select("event_type", number, "sketch"), path, partition_by=["period"])
+    parts = read_sketches(spark, path)
+    kept = SlidingSketches(spark, scratch_path(spark, "sliding-kept"), 3, by=["event_type"], k=64, num_values=2)
+    weeks = parts.where(F.col("period").isNotNull()).select("period").distinct().orderBy("period")   # folder names
+    for row in weeks.toLocalIterator():
+        kept.add(parts.where(F.col("period") == row[0]), row[0])
+    return kept.merged().select("event_type", *est_cols(), *_slot_sums())
+
+
+@query("stream_tiered_sketch", _cohort_sketch_sql(4096))
+def stream_tiered_sketch(spark, sf):
+    from ..streaming.tiers import TieredSketches, stream_tiered
+    ev, source = table(spark, sf, "events"), scratch_path(spark, "stream-files")
+    ev.repartition(6).write.parquet(source)              # a file is a micro-batch
+    stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    tiers = TieredSketches(spark, scratch_path(spark, "stream-tiers"), by=["week"], k=4096, num_values=2, fan=2)
+    stream_tiered(stream, tiers, "user_id", VIEW_PURCHASE(), by=WEEK(), trigger={"availableNow": True}).awaitTermination()
+    f = tiers.merged().withColumn("cohort", filter_tuples("sketch", COHORT))
+    return f.select("week", *est_cols("cohort"))
