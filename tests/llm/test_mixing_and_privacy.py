@@ -107,6 +107,28 @@ def test_secret_forest(spark):
     assert sum(r.is_secret for r in got) < len(got) / 2
 
 
+def test_candidates_by_context(spark):
+    key = "abcdEFGH12345678"
+    texts = ['password = "hunter.2!" and pwd=p@ss~1;x', f"db_secret: {key}a", "note: hunter.2!", "the password hunter.2!",
+             f"x={key}/.{key}/.tail", "passwd=passwd", "token:a.b-c.d=e", "pwd=short", "", "API_KEY= 'ab1.!~'"]
+    got = secret_forest.candidates(table(spark, [(i, t, "en", None) for i, t in enumerate(texts)])).collect()
+    found = defaultdict(list)
+    for r in sorted(got, key=lambda r: (r.doc_id, r.word_no, r.nth)):
+        found[r.doc_id].append(r.finding)
+    assert found == {0: ["hunter.2!", "p@ss~1"], 1: [key + "a"], 4: [key + "/"] * 2, 5: ["passwd"], 6: ["a.b-c.d"],
+                     9: ["ab1.!~"]}
+    two = sorted((r for r in got if r.doc_id == 4), key=lambda r: r.nth)
+    assert [r.left for r in two] == ["x=", f"x={key}/."] and [r.right for r in two] == [f".{key}/.tail", ".tail"]
+    assert next(r.left for r in got if r.doc_id == 5) == "passwd="
+
+
+def test_training_bound_counts_distinct_findings(spark):
+    docs = table(spark, secret_rows()[:20] + [secret_rows()[0]] * 200)
+    found = secret_forest.with_features(secret_forest.candidates(docs), secret_forest.dictionary(docs))
+    labelled = found.withColumn("label", F.col("finding").rlike("[0-9]").cast("double"))
+    assert secret_forest.train(labelled, per_label=4) is not None      # copies do not crowd a label out
+
+
 def test_secret_scan_with_reviewed_findings_and_without(spark):
     docs = table(spark, secret_rows()[:40])
     plain = secret_forest.candidates(docs)
