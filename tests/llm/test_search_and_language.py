@@ -93,6 +93,17 @@ def test_held_out_accuracy(spark):
     assert [p for p in model.predict([None, "", "12 !?", "\u00bd", "\u2167 \u2461", *texts])][:5] == [("und", 0.0)] * 5
 
 
+def test_fit_sample_is_bounded_by_bytes(spark):
+    row = lambda lang, n, size: (lang, n, bytearray(size), bytearray(0), bytearray(0))
+    rows = [row("a", i, 10) for i in range(1, 30)] + [row("a", 0, 500), row("b", 0, 90), row("b", 1, 70), row("c", 0, 5)]
+    df = spark.createDataFrame(rows, "lang string, n int, codes binary, words binary, times binary")
+    got = sorted((r.lang, r.n) for r in langid.within(df, 300).collect())
+    assert got == [("a", i) for i in range(1, 11)] + [("b", 1), ("c", 0)]
+    assert langid.within(df, 1 << 20).count() == len(rows) and langid.within(df.limit(0), 300).count() == 0
+    docs = spark.createDataFrame([("le la les de du " * 200, "fr"), ("the of and in to " * 200, "en")], "text string, lang string")
+    assert langid.learn(docs, fit_bytes=1).languages == ["en", "fr"]          # no language goes
+
+
 def test_kernel_of_pieces(monkeypatch):
     text = "".join(random.Random(2).choice("abcde éß") for _ in range(5000))
     whole = langid.presence(text)

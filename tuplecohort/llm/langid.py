@@ -11,7 +11,7 @@ Only n-grams that occur in a landmark count, for the texts' norms too, so a text
 is a 0/1 row over that vocabulary, and landmark products, Nyström map and ridge
 weights are one matrix.  Scoring is a matrix product per batch of texts.
 
-Fitting uses a bounded sample: ``PER_LANGUAGE`` distinct labelled texts of each
+Fitting uses a bounded sample (and at most ``FIT_BYTES`` of n-grams): ``PER_LANGUAGE`` distinct labelled texts of each
 language (all of a language with fewer), those with the smallest hashes, of which
 ``LANDMARKS`` are landmarks.  Copies of a text count once.  The
 driver gets the n-gram codes of those rows, each at most 2^``BITS``.  Prediction
@@ -50,6 +50,8 @@ from .common import stored
 ORDERS = (1, 2, 3, 4)
 BITS = 20
 PER_LANGUAGE = 384
+#: Bytes of n-gram numbers and counts that the driver fits on, over all languages.
+FIT_BYTES = 192 << 20
 LANDMARKS = 48
 RIDGE = 1e-3
 PIECE = 1 << 18
@@ -259,8 +261,23 @@ def fit(rows: list[tuple[str, np.ndarray]], words: list[tuple[np.ndarray, np.nda
                          *word_floors(langs, [lang for lang, _ in rows], words, landmarks))
 
 
-def learn(labelled: DataFrame, per_language: int = PER_LANGUAGE, landmarks: int = LANDMARKS) -> LanguageModel:
-    """Fit on a bounded sample of ``labelled`` (text, lang)."""
+def within(sample: DataFrame, fit_bytes: int) -> DataFrame:
+    """The rows (lang, n, codes, words, times) that fit: each language has the same part of ``fit_bytes``.
+
+    Rows of up to a quarter of that part come first, in order of n, then longer ones by size; they are taken while they
+    fit together.  A language always keeps its first row, so only more languages than parts of one row can exceed the bound."""
+    size = F.length("codes") + F.length("words") + F.length("times")
+    part = fit_bytes / max(1, sample.select("lang").distinct().count())
+    rows = sample.withColumn("size", size.cast("bigint"))
+    long_ = F.col("size") * 4 > part
+    order = Window.partitionBy("lang").orderBy(long_, F.when(long_, F.col("size")), "n")
+    rows = rows.withColumn("sum", F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    return rows.filter((F.col("sum") <= part) | (F.col("sum") == F.col("size"))).select(*sample.columns)
+
+
+def learn(labelled: DataFrame, per_language: int = PER_LANGUAGE, landmarks: int = LANDMARKS,
+          fit_bytes: int = FIT_BYTES) -> LanguageModel:
+    """Fit on a bounded sample of ``labelled`` (text, lang): rows a language, and bytes of n-grams over all languages."""
     rows = labelled.select("text", F.col("lang").cast("string").alias("lang")) \
                    .filter("text is not null and lang is not null") \
                    .filter(F.col("text").rlike(r"\p{L}"))
@@ -295,7 +312,8 @@ def learn(labelled: DataFrame, per_language: int = PER_LANGUAGE, landmarks: int
                                                  names=["lang", "n", "codes", "words", "times"])
 
     found = few.mapInArrow(codes, "lang string, n int, codes binary, words binary, times binary")
-    got = sorted(found.dropDuplicates(["lang", "n"]).collect(), key=lambda r: (r[0], r[1]))
+    found = within(stored(found.dropDuplicates(["lang", "n"]), "langid-sample"), fit_bytes)
+    got = sorted(found.collect(), key=lambda r: (r[0], r[1]))
     return fit([(r[0], np.frombuffer(r[2], np.int32)) for r in got],
                [(np.frombuffer(r[3], np.int32), np.frombuffer(r[4], np.int32)) for r in got], landmarks)
 
