@@ -6,8 +6,8 @@ about 2 log2(w) times instead of w times, and what is shuffled after the first m
 Parts of a window never overlap, so sums count every day once.
 
 Defined cases: a day without a sketch has windows too as long as one of its last w days has one (its own day counts as
-empty); rows with a null day are left out; several rows of a day are merged; the result has a row for each group and
-each day from its first to its last sketch plus w - 1 further days only with ``tail=True``.
+empty); rows with a null day are left out; several rows of a day are merged; a gap of
+w days or more has days without a row; rows end with a group's last sketch, or w - 1 days later with ``tail=True``.
 """
 
 from __future__ import annotations
