@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 from collections import Counter
 
 import pytest
@@ -197,6 +198,28 @@ def test_words_that_defeat_sums_modulo_a_power_of_two(spark):
     assert got == {1: 1, 2: 2, 3: 1}
 
 
+def shuffles_on_disk(spark):
+    it = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().iterator()
+    found = set()
+    while it.hasNext():
+        m = re.match(r"shuffle_(\d+)_", it.next().getName())
+        found |= {int(m[1])} if m else set()
+    return found
+
+
+def test_stored_tables_leave_no_shuffle_files(spark):
+    before = shuffles_on_disk(spark)
+    was = spark.conf.get(common.CLEANUP_CONF, None)
+    rows = spark.range(1000).withColumn("k", F.col("id") % 7)
+    rows = rows.groupBy("k").count().join(rows.repartition(9, "k"), "k").groupBy("count").agg(F.sum("id").alias("s"))
+    got = common.stored(rows, "test-shuffles")
+    until = time.monotonic() + 5          # executors delete them in the background
+    while (left := shuffles_on_disk(spark) - before) and time.monotonic() < until:
+        time.sleep(0.1)
+    assert not left
+    assert {tuple(r) for r in got.collect()} == {(143, 428571), (142, 70929)} and spark.conf.get(common.CLEANUP_CONF, None) == was
+
+
 def test_components_of_a_path(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(1, 40)] + [(100, 90), (90, 95)], "a bigint, b bigint")
     got = dict(tuple(r) for r in components(links).collect())

@@ -7,6 +7,8 @@ import re
 import sys
 import types
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 from pyarrow import fs as pafs
@@ -26,15 +28,35 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def stored(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back (cuts the lineage).
 
+    The shuffle files of the write are deleted as soon as it is done.
     rows: no more rows than these are expected; a small table is then written in few files."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    (df if rows is None else df.coalesce(max(1, -(-rows // FILE_ROWS)))).write.parquet(path)
+    with own_shuffles(spark):
+        (df if rows is None else df.coalesce(max(1, -(-rows // FILE_ROWS)))).write.parquet(path)
     back = spark.read.schema(df.schema).parquet(path)
     back._scratch = path
     return back
 
 
+#: Spark deletes an execution's shuffle files at its end while this is on.
+CLEANUP_CONF = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def own_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Executions in here leave no shuffle files behind; the session's setting is then as it was."""
+    before = spark.conf.get(CLEANUP_CONF, None)
+    spark.conf.set(CLEANUP_CONF, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP_CONF)
+        else:
+            spark.conf.set(CLEANUP_CONF, before)
+
+
 #: Rows of a file of a table whose number of rows is known.
 FILE_ROWS = 500_000
 
@@ -77,7 +99,8 @@ def near_keys(rows: DataFrame, at: Column, keys: DataFrame, key: Column, others:
 def drop_shuffles(spark: SparkSession) -> None:
     """Let the driver notice which shuffles nothing refers to any more, so that executors delete their files.
 
-    Else they stay until the driver happens to collect its garbage, which a long loop over small tables rarely makes it do."""
+    Else those of other actions than :func:`stored` stay until the driver happens to collect its garbage, which a long
+    loop over small tables rarely makes it do."""
     gc.collect()
     spark._jvm.System.gc()
 
