@@ -59,6 +59,30 @@ def test_mix(spark):
         == Counter({i: n for i in {r["doc_id"] for r in got} if (n := sum(r["copies"] for r in got if r["doc_id"] == i))})
 
 
+def test_mix_within_a_column(spark):
+    rng = random.Random(9)
+    rows = edge_rows() + [(1000 + i, " ".join(words(rng, rng.randrange(200))), rng.choice(["en", "de", "de S1", None]),
+                           rng.choice(["a", "b", "1 x", None])) for i in range(400)]
+    docs = table(spark, rows).repartition(4)
+    mix = mixing.mix_sources(docs, bucket=16, fan_in=3, within="lang")
+    # Each value's rows come out with the targets that they have alone.
+    want = Counter()
+    for lang in {la for _, _, la, _ in rows}:
+        alone = mixing.mix_sources(docs.filter(F.col("lang").eqNullSafe(lang)), bucket=16, fan_in=3)
+        want.update((r.doc_id, r.h, r.size, r.source_size, round(r.target, 6)) for r in alone.collect())
+    got = mix.collect()
+    assert Counter((r.doc_id, r.h, r.size, r.source_size, round(r.target, 6)) for r in got) == want
+    taken, target, largest = Counter(), {}, Counter()
+    for r in got:
+        taken[r.source] += r.copies * r["size"]
+        target[r.source], largest[r.source] = r.target, max(largest[r.source], r["size"])
+    assert all(abs(taken[s] - target[s]) <= largest[s] for s in target)
+    out = mixing.apply_mix(docs, mix, within="lang")
+    assert out.columns == docs.columns
+    assert Counter(r[0] for r in out.select("doc_id").collect()) == \
+        Counter({i: n for i in {r.doc_id for r in got} if (n := sum(r.copies for r in got if r.doc_id == i))})
+
+
 def test_pivot_keeps_the_mean():
     rng = random.Random(1)
     seen = Counter()
@@ -245,6 +269,35 @@ def test_pipeline(spark, tmp_path):
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == seen[4].count()
 
 
+def test_pipeline_mixes_the_languages_found(spark, tmp_path):
+    import corpus_pipeline
+
+    # Held-out documents come without a language or with a wrong one; the mix is to know them by their texts.
+    true = spark.read.parquet(f"{SMALL}/documents.parquet").filter("lang in ('en', 'de')").select("doc_id", "text", "lang", "source")
+    wrong = F.when(F.col("doc_id") % 2 == 0, "en").otherwise(F.lit(None))
+    given = true.withColumn("lang", F.when(corpus_pipeline.langid.held_out(F.col("doc_id")), wrong).otherwise(F.col("lang")))
+    given = given.withColumns({"pred": F.lit("x"), "c0": F.lit("y"), "part": F.lit("z"), "lang_pred": F.lit("w")})
+    given.write.parquet(f"{tmp_path}/documents.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    corpus_pipeline.language_id(spark, docs, str(tmp_path)).write.parquet(f"{tmp_path}/found")
+    found = spark.read.parquet(f"{tmp_path}/found")
+    assert found.columns == docs.columns and found.filter("pred <> 'x' or c0 <> 'y' or part <> 'z' or lang_pred <> 'w'").isEmpty()
+    of = {r.doc_id: r.lang for r in true.collect()}
+    rows = found.collect()
+    assert len(rows) == len(of) and sum(r.lang == of[r.doc_id] for r in rows) > 0.97 * len(of)
+    size = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t))
+    sizes, largest, taken = defaultdict(Counter), Counter(), Counter()
+    for r in rows:
+        sizes[r.lang][r.source] += size(r.text)
+        largest[r.lang, r.source] = max(largest[r.lang, r.source], size(r.text))
+    for r in corpus_pipeline.mix_sources(spark, found, str(tmp_path)).collect():
+        taken[r.lang, r.source] += size(r.text)
+    assert set(sizes) == {"en", "de"}
+    for lang, per in sizes.items():
+        for source, target in targets_of(per).items():
+            assert abs(taken[lang, source] - target) <= largest[lang, source], (lang, source)
+
+
 def test_pipeline_of_empty_table(spark, tmp_path):
     import corpus_pipeline
 

@@ -351,6 +351,28 @@ def keep_known(docs: DataFrame, model: LanguageModel) -> DataFrame:
     return rows.mapInArrow(run, rows.schema).toDF(*cols)
 
 
+def label_known(docs: DataFrame, model: LanguageModel) -> DataFrame:
+    """The documents in a learned language, with all their columns; ``lang`` is the language predicted from the text."""
+    cols = docs.columns
+    text, lang = cols.index("text"), cols.index("lang")
+    rows = docs.select(*[(F.lit(None).cast("string") if i == lang else F.col(f"`{c}`")).alias(f"c{i}") for i, c in enumerate(cols)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            keep: list[bool] = []
+            found: list[str] = []
+            for at in range(0, b.num_rows, BATCH_DOCS):
+                texts = b.column(text).slice(at, BATCH_DOCS).to_pylist()
+                known = [model.known(t) for t in texts]
+                keep += known
+                found += [x for x, _ in model.predict([t for t, k in zip(texts, known) if k])]
+            kept = b.filter(pa.array(keep, pa.bool_()))
+            yield kept.set_column(lang, f"c{lang}", pa.array(found, pa.string()))
+
+    # One pass for both questions: a second one would take a second Python worker for each core.
+    return rows.mapInArrow(run, rows.schema).toDF(*cols)
+
+
 def held_out(doc_id: Column) -> Column:
     """The fold that is never learned from: crc32 of the id's text has remainder 2 by 4 (a null id is not in it)."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))

@@ -12,6 +12,9 @@ at most one fractional document; those residuals meet in groups of ``FAN_IN``
 buckets, again and again, until one per source is left, which a coin decides.
 So a source misses its target by less than the size of one document.
 
+With ``within`` (a column) every value of it is a mix of its own: weights, share and
+caps hold among the sources of that value.
+
 Defined cases: a null text has size 0 and takes 0; null sources form one source
 that comes last; an empty table gives an empty result; repeated rows are
 documents of their own; a source with only empty texts has target 0.  Only
@@ -26,10 +29,10 @@ import random
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACE_WORD, bare, stored
+from .common import SPACE_WORD, stored
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -43,32 +46,44 @@ _EPS = 1e-12
 _ROWS = "doc_id bigint, source string, h bigint, size bigint, base int, p double, node bigint"
 
 
-def document_sizes(docs: DataFrame) -> DataFrame:
-    """doc_id, source, h (hash of the text), size (white-space separated words)."""
-    d = bare(docs, "doc_id", "source", "text")
-    return d.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("source").cast("string").alias("source"),
-                    F.xxhash64("text").alias("h"),
-                    F.coalesce(F.regexp_count("text", F.lit(SPACE_WORD)), F.lit(0)).cast("bigint").alias("size"))
+def source_of(within: str | None = None) -> Column:
+    """What a row is mixed under: its source or, with ``within``, a string of that column's value and the source.
+
+    The strings of one value sort as the sources do, null last."""
+    source = F.col("source").cast("string")
+    if within is None:
+        return source
+    value = F.col(f"`{within}`").cast("string")
+    return F.concat(F.coalesce(F.concat(F.lit("S"), F.length(value).cast("string"), F.lit(" "), value), F.lit("T")),
+                    F.coalesce(F.concat(F.lit("S"), source), F.lit("T")))
+
+
+def document_sizes(docs: DataFrame, within: str | None = None) -> DataFrame:
+    """doc_id, source (:func:`source_of`), h (hash of the text), size (white-space separated words); with ``within`` also part."""
+    part = [] if within is None else [F.col(f"`{within}`").cast("string").alias("part")]
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), source_of(within).alias("source"), *part,
+                       F.xxhash64("text").alias("h"),
+                       F.coalesce(F.regexp_count("text", F.lit(SPACE_WORD)), F.lit(0)).cast("bigint").alias("size"))
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE,
-                   cap: float = CAP) -> DataFrame:
-    """Per source: source_size, n_docs, weight and target.
+                   cap: float = CAP, parts: tuple[str, ...] = ()) -> DataFrame:
+    """Per source: source_size, n_docs, weight and target; the sources of each value of ``parts`` share by themselves.
 
     Weighted shares with a cap have a closed form: with the sources in order of
     cap / weight, the capped ones come first, and a source is capped when its
     share of what the ones before it leave would exceed its cap.  All work is on
     one row per source.
     """
-    per = sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_docs"))
-    by_name = Window.orderBy(F.col("source").asc_nulls_last())
+    per = sizes.groupBy("source", *parts).agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_docs"))
+    whole = Window.partitionBy(*parts)
+    by_name = whole.orderBy(F.col("source").asc_nulls_last())
     per = per.withColumn("weight", F.element_at(F.array(*[F.lit(float(w)) for w in weights]),
                                                 (F.row_number().over(by_name) - 1) % len(weights) + 1))
     per = per.withColumn("cap", F.col("source_size") * float(cap))
-    order = Window.orderBy(F.col("cap") / F.col("weight"), F.col("source").asc_nulls_last())
+    order = whole.orderBy(F.col("cap") / F.col("weight"), F.col("source").asc_nulls_last())
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     rest = order.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    whole = Window.partitionBy()
     per = per.withColumn("level", (share * F.sum("source_size").over(whole)
                                    - F.coalesce(F.sum("cap").over(before), F.lit(0.0)))
                          / F.sum("weight").over(rest))
@@ -144,10 +159,10 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def mix_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, cap: float = CAP,
-                seed: int = SEED, bucket: int = BUCKET, fan_in: int = FAN_IN) -> DataFrame:
-    """One row per document: doc_id, source, h, size, source_size, target, copies."""
-    sizes = stored(document_sizes(docs), "mix-sizes")
-    targets = stored(source_targets(sizes, weights, share, cap), "mix-targets")
+                seed: int = SEED, bucket: int = BUCKET, fan_in: int = FAN_IN, within: str | None = None) -> DataFrame:
+    """One row per document: doc_id, source (:func:`source_of`), h, size, source_size, target, copies."""
+    sizes = stored(document_sizes(docs, within), "mix-sizes")
+    targets = stored(source_targets(sizes, weights, share, cap, () if within is None else ("part",)), "mix-targets")
     # targets is a written table with one row per source, so Spark broadcasts it by its size.
     t = targets.select(F.col("source").alias("t_source"), "source_size", "n_docs", "target")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
@@ -181,15 +196,15 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: floa
               .select("doc_id", F.col("o_source").alias("source"), "h", "size", "source_size", "target", "copies")
 
 
-def apply_mix(docs: DataFrame, mix: DataFrame) -> DataFrame:
-    """The documents, each as many times as the mix takes it, with the columns of ``docs``.
+def apply_mix(docs: DataFrame, mix: DataFrame, within: str | None = None) -> DataFrame:
+    """The documents, each as many times as the mix (of the same ``within``) takes it, with the columns of ``docs``.
 
     Rows are matched by (doc_id, source, text hash); rows equal in all three share
     their copies evenly.
     """
     cols = docs.columns
     keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in cols]).alias("r"),
-                        F.col("doc_id").cast("bigint").alias("k_id"), F.col("source").cast("string").alias("k_src"),
+                        F.col("doc_id").cast("bigint").alias("k_id"), source_of(within).alias("k_src"),
                         F.xxhash64("text").alias("k_h"))
     m = mix.groupBy("doc_id", "source", "h").agg(F.sum("copies").cast("int").alias("c"),
                                                  F.count(F.lit(1)).cast("int").alias("m")).filter("c > 0")
