@@ -149,6 +149,30 @@ def test_jaccard_components(spark, monkeypatch, size, percent, block):
         == sorted(want, key=repr)
 
 
+def test_meetings_of_blocks_are_compared_in_bounded_portions(spark, monkeypatch):
+    """No comparison shuffles much more than its bound, however many blocks meet; together they find all links."""
+    for name, value in (("BLOCK", 8), ("SHORT_LIST", 3), ("STAR_ROUNDS", 0), ("PORTION", 1 << 14), ("PORTION_TIMES", 1)):
+        monkeypatch.setattr(jaccard, name, value)
+    at_once, compare = [], jaccard.compare_blocks
+
+    def counted(meets, blocks, sets, percent):
+        side = blocks.join(sets.select("cid", F.length("tokens").alias("bytes")), "cid").groupBy("block").agg(
+            F.sum("bytes").alias("bytes"))
+        both = meets.select(F.explode(F.array("x", "y")).alias("block")).join(side, "block")
+        at_once.append((both.agg(F.sum("bytes")).first()[0] or 0, side.agg(F.sum("bytes")).first()[0]))
+        return compare(meets, blocks, sets, percent)
+
+    monkeypatch.setattr(jaccard, "compare_blocks", counted)
+    rows = near_rows(5) + edge_rows()
+    got = jaccard.jaccard_components(table(spark, rows).repartition(3), 5, 80)
+    want, _, _ = brute_components(rows, 5, 80)
+    assert sorted((tuple(r) for r in got.select("doc_id", "n_shingles", "component_id").collect()), key=repr) \
+        == sorted(want, key=repr)
+    held = at_once[0][1]
+    assert len(at_once) > 2 and sum(b for b, _ in at_once) > 3 * held
+    assert max(b for b, _ in at_once) < 2 * held
+
+
 def test_jaccard_pairs_without_counted_tokens(spark, monkeypatch):
     # With so few counted tokens, sets stand in the index through uncounted ones only.
     monkeypatch.setattr(jaccard, "SMALL", 4)

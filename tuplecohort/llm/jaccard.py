@@ -18,7 +18,8 @@ the Jaccard similarity of their sets is at least ``PERCENT`` / 100.
    first links its sets to a leader (stars); lists that hold one component then are
    skipped whole.  The sets that stay open are put into blocks of bounded size, those
    already connected together; two blocks skip each other by their ranges of size, or
-   if both are of one component.
+   if both are of one component.  A set is shuffled once for each block that its block
+   meets, so the meetings are dealt into portions of bounded size, done one after another.
 4. Answer-level skipping.  A set is compared with a block by counting its overlap with
    one of the block's sets and deriving the other overlaps from the differences between
    these sets alone, and not at all if it is connected to all of them.
@@ -56,7 +57,10 @@ PERCENT = 90
 #: Sets of at most so many tokens are in the class that counts all tokens.
 SMALL = 64
 STAR_ROUNDS = 2
-BLOCK = 128
+#: A block holds about so many sets and tokens at most (one set may have more tokens).
+BLOCK, BLOCK_TOKENS = 1024, 1 << 17
+#: A portion of the meetings shuffles about so many bytes, or so many times those of all sets that stayed open if that is more.
+PORTION, PORTION_TIMES = 64 << 20, 2
 #: Longer lists are not turned into pairs.
 SHORT_LIST = 32
 _SETS = "doc_id bigint, th bigint, cid bigint, n int, counted int, small array<bigint>, large array<bigint>"
@@ -245,14 +249,26 @@ class Block:
         self.sizes = np.array([len(s) for s in sets])
         more = [s[~_in(self.ref, s)] for s in sets]
         less = [self.ref[~_in(s, self.ref)] for s in sets]
-        self.more, self.more_of = np.concatenate(more), np.repeat(np.arange(len(sets)), [len(x) for x in more])
-        self.less, self.less_of = np.concatenate(less), np.repeat(np.arange(len(sets)), [len(x) for x in less])
+        self.more, self.more_of = self._sorted(more)
+        self.less, self.less_of = self._sorted(less)
+
+    @staticmethod
+    def _sorted(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """The tokens of all parts in order, and the part of each."""
+        tokens, of = np.concatenate(parts), np.repeat(np.arange(len(parts)), [len(p) for p in parts])
+        order = np.argsort(tokens, kind="stable")
+        return tokens[order], of[order]
+
+    def _counts(self, tokens: np.ndarray, of: np.ndarray, x: np.ndarray) -> np.ndarray:
+        """How many tokens of x each of the parts has."""
+        first = np.searchsorted(tokens, x)
+        times = np.searchsorted(tokens, x, "right") - first
+        at = np.arange(int(times.sum())) + np.repeat(first - (np.cumsum(times) - times), times)
+        return np.bincount(of[at], minlength=len(self.cids))
 
     def similar(self, x: np.ndarray, percent: int) -> np.ndarray:
         """Places of the block's sets similar to x: one overlap is counted, the others are derived from it."""
-        n = len(self.cids)
-        overlap = int(_in(x, self.ref).sum()) + np.bincount(self.more_of[_in(x, self.more)], minlength=n) \
-            - np.bincount(self.less_of[_in(x, self.less)], minlength=n)
+        overlap = int(_in(x, self.ref).sum()) + self._counts(self.more, self.more_of, x) - self._counts(self.less, self.less_of, x)
         return np.flatnonzero(_similar(overlap, len(x), self.sizes, percent))
 
 
@@ -361,26 +377,54 @@ def long_list_links(index: DataFrame, sketches: DataFrame, sets: DataFrame, link
     sizes = rows.select("cid", "n", "comp").distinct()
     sizes = sizes.join(canopy, F.col("cid") == F.col("k_node"), "inner").select("canopy", "cid", "n", "comp")
     # Connected sets stand together, so that a block of one component skips all blocks of that component.
-    of = sizes.groupBy("canopy", F.col("comp").alias("z_comp")).agg(F.count(F.lit(1)).alias("z")) \
+    of = sizes.groupBy("canopy", F.col("comp").alias("z_comp")).agg(F.count(F.lit(1)).alias("z"), F.sum("n").alias("z_tokens")) \
               .withColumnRenamed("canopy", "z_canopy")
     sizes = sizes.join(of, (F.col("comp") == F.col("z_comp")) & (F.col("canopy") == F.col("z_canopy")), "inner")
-    part = F.when(F.col("z") >= BLOCK, F.struct(F.col("comp").alias("of"), F.pmod(F.xxhash64("cid"), F.ceil(F.col("z") / BLOCK)).alias("p")))
-    lone = sizes.filter(F.col("z") < BLOCK).groupBy(F.col("canopy").alias("y_canopy")).agg(F.count(F.lit(1)).alias("y"))
+
+    def blocks_for(n: str, tokens: str) -> Column:
+        return F.greatest(F.ceil(F.col(n) / BLOCK), F.ceil(F.col(tokens) / BLOCK_TOKENS))
+
+    large = (F.col("z") >= BLOCK) | (F.col("z_tokens") >= BLOCK_TOKENS)
+    part = F.when(large, F.struct(F.col("comp").alias("of"), F.pmod(F.xxhash64("cid"), blocks_for("z", "z_tokens")).alias("p")))
+    lone = sizes.filter(~large).groupBy(F.col("canopy").alias("y_canopy")).agg(F.count(F.lit(1)).alias("y"),
+                                                                               F.sum("n").alias("y_tokens"))
     sizes = sizes.join(lone, F.col("canopy") == F.col("y_canopy"), "left")
-    rest = F.struct(F.lit(0).cast("bigint").alias("of"), (-1 - F.pmod(F.xxhash64("comp"), F.ceil(F.col("y") / BLOCK))).alias("p"))
+    rest = F.struct(F.lit(0).cast("bigint").alias("of"),
+                    (-1 - F.pmod(F.xxhash64("comp"), blocks_for("y", "y_tokens"))).alias("p"))
     blocks = stored(sizes.select("canopy", F.xxhash64("canopy", F.coalesce(part, rest)).alias("block"), "cid", "n", "comp"),
                     "jaccard-blocks", n_nodes)
     release(met, label, nodes, rows)
     each = stored(blocks.groupBy("canopy", "block").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.min("comp").alias("c_lo"),
-                                                        F.max("comp").alias("c_hi")), "jaccard-block-list")
-    other = each.select(*[F.col(c).alias(f"o_{c}") for c in each.columns])
-    meets = each.join(other, (F.col("canopy") == F.col("o_canopy")) & (F.col("block") <= F.col("o_block"))
-                      & (F.col("lo") * percent <= F.col("o_hi") * 100) & (F.col("o_lo") * percent <= F.col("hi") * 100)
-                      & ~((F.col("c_lo") == F.col("c_hi")) & (F.col("o_c_lo") == F.col("o_c_hi")) & (F.col("c_lo") == F.col("o_c_lo"))),
-                      "inner").select(F.col("block").alias("x"), F.col("o_block").alias("y"))
-    last = stored(compare_blocks(meets, blocks.select("block", "cid", "comp"), sets, percent), "jaccard-rest")
+                                                        F.max("comp").alias("c_hi"), (F.sum("n") * 8).alias("bytes")),
+                  "jaccard-block-list")
+    last = compare_in_portions(block_meetings(each, percent), blocks.select("block", "cid", "comp"), sets, percent,
+                               each.agg(F.sum("bytes")).first()[0] or 0)
     release(each, blocks)
-    return links.unionByName(last)
+    return links if last is None else links.unionByName(last)
+
+
+def block_meetings(each: DataFrame, percent: int) -> DataFrame:
+    """x, y (blocks that may hold similar sets not yet connected) and the bytes of their sets."""
+    other = each.select(*[F.col(c).alias(f"o_{c}") for c in each.columns])
+    one = (F.col("c_lo") == F.col("c_hi")) & (F.col("o_c_lo") == F.col("o_c_hi")) & (F.col("c_lo") == F.col("o_c_lo"))
+    return each.join(other, (F.col("canopy") == F.col("o_canopy")) & (F.col("block") <= F.col("o_block"))
+                     & (F.col("lo") * percent <= F.col("o_hi") * 100) & (F.col("o_lo") * percent <= F.col("hi") * 100) & ~one,
+                     "inner").select(F.col("block").alias("x"), F.col("o_block").alias("y"),
+                                     (F.col("bytes") + F.col("o_bytes")).alias("bytes"))
+
+
+def compare_in_portions(meets: DataFrame, blocks: DataFrame, sets: DataFrame, percent: int, held: int) -> DataFrame | None:
+    """:func:`compare_blocks` of all ``meets`` (x, y, bytes), so many at a time that the shuffle files of no portion take much
+    more than PORTION or PORTION_TIMES times ``held`` (bytes of all sets in blocks); None if no blocks meet."""
+    meets = stored(meets, "jaccard-meets")
+    portions = -(-(meets.agg(F.sum("bytes")).first()[0] or 0) // max(PORTION, PORTION_TIMES * held))
+    found = None
+    for k in range(portions):
+        mine = meets.filter(F.pmod(F.xxhash64("x", "y"), F.lit(portions)) == k).select("x", "y")
+        part = stored(compare_blocks(mine, blocks, sets, percent), f"jaccard-rest{k}")
+        found = part if found is None else found.unionByName(part)
+    release(meets)
+    return found
 
 
 def jaccard_components(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
