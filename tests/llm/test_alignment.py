@@ -98,5 +98,35 @@ def test_blocks_change_nothing():
         assert [sum(p[i] for p in parts) for i in range(3)] == list(whole[:3])
 
 
+@pytest.mark.parametrize("group,held,block", [(1 << 19, 96 << 20, 1 << 16), (40, 0, 20), (1, 5000, 20)])
+def test_parts_change_nothing(monkeypatch, group, held, block):
+    for name, value in (("GROUP", group), ("PARTS_BYTES", held)):
+        monkeypatch.setattr(alignment, name, value)
+    monkeypatch.setattr(alignment.blocks, "__defaults__", (block,))
+    rng = random.Random(9)
+    texts = [*ODD, *[sep.join(rng.choice(ODD + ["the", "of", "and"]) for _ in range(60)) for sep in (" ", "  ", "\n ") for _ in range(4)],
+             *[" ".join(rng.choice([x for x in ODD if "▁" not in x]) for _ in range(90)) for _ in range(4)], "plain words", "plain  words "]
+    aligner = alignment.Aligner(A, B)
+    for text, got in zip(texts, alignment.Parts(aligner).of_texts(texts)):
+        whole = aligner.align(text)
+        assert (got is None) == (whole is None)
+        if whole is not None:
+            codes = Counter(whole[4].tolist())
+            assert got[:5] == (*whole[:3], len(whole[4]), hashlib.sha256(whole[3].encode()).hexdigest())
+            assert got[5].tolist() == sorted(codes) and got[6].tolist() == [codes[c] for c in sorted(codes)]
+
+
+def test_a_part_is_encoded_once():
+    aligner = alignment.Aligner(A, B)
+    encode, given = aligner.b.encode, []
+    aligner.b = type("Counted", (), {"encode": lambda self, text: given.append(text) or encode(text)})()
+    rng = random.Random(3)
+    words = [f"word{i}" for i in range(50)]
+    parts = alignment.Parts(aligner)
+    for _ in range(3):
+        assert None not in parts.of_texts([" ".join(rng.choice(words) for _ in range(400)) for _ in range(20)])
+    assert sorted(" ".join(given).split()) == sorted(words)
+
+
 def test_empty_table(spark):
     assert alignment.align_documents(table(spark, []), A, B).collect() == []

@@ -5,7 +5,9 @@
 2. A byte-level tokenizer A encodes a space and the text, a piece tokenizer B the
    text.  Byte offsets where tokens of both end cut the tokens into groups; every A
    token is linked with every B token of its group.  Long texts are encoded in blocks
-   cut where both tokenizers have a boundary (:func:`parts.cut_parts`).
+   cut where both tokenizers have a boundary (:func:`parts.cut_parts`).  The parts
+   between such boundaries (mostly words) are aligned once and remembered, all new
+   ones of some texts together; a text is put together from its parts (:class:`Parts`).
 3. The distinct id pairs of a text, weighted by its copies, are added up, within a task
    first: the pair table says how many documents hold a pair linked, and which pairs
    are the most frequent of their A id.
@@ -35,12 +37,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import bare, stored, worker_cache
-from .parts import BYTE_OF, ByteLevel
+from .parts import _AFTER_SPACE, BYTE_OF, ByteLevel
 
 HEAD = 1 << 16
 HEAVY = 1000
 #: Longer texts are encoded in blocks of about so many characters.
 BLOCK = 1 << 16
+#: Texts of so many characters in all look for new parts together.
+GROUP = 1 << 19
+#: Parts are remembered within about so many bytes, then begun anew; what a part takes beside its text, spelling and codes.
+PARTS_BYTES, OVERHEAD = 96 << 20, 300
 #: A task adds up so many pairs before it hands them on.
 HELD_PAIRS = 2_000_000
 _MEASURES = ("n_a", "n_b", "n_groups", "n_links")
@@ -58,6 +64,20 @@ def blocks(text: str, size: int = BLOCK) -> Iterator[str]:
     yield text[at:]
 
 
+def cut(block: str) -> list[str]:
+    """Parts of a block that follow each other with a space between; both tokenizers have a boundary before each such space."""
+    plain = block[:1] != " " and block[-1:] != " " and _AFTER_SPACE.search(block) is None
+    return block.split(" ") if plain else _CUT.split(block)
+
+
+def summed(codes: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct codes in order, and the sum of the times of each."""
+    order = np.argsort(codes, kind="stable")
+    codes = codes[order]
+    first = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]])[:len(codes)])
+    return codes[first], np.add.reduceat(times[order], first) if len(codes) else times
+
+
 class Aligner:
     """Two tokenizers, and the bytes and spelling of each of their ids."""
 
@@ -85,6 +105,13 @@ class Aligner:
 
     def align(self, text: str) -> tuple[int, int, int, str, np.ndarray] | None:
         """(A tokens, B tokens, groups, spelling of the groups, codes a * n_b + b of all links), or None."""
+        found = self.align_parts([text])
+        return None if found is None else (*found[0][0, :3].tolist(), found[1][0], found[2])
+
+    def align_parts(self, parts: list[str]) -> tuple[np.ndarray, list[str], np.ndarray] | None:
+        """(a row of n_a, n_b, n_groups, n_links for each part, their spellings, codes of all links in order), or None
+        if not all of them can be spelt.  The tokenizers have a boundary before each part."""
+        text = " ".join(parts)
         a = self.a.ids(" " + text).astype(np.int64)
         b = np.array(self.b.encode(text), np.int64)
         whole = (" " + text).encode()
@@ -107,7 +134,15 @@ class Aligner:
         spelt = np.empty(len(a) + len(b), object)
         spelt[np.arange(len(a)) + b_first[a_group]] = a_spelt
         spelt[np.arange(len(b)) + np.cumsum(n_a)[b_group]] = b_spelt
-        return len(a), len(b), len(cuts), "".join(spelt.tolist())[:-1], codes
+        # The part of each group, by the byte at which it ends.
+        part_end = np.cumsum([len(p.encode()) + 1 for p in parts])
+        last = np.minimum(np.searchsorted(cuts, part_end), len(cuts) - 1)
+        if not np.array_equal(cuts[last], part_end):
+            return None
+        up_to = np.stack([np.cumsum(n_a), np.cumsum(n_b), np.arange(1, len(cuts) + 1), np.cumsum(n_a * n_b)], 1)[last]
+        to = (up_to[:, 0] + up_to[:, 1]).tolist()
+        spelt = spelt.tolist()
+        return (np.diff(up_to, axis=0, prepend=0), ["".join(spelt[i:j])[:-1] for i, j in zip([0, *to[:-1]], to)], codes)
 
     def text(self, text: str) -> tuple[int, int, int, int, str, np.ndarray] | None:
         """(n_a, n_b, n_groups, n_links, sha256 of the groups, codes) of a whole text, or None."""
@@ -123,6 +158,100 @@ class Aligner:
         return *n.tolist(), len(codes), sha.hexdigest(), codes
 
 
+def groups(numbered: Iterator[tuple[int, str]]) -> Iterator[list[tuple[int, str]]]:
+    """The texts, those of about GROUP characters together."""
+    some, size = [], 0
+    for i, text in numbered:
+        some.append((i, text))
+        size += len(text) + 1
+        if size >= GROUP:
+            yield some
+            some, size = [], 0
+    if some:
+        yield some
+
+
+class Parts:
+    """Alignments of texts, put together from those of their parts, which are remembered within bounds."""
+
+    def __init__(self, aligner: Aligner) -> None:
+        self.aligner = aligner
+        self.forget()
+
+    def forget(self) -> None:
+        self.place: dict[str, int] = {}
+        self.spelt: list[str] = []
+        self.numbers, self.first, self.codes, self.held = np.zeros((0, 4), np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), 0
+
+    def learn(self, new: list[str]) -> None:
+        """Remember the parts.  What ends in white space has no boundary after it and is aligned by itself."""
+        todo = [[p for p in new if not p[-1:].isspace()], *[[p] for p in new if p[-1:].isspace()]][::-1]
+        numbers, codes, n_codes = [self.numbers], [self.codes], len(self.codes)
+        while todo:
+            parts = todo.pop()
+            if not parts:
+                continue
+            found = self.aligner.align_parts(parts)
+            if found is None and len(parts) > 1:
+                todo += [parts[len(parts) // 2:], parts[:len(parts) // 2]]
+                continue
+            # A part that can't be spelt makes the tokens of its block negative.
+            n, spelt, c = found or (np.array([[-(1 << 40), 0, 0, 0]]), [""], self.codes[:0])
+            self.place.update(zip(parts, range(len(self.spelt), len(self.spelt) + len(parts))))
+            self.spelt += spelt
+            numbers.append(n)
+            codes.append(c)
+            self.held += sum(map(len, parts)) + sum(map(len, spelt)) + 8 * len(c) + OVERHEAD * len(parts)
+        self.numbers, self.codes = np.concatenate(numbers), np.concatenate(codes)
+        self.first = np.cumsum(self.numbers[:, 3]) - self.numbers[:, 3]
+
+    def of_blocks(self, some: list[str]) -> list[tuple[np.ndarray, str, np.ndarray, np.ndarray] | None]:
+        """Of each block (n_a, n_b, n_groups, n_links), spelling, sorted distinct codes and the links of each, or None."""
+        if self.held > PARTS_BYTES:
+            self.forget()
+        parts = [cut(b) for b in some]
+        if new := list(dict.fromkeys(p for ps in parts for p in ps if p not in self.place)):
+            self.learn(new)
+        out = []
+        for ps in parts:
+            where = list(map(self.place.__getitem__, ps))
+            at = np.array(where)
+            n = self.numbers[at].sum(0)
+            if n[0] < 0:
+                out.append(None)
+                continue
+            at, times = np.unique(at, return_counts=True)
+            links = self.numbers[at, 3]
+            of = np.arange(int(links.sum())) + np.repeat(self.first[at] - (np.cumsum(links) - links), links)
+            out.append((n, ";".join(map(self.spelt.__getitem__, where)), *summed(self.codes[of], np.repeat(times, links))))
+        return out
+
+    def of_texts(self, texts: list[str]) -> list[tuple | None]:
+        """Of each text (n_a, n_b, n_groups, n_links, sha256 of the groups, sorted distinct codes, links of each), or None."""
+        if not self.aligner.blocks:
+            found = [self.aligner.text(t) for t in texts]
+            return [None if f is None else (*f[:5], *np.unique(f[5], return_counts=True)) for f in found]
+        sums: list[list | None] = [[np.zeros(4, np.int64), hashlib.sha256(), [], []] for _ in texts]
+        for some in groups((i, b) for i, t in enumerate(texts) for b in blocks(t)):
+            for (i, _), found in zip(some, self.of_blocks([b for _, b in some])):
+                if found is None or sums[i] is None:
+                    sums[i] = None
+                    continue
+                n, sha, codes, times = sums[i]
+                sha.update(((";" if codes else "") + found[1]).encode())
+                n += found[0]
+                codes.append(found[2])
+                times.append(found[3])
+        out = []
+        for s in sums:
+            if s is not None:
+                n, sha, codes, times = s
+                both = (codes[0], times[0]) if len(codes) == 1 else summed(np.concatenate(codes), np.concatenate(times))
+                s = (*n.tolist(), sha.hexdigest(), *both)
+            out.append(s)
+        return out
+
+
 class Pairs:
     """Adds up weights of codes, within bounds."""
 
@@ -150,6 +279,15 @@ def distinct_texts(docs: DataFrame) -> DataFrame:
     return rows.groupBy("text").agg(F.count(F.lit(1)).alias("copies"))
 
 
+def aligned_texts(batches: Iterator[pa.RecordBatch], parts: Parts) -> Iterator[tuple[str, int, tuple | None]]:
+    """Each text of the batches (text, copies), its copies and what :meth:`Parts.of_texts` gives for it."""
+    for batch in batches:
+        copies = batch.column(1).to_pylist()
+        for some in groups((i, text.as_py()) for i, text in enumerate(batch.column(0))):
+            for (i, text), found in zip(some, parts.of_texts([text for _, text in some])):
+                yield text, copies[i], found
+
+
 def align_texts(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
     """The written alignment.  A row per distinct text: key (SHA-256), copies, n_a .. n_links, groups_sha256, codes
     (sorted distinct link codes) and times (links of each); and rows of code and n, the pair counts of a task."""
@@ -171,27 +309,24 @@ def align_texts(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = worker_cache()
         if ("align", a_path, b_path) not in cache:
-            cache["align", a_path, b_path] = Aligner(a_path, b_path)
-        aligner, pairs, rows, held = cache["align", a_path, b_path], Pairs(), [], 0
-        for batch in batches:
-            for text, copies in zip(batch.column(0), batch.column(1).to_pylist()):
-                text = text.as_py()
-                found = aligner.text(text)
-                if found is None:
-                    continue
-                codes, times = np.unique(found[5], return_counts=True)
-                pairs.add(codes, copies)
-                rows.append((hashlib.sha256(text.encode()).digest(), copies, *found[:5], codes.astype("<u4" if wide else "<u8")
-                             .tobytes(), times.astype(np.int32)))
-                held += len(codes)
-                if held > 500_000:
-                    yield texts_of(rows)
-                    rows, held = [], 0
-                if pairs.n > HELD_PAIRS:
-                    pairs.sums()
-                    if pairs.n > HELD_PAIRS // 2:
-                        yield from pairs_of(pairs)
-                        pairs = Pairs()
+            cache["align", a_path, b_path] = Parts(Aligner(a_path, b_path))
+        parts, pairs, rows, held = cache["align", a_path, b_path], Pairs(), [], 0
+        for text, copies, found in aligned_texts(batches, parts):
+            if found is None:
+                continue
+            codes, times = found[5:]
+            pairs.add(codes, copies)
+            rows.append((hashlib.sha256(text.encode()).digest(), copies, *found[:5], codes.astype("<u4" if wide else "<u8")
+                         .tobytes(), times.astype(np.int32)))
+            held += len(codes)
+            if held > 500_000:
+                yield texts_of(rows)
+                rows, held = [], 0
+            if pairs.n > HELD_PAIRS:
+                pairs.sums()
+                if pairs.n > HELD_PAIRS // 2:
+                    yield from pairs_of(pairs)
+                    pairs = Pairs()
         if rows:
             yield texts_of(rows)
         yield from pairs_of(pairs)
